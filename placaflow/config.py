@@ -40,6 +40,7 @@ TICKS_PER_DAY = 864000000000
 # Labels and patterns of the report.
 FULL = "INTEGRAL"
 PARTIAL = "PARCIAL"
+KINDS = (ACTIVE, FULL, PARTIAL)
 YES = "SIM"
 NO = "NÃO"
 MISSING_TEXT = "N/A"

@@ -24,18 +24,16 @@ from placaflow.plans.base import (
     PLATE_REFERENCE,
     Tables,
     bridged_trailers,
-    contract_base,
     contract_sets,
     coverages,
     customer_lookup,
+    reduce_plates,
     sets_with_coverages,
     unit_lookup,
     vehicle_or_trailer,
 )
-from placaflow.plans.detail import full_cancellations, partial_rows
-
-# The run date only stamps a column that the counts do not read.
-_NO_DATE = dt.date(1900, 1, 1)
+from placaflow.plans.detail import EVENT, LATEST, latest_registration, plate_events
+from placaflow.session import materialise
 
 
 def per_snapshot_day(
@@ -163,10 +161,15 @@ def backfill_cancellations(
     """Distinct cancelled chassis per snapshot day: full (any status) or partial (any
     benefit that is not active); active chassis are not excluded."""
     tables = _between(tables, start, end)
-    full = full_cancellations(
-        tables, _NO_DATE, floor, closed_only=False, with_names=False, upper=False
+    events = plate_events(
+        tables, (C.FULL, C.PARTIAL), floor, statuses=None, closed_only=False, with_names=False
+    )
+    columns = (DAY, EVENT, BRAND, "chassi", "data_cancelamento", *[c for c, _ in LATEST])
+    events = materialise(events.select(*dict.fromkeys(columns)), "cancelled-events", EVENT)
+    full = latest_registration(events.where(F.col(EVENT) == C.FULL)).where(
+        P.date_floor(F.col("data_cancelamento"), floor)
     )
-    partial = partial_rows(tables, floor, statuses=None, latest_per_plate=True)
+    partial = events.where(F.col(EVENT) == C.PARTIAL)
     rows = full.select(DAY, "chassi").unionByName(partial.select(DAY, "chassi"))
     counts = snapshot_distinct_chassis(rows, "cancelados")
     return per_snapshot_day(tables, counts, "cancelados", start, end)
@@ -180,12 +183,11 @@ def active_on_day(tables: Tables, day: dt.date) -> DataFrame:
     tables = _between(tables, day, day)
     start_first = [("inicio_vig", "desc"), ("data_registro", "desc")]
     row_id = [("conjunto", "desc"), ("coverage_id", "asc")]
-    rows = contract_base(
-        tables,
-        set_where=P.set_is_active(F.col("status_id")),
-        coverage_where=P.benefit_is_active(F.col("status_beneficio")),
-        first_by=[*start_first, *row_id],
-    )
+    sets = contract_sets(tables, P.set_is_active(F.col("status_id")))
+    rows = coverages(tables, P.benefit_is_active(F.col("status_beneficio")))
+    rows = bridged_trailers(sets_with_coverages(sets, rows), tables)
+    rows = vehicle_or_trailer(reduce_plates(rows, [*start_first, *row_id]), tables)
+    rows = rows.where(P.identity_not_null(F.col("placa"), F.col("chassi")))
     rows = unit_lookup(customer_lookup(rows, tables), tables)
     order = [
         *start_first,

@@ -37,8 +37,10 @@ PLATE_REFERENCE = ("id_veiculo", "id_carroceria", "id_reboque")
 ROW_ID = ("conjunto", "coverage_id")
 
 
-def contract_sets(tables: Tables, where: Column | None = None) -> DataFrame:
-    """Sets with their status and registration.
+def contract_sets(
+    tables: Tables, where: Column | None = None, flags: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """Sets with their status and registration, and conditions on them as flag columns.
 
     Every report filters on a set column, so the registration join is an inner one.
     """
@@ -65,6 +67,8 @@ def contract_sets(tables: Tables, where: Column | None = None) -> DataFrame:
     sets = status_lookup(sets, tables, "id_status", {"id": "status_id", "description": "status"})
     if where is not None:
         sets = sets.where(where)
+    if flags:
+        sets = sets.withColumns(dict(flags))
     sets = sets.drop("id_status", "status_id", "date_cancellation")
     return lookup(
         sets,
@@ -118,9 +122,9 @@ def bridged_trailers(df: DataFrame, tables: Tables) -> DataFrame:
     )
 
 
-def reduce_plates(df: DataFrame, order: OrderSpec) -> DataFrame:
+def reduce_plates(df: DataFrame, order: OrderSpec, also: Iterable[str] = ()) -> DataFrame:
     """First row per plate reference (see the module text)."""
-    return keep_first(df, [*scope_of(df), *PLATE_REFERENCE], order)
+    return keep_first(df, [*scope_of(df), *also, *PLATE_REFERENCE], order)
 
 
 def vehicle_or_trailer(
@@ -161,29 +165,13 @@ def vehicle_or_trailer(
 
 
 def contract_base(
-    tables: Tables,
-    set_where: Column | None = None,
-    coverage_where: Column | None = None,
-    first_by: OrderSpec | None = None,
-    identity_required: bool = True,
-    keep_uncovered: bool = False,
-    sets: DataFrame | None = None,
+    tables: Tables, set_where: Column | None = None, coverage_where: Column | None = None
 ) -> DataFrame:
-    """Rows of the contract chain with their plate.
-
-    `first_by` reduces to one row per plate reference in that order; without it every
-    coverage row is kept. `sets` replaces the plain set scan (filtered by unit, say).
-    """
-    if sets is None:
-        sets = contract_sets(tables, set_where)
-    df = sets_with_coverages(sets, coverages(tables, coverage_where), keep_uncovered)
-    df = bridged_trailers(df, tables)
-    if first_by is not None:
-        df = reduce_plates(df, first_by)
-    df = vehicle_or_trailer(df, tables)
-    if identity_required:
-        df = df.where(P.identity_not_null(F.col("placa"), F.col("chassi")))
-    return df
+    """Every coverage row of the contract chain that has a plate and a chassis."""
+    sets = contract_sets(tables, set_where)
+    df = sets_with_coverages(sets, coverages(tables, coverage_where))
+    df = vehicle_or_trailer(bridged_trailers(df, tables), tables)
+    return df.where(P.identity_not_null(F.col("placa"), F.col("chassi")))
 
 
 # Lookups -----------------------------------------------------------------------

@@ -1,11 +1,18 @@
-"""Detail bases: active plates, full, partial and consolidated cancellations."""
+"""Detail bases: active plates, full, partial and consolidated cancellations.
+
+`plate_events` reads the contract chain once and tags its rows: ATIVO (active benefit
+of an active set), INTEGRAL (cancelled set), PARCIAL (ended benefit of an active set).
+It keeps one row per plate reference, brand and tag. All reports that show one row per
+chassis are choices among these rows; a job that needs several of them materialises
+the events first (see `plans.daily`).
+"""
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placaflow import config as C
@@ -15,15 +22,20 @@ from placaflow.operators.dedupe import keep_first
 from placaflow.operators.joins import BRAND, DAY, exclude_keys, flag_membership, scope_of
 from placaflow.operators.ordering import order_rows
 from placaflow.operators.sets import union_by_name
-from placaflow.plans.base import NAME_COLUMNS, Tables, contract_base, names
+from placaflow.plans.base import (
+    NAME_COLUMNS,
+    Tables,
+    bridged_trailers,
+    contract_base,
+    contract_sets,
+    coverages,
+    names,
+    reduce_plates,
+    sets_with_coverages,
+    vehicle_or_trailer,
+)
 
-_ACTIVE_KEYS = (
-    "placa", "chassi", "id_placa", "id_veiculo", "id_carroceria",
-    "matricula", "conjunto", "conjunto_renovado",
-)
-_CANCELLED_KEYS = (
-    "placa", "chassi", "id_placa", "id_veiculo", "id_carroceria", "matricula", "conjunto",
-)
+EVENT = "evento"
 
 # "Latest registration" made total: later set, then first benefit, then the plate ids.
 LATEST = (
@@ -33,21 +45,25 @@ LATEST = (
     ("id_carroceria", "asc"),
     ("id_placa", "asc"),
 )
+_TICK_DAY = f"div(updated_at - {C.TICKS_AT_1900}, {C.TICKS_PER_DAY})"
+
+# All that the counts read.
+COUNT_COLUMNS = (
+    EVENT, BRAND, "placa", "chassi", "conjunto", "coverage_id", "id_carroceria", "id_placa",
+    "status", "data_registro", "inicio_vig", "ativado_em", "data_cancelamento", "updated_at",
+)
 
 
-def _latest(
-    *columns: str, brand_first: bool = False, named: Iterable[str] = ()
-) -> list[tuple[str, str]]:
-    """Order of `LATEST` over the given columns, brands in report order after the date."""
-    order = [(c, d) for c, d in LATEST if c in columns]
+def latest_order(brand_first: bool = False, named: Iterable[str] = ()) -> list[tuple[str, str]]:
+    """`LATEST`, brands in report order right after the date; names settle what is left."""
+    order = list(LATEST)
     if brand_first:
         order.insert(1, (X.brand_rank(), "asc"))
     return [*order, *[(c, "asc") for c in named]]
 
 
-# The part of the order that is known before the plate tables are joined.
-BEFORE_PLATE = ("data_registro", "conjunto", "coverage_id")
-ALL_LATEST = tuple(c for c, _ in LATEST)
+def _names_in(df: DataFrame) -> list[str]:
+    return [c for c in (*NAME_COLUMNS, "beneficio") if c in df.columns]
 
 
 def days_of(df: DataFrame) -> list[str]:
@@ -55,27 +71,137 @@ def days_of(df: DataFrame) -> list[str]:
     return [c for c in scope_of(df) if c == DAY]
 
 
-def active_rows(tables: Tables) -> DataFrame:
-    """Active benefits of active sets, one candidate per plate reference and brand."""
-    return contract_base(
-        tables,
-        set_where=P.set_is_active(F.col("status_id")),
-        coverage_where=P.benefit_is_active(F.col("status_beneficio")),
-        first_by=_latest(*BEFORE_PLATE),
+# Events ------------------------------------------------------------------------------
+
+
+def _event_rules(
+    floor: dt.date, statuses: Iterable[str] | None, closed_only: bool
+) -> dict[str, tuple[Column, Column | None]]:
+    """Per event: the condition on the set and the one on the coverage."""
+    set_active = P.set_is_active(F.col("status_id"))
+    benefit = F.col("status_beneficio")
+    cancelled = P.cancel_date_not_null(F.col("date_cancellation"))
+    ended = (
+        P.benefit_status_not(benefit)
+        if statuses is None
+        else P.benefit_status_in(benefit, statuses)
+    )
+    return {
+        C.ACTIVE: (set_active, P.benefit_is_active(benefit)),
+        C.FULL: (
+            cancelled & P.set_status_not_in(F.col("status")) if closed_only else cancelled,
+            None,
+        ),
+        C.PARTIAL: (set_active, ended & P.tick_floor(F.col("updated_at"), floor)),
+    }
+
+
+def plate_events(
+    tables: Tables,
+    events: Iterable[str] = C.KINDS,
+    floor: dt.date = C.DATE_FLOOR,
+    statuses: Iterable[str] | None = C.PARTIAL_BENEFIT_STATUSES,
+    closed_only: bool = True,
+    with_names: bool = True,
+) -> DataFrame:
+    """One row per plate reference, brand and event: the one any report could choose.
+
+    `floor` concerns partial events only; full ones are cut after the choice per
+    chassis. `statuses=None`: every benefit that is not active counts as ended.
+    `closed_only` leaves out cancelled sets whose status is still open (or unknown).
+    """
+    events = list(events)
+    rules = {e: r for e, r in _event_rules(floor, statuses, closed_only).items() if e in events}
+    on_set = [set_rule for set_rule, _ in rules.values()]
+    on_coverage = [rule for _, rule in rules.values() if rule is not None]
+
+    flags = {f"is_set_{e}": rule for e, (rule, _) in rules.items()}
+    sets = contract_sets(tables, _any(on_set), flags if len(rules) > 1 else None)
+    # An event without a coverage rule needs every coverage.
+    wanted = _any(on_coverage) if len(on_coverage) == len(rules) else None
+    rows = sets_with_coverages(sets, coverages(tables, wanted))
+    if len(rules) == 1:
+        rows = rows.withColumn(EVENT, F.lit(events[0]))
+    else:
+        # A row may count for several events; each gets its own copy.
+        found = [
+            F.when(
+                F.col(f"is_set_{e}") if rule is None else F.col(f"is_set_{e}") & rule, F.lit(e)
+            )
+            for e, (_, rule) in rules.items()
+        ]
+        rows = rows.withColumn(EVENT, F.explode(F.array_compact(F.array(*found))))
+        rows = rows.drop(*flags)
+    rows = bridged_trailers(rows, tables)
+    partial = f"{EVENT} = '{C.PARTIAL}'"
+    rows = reduce_plates(
+        rows,
+        [
+            (f"if({partial}, NULL, data_registro)", "desc"),
+            (f"if({partial}, NULL, conjunto)", "desc"),
+            (f"if({partial}, {_TICK_DAY}, NULL)", "desc"),
+            ("coverage_id", "asc"),
+        ],
+        also=[EVENT],
     )
+    rows = vehicle_or_trailer(rows, tables)
+    rows = rows.where(P.identity_not_null(F.col("placa"), F.col("chassi")))
+    if with_names:
+        rows = names(rows, tables, benefit=events != [C.ACTIVE])
+    return rows
+
+
+def _any(conditions: list[Column]) -> Column:
+    result = conditions[0]
+    for condition in conditions[1:]:
+        result = result | condition
+    return result
+
 
+def _event(events: DataFrame, event: str) -> DataFrame:
+    return events.where(F.col(EVENT) == event)
 
-def latest_registration(rows: DataFrame, named: Iterable[str] = ()) -> DataFrame:
+
+# Choices among events ----------------------------------------------------------------
+
+
+def latest_registration(rows: DataFrame) -> DataFrame:
     """Latest registration per chassis inside each brand."""
-    return keep_first(rows, [*scope_of(rows), "chassi"], _latest(*ALL_LATEST, named=named))
+    return keep_first(rows, [*scope_of(rows), "chassi"], latest_order(named=_names_in(rows)))
+
+
+def _columns(
+    df: DataFrame, wanted: Iterable[str | tuple[str, str]], **computed: Column
+) -> list[Column]:
+    """Output columns in order; (source, name) renames; absent names are left out."""
+    present = set(df.columns)
+    out = []
+    for item in wanted:
+        source, name = item if isinstance(item, tuple) else (item, item)
+        if name in computed:
+            out.append(computed[name].alias(name))
+        elif source in present:
+            out.append(F.col(source).alias(name))
+    return out
+
+
+_ACTIVE_COLUMNS = (
+    DAY, "placa", "chassi", "id_placa", "id_veiculo", "id_carroceria", "matricula", "conjunto",
+    "conjunto_renovado", "unidade", "consultor", ("status", "status_conjunto"), "cliente",
+    "usuario_suporte", "data_registro", "inicio_vig", ("ativado_em", "data_ativacao"),
+    "data_extracao", BRAND,
+)
+
+_CANCELLED_COLUMNS = (
+    DAY, "placa", "chassi", "id_placa", "id_veiculo", "id_carroceria", "matricula", "conjunto",
+    "unidade", "consultor", "status", "cliente", "usuario_suporte", "usuario_cancelamento",
+    "coverage_id", "beneficio", "status_beneficio", "data_extracao", "data_registro",
+    ("inicio_vig", "data_ativacao"), "data_ativacao_beneficio", "data_cancelamento", BRAND,
+)
 
 
 def active_plates(
-    tables: Tables,
-    run_date: dt.date,
-    with_names: bool = True,
-    prefer: str = "registration",
-    ordered: bool = True,
+    events: DataFrame, run_date: dt.date, prefer: str = "registration", ordered: bool = True
 ) -> DataFrame:
     """One row per chassis over all brands, upper-cased after the choice.
 
@@ -84,115 +210,45 @@ def active_plates(
     order. prefer="effective_start": the latest registration per brand, then the
     latest start date across brands (older reports).
     """
-    rows = active_rows(tables)
-    named = NAME_COLUMNS if with_names else ()
-    if with_names:
-        rows = names(rows, tables)
+    rows = _event(events, C.ACTIVE)
     keys = [*days_of(rows), "chassi"]
     if prefer == "registration":
-        rows = keep_first(rows, keys, _latest(*ALL_LATEST, brand_first=True, named=named))
+        rows = keep_first(rows, keys, latest_order(brand_first=True, named=_names_in(rows)))
     elif prefer == "effective_start":
-        rows = latest_registration(rows, named)
         order = [("inicio_vig", "desc"), ("ativado_em", "desc"), (X.brand_rank(), "asc")]
-        rows = keep_first(rows, keys, order)
+        rows = keep_first(latest_registration(rows), keys, order)
     else:
         raise ValueError(f"unknown preference {prefer!r}")
-    result = rows.select(
-        *days_of(rows),
-        *_ACTIVE_KEYS,
-        *(["unidade", "consultor"] if with_names else []),
-        F.col("status").alias("status_conjunto"),
-        *(["cliente", "usuario_suporte"] if with_names else []),
-        "data_registro",
-        "inicio_vig",
-        F.col("ativado_em").alias("data_ativacao"),
-        F.lit(run_date).alias("data_extracao"),
-        BRAND,
-    )
-    result = X.upper_all_strings(result)
-    return (
-        order_rows(result, [("inicio_vig", "desc"), ("data_ativacao", "desc")])
-        if ordered
-        else result
-    )
+    columns = _columns(rows, _ACTIVE_COLUMNS, data_extracao=F.lit(run_date))
+    result = X.upper_all_strings(rows.select(*columns))
+    if not ordered:
+        return result
+    return order_rows(result, [("inicio_vig", "desc"), ("data_ativacao", "desc")])
 
 
-def active_chassis(tables: Tables) -> DataFrame:
+def active_chassis(events: DataFrame) -> DataFrame:
     """Distinct upper-cased chassis of the active base (no choice per chassis needed)."""
-    rows = active_rows(tables)
+    rows = _event(events, C.ACTIVE)
     return rows.select(*days_of(rows), F.upper("chassi").alias("chassi")).distinct()
 
 
-def _cancelled_columns(
-    df: DataFrame, date_column: str, run_date: dt.date, with_names: bool
-) -> DataFrame:
-    return df.select(
-        *days_of(df),
-        *_CANCELLED_KEYS,
-        *(["unidade", "consultor"] if with_names else []),
-        "status",
-        *(["cliente", "usuario_suporte"] if with_names else []),
-        "usuario_cancelamento",
-        "coverage_id",
-        *(["beneficio"] if with_names else []),
-        "status_beneficio",
-        F.lit(run_date).alias("data_extracao"),
-        "data_registro",
-        F.col("inicio_vig").alias("data_ativacao"),
-        "data_ativacao_beneficio",
-        date_column,
-        BRAND,
-    )
-
-
 def full_cancellations(
-    tables: Tables,
-    run_date: dt.date,
-    floor: dt.date = C.DATE_FLOOR,
-    closed_only: bool = True,
-    with_names: bool = True,
-    upper: bool = True,
+    events: DataFrame, run_date: dt.date, floor: dt.date = C.DATE_FLOOR, upper: bool = True
 ) -> DataFrame:
-    """Latest cancelled set per chassis and brand; the date floor applies after the choice.
-
-    `closed_only` leaves out sets whose status is still open (or unknown).
-    """
-    cancelled = P.cancel_date_not_null(F.col("date_cancellation"))
-    where = cancelled & P.set_status_not_in(F.col("status")) if closed_only else cancelled
-    rows = contract_base(tables, set_where=where, first_by=_latest(*BEFORE_PLATE))
-    named: tuple[str, ...] = ()
-    if with_names:
-        rows = names(rows, tables, benefit=True)
-        named = (*NAME_COLUMNS, "beneficio")
-    rows = latest_registration(rows, named)
+    """Latest cancelled set per chassis and brand; the date floor applies after the choice."""
+    rows = latest_registration(_event(events, C.FULL))
     rows = rows.where(P.date_floor(F.col("data_cancelamento"), floor))
-    result = _cancelled_columns(rows, "data_cancelamento", run_date, with_names)
+    columns = _columns(rows, _CANCELLED_COLUMNS, data_extracao=F.lit(run_date))
+    result = rows.select(*columns)
     return X.upper_all_strings(result) if upper else result
 
 
-def partial_rows(
-    tables: Tables,
-    floor: dt.date = C.DATE_FLOOR,
-    statuses: Iterable[str] | None = C.PARTIAL_BENEFIT_STATUSES,
-    latest_per_plate: bool = False,
-) -> DataFrame:
-    """Ended benefits of active sets. `statuses=None`: any status but the active one."""
-    description = F.col("status_beneficio")
-    ended = (
-        P.benefit_status_not(description)
-        if statuses is None
-        else P.benefit_status_in(description, statuses)
-    )
+def _partial_columns(rows: DataFrame, run_date: dt.date) -> DataFrame:
     day = X.ticks_to_timestamp(F.col("updated_at"))
-    rows = contract_base(
-        tables,
-        set_where=P.set_is_active(F.col("status_id")),
-        coverage_where=ended & P.tick_floor(F.col("updated_at"), floor),
-        first_by=[(f"div(updated_at - {C.TICKS_AT_1900}, {C.TICKS_PER_DAY})", "desc"), ("coverage_id", "asc")]
-        if latest_per_plate
-        else None,
+    rows = rows.select(
+        *_columns(rows, _CANCELLED_COLUMNS, data_extracao=F.lit(run_date), data_cancelamento=day)
     )
-    return rows.withColumn("data_atualizacao", day)
+    return rows
 
 
 def partial_cancellations(
@@ -202,81 +258,88 @@ def partial_cancellations(
     statuses: Iterable[str] | None = C.PARTIAL_BENEFIT_STATUSES,
     exclude_active: bool = True,
     with_names: bool = True,
-    latest_per_plate: bool = False,
-    upper: bool = True,
 ) -> DataFrame:
-    """Ended benefits of active sets whose chassis is no longer active anywhere.
-
-    `latest_per_plate` keeps one candidate per plate reference, for callers that choose
-    one row per chassis anyway.
-    """
-    rows = partial_rows(tables, floor, statuses, latest_per_plate)
+    """Every ended benefit of an active set, unless its chassis is still active anywhere."""
+    set_rule, coverage_rule = _event_rules(floor, statuses, True)[C.PARTIAL]
+    rows = contract_base(tables, set_where=set_rule, coverage_where=coverage_rule)
     if with_names:
         rows = names(rows, tables, benefit=True)
-    result = _cancelled_columns(rows, "data_atualizacao", run_date, with_names)
-    if not latest_per_plate:
-        result = result.distinct()
-    if upper:
-        result = X.upper_all_strings(result)
-    result = result.withColumnRenamed("data_atualizacao", "data_cancelamento")
-    if exclude_active:
-        result = exclude_keys(result, active_chassis(tables), [*days_of(result), "chassi"])
-    return result
+    result = X.upper_all_strings(_partial_columns(rows, run_date).distinct())
+    if not exclude_active:
+        return result
+    active = plate_events(tables, [C.ACTIVE], with_names=False)
+    return exclude_keys(result, active_chassis(active), [*days_of(result), "chassi"])
+
+
+def _latest_cancellation(rows: DataFrame, key: Iterable[str]) -> DataFrame:
+    """Latest cancellation per key. Ties: full first, brand order, lowest coverage."""
+    order = [
+        ("data_cancelamento", "desc"),
+        ("identificador", "asc"),
+        (X.brand_rank(), "asc"),
+        ("coverage_id", "asc"),
+        ("id_carroceria", "asc"),
+        ("id_placa", "asc"),
+        *[(c, "asc") for c in _names_in(rows)],
+    ]
+    return keep_first(rows, [*days_of(rows), *key], order)
+
+
+def _tagged_union(full: DataFrame, partial: DataFrame) -> DataFrame:
+    return union_by_name(
+        [
+            full.withColumn("identificador", F.lit(C.FULL)),
+            partial.withColumn("identificador", F.lit(C.PARTIAL)),
+        ]
+    )
 
 
 def consolidated_cancellations(
-    tables: Tables,
+    events: DataFrame,
     run_date: dt.date,
     invoices: DataFrame | None = None,
     floor: dt.date = C.DATE_FLOOR,
-    key: Iterable[str] = ("chassi",),
+    exclude_active: bool = True,
+) -> DataFrame:
+    """Full and partial cancellations, one row per chassis (the latest), tagged.
+
+    The channel column comes with names, the overdue flag with invoices.
+    """
+    partial = X.upper_all_strings(_partial_columns(_event(events, C.PARTIAL), run_date))
+    partial = partial.withColumn("data_cancelamento", F.col("data_cancelamento").cast("date"))
+    if exclude_active:
+        partial = exclude_keys(partial, active_chassis(events), [*days_of(partial), "chassi"])
+    rows = _tagged_union(full_cancellations(events, run_date, floor), partial)
+    return channel_and_overdue(_latest_cancellation(rows, ["chassi"]), invoices)
+
+
+def all_cancellations(
+    tables: Tables,
+    run_date: dt.date,
+    floor: dt.date = C.DATE_FLOOR,
+    key: Iterable[str] = (),
     statuses: Iterable[str] | None = C.PARTIAL_BENEFIT_STATUSES,
-    closed_only: bool = True,
     exclude_active: bool = True,
     with_names: bool = True,
     date_partials: bool = True,
 ) -> DataFrame:
-    """Full and partial cancellations, one row per key (the latest), tagged.
+    """Full cancellations and every ended benefit, as older reports listed them.
 
-    Ties: full before partial, brand order, lowest coverage. An empty `key` keeps all
-    rows. `date_partials=False` leaves partial rows without a cancellation date, as the
-    older report did. The channel and overdue columns come with names / invoices.
+    `key` (chassi, empresa, coverage_id, say) keeps the latest row per key; without one
+    all rows stay. `date_partials=False` leaves partial rows without a date.
     """
+    events = plate_events(tables, [C.FULL], floor, with_names=with_names)
+    full = full_cancellations(events, run_date, floor)
+    partial = partial_cancellations(tables, run_date, floor, statuses, exclude_active, with_names)
+    day = F.col("data_cancelamento").cast("date") if date_partials else F.lit(None).cast("date")
+    rows = _tagged_union(full, partial.withColumn("data_cancelamento", day))
     key = list(key)
-    one_per_chassis = key == ["chassi"]
-    full = full_cancellations(tables, run_date, floor, closed_only, with_names)
-    partial = partial_cancellations(
-        tables,
-        run_date,
-        floor,
-        statuses,
-        exclude_active,
-        with_names,
-        latest_per_plate=one_per_chassis and date_partials,
-    )
-    partial_day = F.col("data_cancelamento").cast("date")
-    partial = partial.withColumn(
-        "data_cancelamento", partial_day if date_partials else F.lit(None).cast("date")
-    )
-    rows = union_by_name(
-        [
-            full.withColumn("identificador", F.lit(C.FULL)),
-            partial.withColumn("identificador", F.lit(C.PARTIAL)),
-        ]
-    )
-    if key:
-        order = [
-            ("data_cancelamento", "desc"),
-            ("identificador", "asc"),
-            (X.brand_rank(), "asc"),
-            ("coverage_id", "asc"),
-            ("id_carroceria", "asc"),
-            ("id_placa", "asc"),
-        ]
-        if with_names:
-            order += [(c, "asc") for c in (*NAME_COLUMNS, "beneficio")]
-        rows = keep_first(rows, [*days_of(rows), *key], order)
-    if with_names:
+    return channel_and_overdue(_latest_cancellation(rows, key) if key else rows, None)
+
+
+def channel_and_overdue(rows: DataFrame, invoices: DataFrame | None) -> DataFrame:
+    """Sales channel of the unit, and whether the set is on the overdue list."""
+    if "unidade" in rows.columns:
         rows = rows.withColumn("categoria_comercial", X.commercial_category(F.col("unidade")))
     if invoices is not None:
         rows = flag_membership(rows, delinquent_sets(invoices), "conjunto", "inadimplente_45")
@@ -295,9 +358,7 @@ def delinquent_sets(invoices: DataFrame) -> DataFrame:
     whole, so the order of the two steps does not matter, and a pointer that holds most
     rows is cut down early.
     """
-    paid = (
-        invoices.where(P.paid_invoice(F.col("historico"))).select("ponteiro").distinct()
-    )
+    paid = invoices.where(P.paid_invoice(F.col("historico"))).select("ponteiro").distinct()
     open_rows = keep_first(
         invoices.where(P.open_invoice_only(F.col("historico"))),
         ["ponteiro", "conjunto", "matricula", "empresa"],

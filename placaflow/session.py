@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 # AQE picks the number of reducers, splits skewed join partitions and broadcasts
 # a side only when its measured size is below the threshold.
@@ -42,3 +44,23 @@ def work_folder(spark: SparkSession) -> str:
         folder = tempfile.mkdtemp(prefix="placaflow-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
+
+
+def materialise(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+    """Write a frame to the shared folder and read it back.
+
+    Cuts the lineage: several reports read one pass over the large tables, and a lost
+    executor costs a re-read of this table rather than of its sources.
+    """
+    spark = df.sparkSession
+    path = f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    writer = df.write.mode("errorifexists")
+    if partition_by is not None:
+        writer = writer.partitionBy(partition_by)
+    writer.parquet(path)
+    return spark.read.schema(_partition_last(df, partition_by)).parquet(path)
+
+
+def _partition_last(df: DataFrame, partition_by: str | None) -> T.StructType:
+    fields = [f for f in df.schema.fields if f.name != partition_by]
+    return T.StructType(fields + [f for f in df.schema.fields if f.name == partition_by])
