@@ -34,6 +34,7 @@ from placaflow.plans.base import (
 )
 from placaflow.plans.detail import EVENT, LATEST, latest_registration, plate_events
 from placaflow.session import materialise
+from placaflow.sources.lazy import LazyTables
 
 
 def per_snapshot_day(
@@ -54,12 +55,15 @@ def per_snapshot_day(
     )
 
 
-def _between(tables: Tables, start: dt.date, end: dt.date) -> dict[str, DataFrame]:
+def _between(tables: Tables, start: dt.date, end: dt.date) -> Tables:
     """Dated tables cut to the wanted days (pruned at the scan)."""
-    return {
-        name: df.where(F.col(DAY).between(F.lit(start), F.lit(end))) if DAY in df.columns else df
-        for name, df in tables.items()
-    }
+
+    def cut(df: DataFrame) -> DataFrame:
+        if DAY not in df.columns:
+            return df
+        return df.where(F.col(DAY).between(F.lit(start), F.lit(end)))
+
+    return LazyTables({name: lambda name=name: cut(tables[name]) for name in tables})
 
 
 def snapshot_distinct_chassis(rows: DataFrame, out: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 from collections.abc import Iterable, Mapping
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,7 @@ from placaflow.config import BRANDS, BrandSpec
 from placaflow.operators.joins import BRAND, DAY
 from placaflow.operators.sets import constant_rows, union_by_name
 from placaflow.schemas import INVOICES_SCHEMA, SOURCE_SCHEMAS
+from placaflow.sources.lazy import LazyTables
 
 _NOTHING_THERE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
@@ -124,14 +126,16 @@ def load_tables(
     root: str,
     brands: Iterable[BrandSpec] = BRANDS,
     tables: Iterable[str] = tuple(SOURCE_SCHEMAS),
-) -> dict[str, DataFrame]:
+) -> LazyTables:
     """Every logical table over all brands, with a brand column."""
-    return {
-        table: union_by_name(
+    brands = list(brands)
+
+    def opened(table: str) -> DataFrame:
+        return union_by_name(
             _with_brand(scan_brand_table(spark, root, brand, table), brand) for brand in brands
         )
-        for table in tables
-    }
+
+    return LazyTables({table: partial(opened, table) for table in tables})
 
 
 def load_snapshots(
@@ -142,17 +146,17 @@ def load_snapshots(
     brands: Iterable[BrandSpec] = BRANDS,
     tables: Iterable[str] = tuple(SOURCE_SCHEMAS),
     evolve: bool = False,
-) -> dict[str, DataFrame]:
+) -> LazyTables:
     """Every logical table over all brands and days, with brand and day columns."""
-    return {
-        table: union_by_name(
-            _with_brand(
-                scan_snapshot(spark, root, brand, table, start, end, evolve=evolve), brand
-            )
+    brands = list(brands)
+
+    def opened(table: str) -> DataFrame:
+        return union_by_name(
+            _with_brand(scan_snapshot(spark, root, brand, table, start, end, evolve=evolve), brand)
             for brand in brands
         )
-        for table in tables
-    }
+
+    return LazyTables({table: partial(opened, table) for table in tables})
 
 
 def load_invoices(spark: SparkSession, path: str) -> DataFrame:

@@ -9,6 +9,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from placaflow.functions.calendar import reporting_window
+from placaflow.sources.lazy import LazyTables
 from placaflow.standin import tables as S
 from placaflow.standin.oracle import with_tables
 
@@ -27,11 +28,11 @@ class Source:
         self.sf_dir = sf_dir
 
     @cached_property
-    def tables(self) -> dict[str, DataFrame]:
+    def tables(self) -> LazyTables:
         return S.source_tables(self.spark, self.sf_dir)
 
     @cached_property
-    def snapshots(self) -> dict[str, DataFrame]:
+    def snapshots(self) -> LazyTables:
         return S.snapshot_tables(self.spark, self.sf_dir)
 
     @cached_property

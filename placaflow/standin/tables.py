@@ -7,6 +7,7 @@ reports run on these frames as they would on scanned tables.
 from __future__ import annotations
 
 import datetime as dt
+from functools import cache, partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from placaflow import config as C
 from placaflow.operators.joins import BRAND, DAY
 from placaflow.operators.sets import constant_rows
 from placaflow.schemas import SOURCE_SCHEMAS
+from placaflow.sources.lazy import LazyTables
 
 # Status rows of the stand-in.
 STATUSES = ((7, "ATIVO"), (2, "CANCELADO"), (3, "FINALIZADO"), (4, "RENOVACAO"), (5, "NAO RENOVADO"))
@@ -25,192 +27,168 @@ SNAPSHOT_END = dt.date(2001, 7, 30)
 MISSING_SNAPSHOT = dt.date(2001, 7, 25)
 
 
-def _div(column: Column, by: int) -> Column:
-    return F.call_function("div", column, F.lit(by))
+# Columns of the test data that the formulas read.
+RAW_SCHEMAS = {
+    "customer": "c_custkey long, c_name string, c_nationkey int",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+    "l_returnflag string, l_shipdate timestamp_ntz",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp_ntz",
+    "part": "p_partkey long, p_size int",
+    "supplier": "s_suppkey long, s_name string",
+}
 
+COVERAGE_ID = "((l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey) * 10000 + l_suppkey"
 
-def _brand(set_id: Column) -> Column:
-    remainder = set_id % len(C.BRANDS)
-    label = F.when(remainder == 0, C.BRANDS[0].label)
-    for n, brand in enumerate(C.BRANDS[1:], start=1):
-        label = label.when(remainder == n, brand.label)
-    return label
 
-
-def _null_if(condition: Column, value: Column) -> Column:
-    return F.when(~condition, value)
-
-
-def _days_after(timestamp: Column, days: int) -> Column:
-    return timestamp + F.expr(f"interval {days} days")
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(RAW_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _text(prefix: str, value: Column) -> Column:
-    return F.concat(F.lit(prefix), value.cast("string"))
+def _brand(set_id: str) -> str:
+    cases = " ".join(f"WHEN {n} THEN '{b.label}'" for n, b in enumerate(C.BRANDS))
+    return f"CASE {set_id} % {len(C.BRANDS)} {cases} END AS {BRAND}"
 
 
-def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def coverage_id() -> Column:
-    line = F.col("l_orderkey") * 8 + F.col("l_linenumber")
-    return (line * 1000000 + F.col("l_partkey")) * 10000 + F.col("l_suppkey")
-
-
-def insurance_reg_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = read(spark, sf_dir, "orders")
-    customer = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    key, date, status = F.col("o_orderkey"), F.col("o_orderdate"), F.col("o_orderstatus")
-    ended = status.isin("F", "P")
-    return orders.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left").select(
-        key.alias("id"),
-        F.col("o_custkey").alias("parent"),
-        F.when(status == "O", 7)
-        .when(status == "P", 4)
-        .when(key % 2 == 0, 2)
-        .otherwise(3)
-        .cast("long")
-        .alias("id_status"),
-        F.col("c_nationkey").cast("long").alias("id_unity"),
-        (F.col("o_custkey") % 10).alias("id_consultant"),
-        _null_if(key % 3 == 0, F.col("o_custkey") % 7).alias("id_user_support"),
-        F.when(key % 7 == 0, key - 4).alias("id_renovated_set"),
-        date.alias("data_registration"),
-        _null_if(key % 5 == 0, date).alias("date_inital_effect"),
-        _days_after(date, 360).alias("date_final_effect"),
-        _days_after(date, 1).alias("date_activation"),
-        F.when(ended, _days_after(date, 30)).alias("date_cancellation"),
-        F.when(ended, _text("User ", key % 7)).alias("user_name_cancellation"),
-        _brand(key).alias(BRAND),
+def insurance_reg_set(orders: DataFrame, customer: DataFrame) -> DataFrame:
+    joined = orders.join(
+        customer.select("c_custkey", "c_nationkey"), F.expr("o_custkey = c_custkey"), "left"
+    )
+    ended = "o_orderstatus IN ('F', 'P')"
+    return joined.selectExpr(
+        "o_orderkey AS id",
+        "o_custkey AS parent",
+        """CASE o_orderstatus WHEN 'O' THEN 7L WHEN 'P' THEN 4L
+            ELSE if(o_orderkey % 2 = 0, 2L, 3L) END AS id_status""",
+        "CAST(c_nationkey AS BIGINT) AS id_unity",
+        "o_custkey % 10 AS id_consultant",
+        "if(o_orderkey % 3 = 0, NULL, o_custkey % 7) AS id_user_support",
+        "if(o_orderkey % 7 = 0, o_orderkey - 4, NULL) AS id_renovated_set",
+        "o_orderdate AS data_registration",
+        "if(o_orderkey % 5 = 0, NULL, o_orderdate) AS date_inital_effect",
+        "o_orderdate + INTERVAL 360 DAYS AS date_final_effect",
+        "o_orderdate + INTERVAL 1 DAY AS date_activation",
+        f"if({ended}, o_orderdate + INTERVAL 30 DAYS, NULL) AS date_cancellation",
+        f"if({ended}, 'User ' || o_orderkey % 7, NULL) AS user_name_cancellation",
+        _brand("o_orderkey"),
     )
 
 
-def insurance_reg_set_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line, ship = F.col("l_linenumber"), F.col("l_shipdate")
-    returned, part = F.col("l_returnflag"), F.col("l_partkey")
-    no_dates = line % 4 == 0
-    days = F.datediff(ship.cast("date"), F.lit(dt.date(1900, 1, 1))).cast("long")
-    return read(spark, sf_dir, "lineitem").select(
-        coverage_id().alias("id"),
-        F.col("l_orderkey").alias("parent"),
-        F.when(line % 3 == 0, part).alias("id_vehicle"),
-        F.when(line % 3 == 1, F.col("l_suppkey")).alias("id_trailer"),
-        F.when(returned == "N", 7)
-        .when(returned == "R", 2)
-        .when(part % 2 == 0, 3)
-        .otherwise(5)
-        .cast("long")
-        .alias("id_status"),
-        part.alias("id_price_list"),
-        (
-            F.lit(C.TICKS_AT_1900) + days * C.TICKS_PER_DAY + part % 24 * TICKS_PER_HOUR
-        ).alias("updated_at"),
-        _null_if(no_dates, ship).alias("date_initial_effect"),
-        _null_if(no_dates, _days_after(ship, 360)).alias("date_final_effect"),
-        _brand(F.col("l_orderkey")).alias(BRAND),
+def insurance_reg_set_coverage(lineitem: DataFrame) -> DataFrame:
+    no_dates = "l_linenumber % 4 = 0"
+    days = "CAST(datediff(l_shipdate, DATE'1900-01-01') AS BIGINT)"
+    return lineitem.selectExpr(
+        f"{COVERAGE_ID} AS id",
+        "l_orderkey AS parent",
+        "if(l_linenumber % 3 = 0, l_partkey, NULL) AS id_vehicle",
+        "if(l_linenumber % 3 = 1, l_suppkey, NULL) AS id_trailer",
+        """CASE l_returnflag WHEN 'N' THEN 7L WHEN 'R' THEN 2L
+            ELSE if(l_partkey % 2 = 0, 3L, 5L) END AS id_status""",
+        "l_partkey AS id_price_list",
+        f"{C.TICKS_AT_1900} + {days} * {C.TICKS_PER_DAY} + l_partkey % 24 * {TICKS_PER_HOUR}"
+        " AS updated_at",
+        f"if({no_dates}, NULL, l_shipdate) AS date_initial_effect",
+        f"if({no_dates}, NULL, l_shipdate + INTERVAL 360 DAYS) AS date_final_effect",
+        _brand("l_orderkey"),
     )
 
 
-def insurance_reg_set_cov_trailer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line = F.col("l_linenumber")
-    return (
-        read(spark, sf_dir, "lineitem")
-        .where((line % 3 == 2) | (line == 6))
-        .select(
-            coverage_id().alias("parent"),
-            F.col("l_suppkey").alias("id_trailer"),
-            _brand(F.col("l_orderkey")).alias(BRAND),
-        )
+def insurance_reg_set_cov_trailer(lineitem: DataFrame) -> DataFrame:
+    return lineitem.where("l_linenumber % 3 = 2 OR l_linenumber = 6").selectExpr(
+        f"{COVERAGE_ID} AS parent", "l_suppkey AS id_trailer", _brand("l_orderkey")
     )
 
 
-def source_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    customer = read(spark, sf_dir, "customer")
-    nation = read(spark, sf_dir, "nation")
-    part = read(spark, sf_dir, "part")
-    supplier = read(spark, sf_dir, "supplier")
-    name, region = F.col("n_name"), F.col("n_regionkey")
-    units = nation.select(
-        _text("R", F.col("n_nationkey")).alias("cnpj_cpf"),
-        F.when(region == 2, F.concat(F.lit("FTR "), name))
-        .when(region == 3, F.concat(F.lit("Digital "), name))
-        .otherwise(name)
-        .alias("nome"),
-        F.when(region == 0, F.concat(F.lit("Unidade "), name))
-        .when(region == 1, F.concat(F.lit("Franqueado "), name))
-        .otherwise(name)
-        .alias("fantasia"),
+def catalogo(customer: DataFrame, nation: DataFrame) -> DataFrame:
+    people = customer.selectExpr(
+        "'C' || c_custkey AS cnpj_cpf", "c_name AS nome", "CAST(NULL AS STRING) AS fantasia"
+    )
+    units = nation.selectExpr(
+        "'R' || n_nationkey AS cnpj_cpf",
+        """CASE n_regionkey WHEN 2 THEN 'FTR ' || n_name WHEN 3 THEN 'Digital ' || n_name
+            ELSE n_name END AS nome""",
+        """CASE n_regionkey WHEN 0 THEN 'Unidade ' || n_name
+            WHEN 1 THEN 'Franqueado ' || n_name ELSE n_name END AS fantasia""",
     )
-    people = customer.select(
-        _text("C", F.col("c_custkey")).alias("cnpj_cpf"),
-        F.col("c_name").alias("nome"),
-        F.lit(None).cast("string").alias("fantasia"),
+    return people.unionByName(units)
+
+
+def source_tables(spark: SparkSession, sf_dir: str) -> LazyTables:
+    """All source tables, each derived when first used."""
+
+    @cache
+    def raw(name: str) -> DataFrame:
+        return read(spark, sf_dir, name)
+
+    def derived(name: str, *columns: str, distinct: bool = False):
+        def opened() -> DataFrame:
+            df = raw(name).selectExpr(*columns)
+            return df.distinct() if distinct else df
+
+        return opened
+
+    users = [(n, f"User {n}") for n in range(7)]
+    kind = "CAST(p_size % 6 AS BIGINT)"
+    return LazyTables(
+        {
+            "insurance_registration": derived(
+                "customer", "c_custkey AS id", "c_custkey AS customer_id"
+            ),
+            "insurance_reg_set": lambda: insurance_reg_set(raw("orders"), raw("customer")),
+            "insurance_reg_set_coverage": lambda: insurance_reg_set_coverage(raw("lineitem")),
+            "insurance_reg_set_cov_trailer": lambda: insurance_reg_set_cov_trailer(
+                raw("lineitem")
+            ),
+            "insurance_vehicle": derived(
+                "part",
+                "p_partkey AS id",
+                "if(p_partkey % 17 = 0, NULL, 'plt' || p_partkey) AS board",
+                "'chs' || p_partkey AS chassi",
+            ),
+            "insurance_trailer": derived(
+                "supplier",
+                "s_suppkey AS id",
+                "'trp' || s_suppkey AS board",
+                "'trl' || s_suppkey AS chassi",
+            ),
+            "insurance_status": lambda: constant_rows(
+                spark, SOURCE_SCHEMAS["insurance_status"], STATUSES
+            ),
+            "cliente": derived("customer", "c_custkey AS codigo", "'C' || c_custkey AS cnpj_cpf"),
+            "catalogo": lambda: catalogo(raw("customer"), raw("nation")),
+            "representante": derived(
+                "nation",
+                "CAST(n_nationkey AS BIGINT) AS codigo",
+                "'R' || n_nationkey AS cnpj_cpf",
+            ),
+            "vendedor": derived("supplier", "s_suppkey AS codigo", "s_name AS descricao"),
+            "price_list_benefits": derived(
+                "part", "p_partkey AS id", "CAST(p_size AS BIGINT) AS id_type_category"
+            ),
+            "type_category": derived(
+                "part", "CAST(p_size AS BIGINT) AS id", f"{kind} AS id_category", distinct=True
+            ),
+            "category": derived("part", f"{kind} AS id", f"{kind} AS id_benefits", distinct=True),
+            "benefits": derived(
+                "part", f"{kind} AS id", "'Beneficio ' || p_size % 6 AS description", distinct=True
+            ),
+            "web_user": lambda: constant_rows(spark, SOURCE_SCHEMAS["web_user"], users),
+        }
     )
-    sizes = part.select(F.col("p_size").cast("long").alias("size")).distinct()
-    return {
-        "insurance_registration": customer.select(
-            F.col("c_custkey").alias("id"), F.col("c_custkey").alias("customer_id")
-        ),
-        "insurance_reg_set": insurance_reg_set(spark, sf_dir),
-        "insurance_reg_set_coverage": insurance_reg_set_coverage(spark, sf_dir),
-        "insurance_reg_set_cov_trailer": insurance_reg_set_cov_trailer(spark, sf_dir),
-        "insurance_vehicle": part.select(
-            F.col("p_partkey").alias("id"),
-            _null_if(F.col("p_partkey") % 17 == 0, _text("plt", F.col("p_partkey"))).alias("board"),
-            _text("chs", F.col("p_partkey")).alias("chassi"),
-        ),
-        "insurance_trailer": supplier.select(
-            F.col("s_suppkey").alias("id"),
-            _text("trp", F.col("s_suppkey")).alias("board"),
-            _text("trl", F.col("s_suppkey")).alias("chassi"),
-        ),
-        "insurance_status": constant_rows(
-            spark, SOURCE_SCHEMAS["insurance_status"], STATUSES
-        ),
-        "cliente": customer.select(
-            F.col("c_custkey").alias("codigo"), _text("C", F.col("c_custkey")).alias("cnpj_cpf")
-        ),
-        "catalogo": people.unionByName(units),
-        "representante": nation.select(
-            F.col("n_nationkey").cast("long").alias("codigo"),
-            _text("R", F.col("n_nationkey")).alias("cnpj_cpf"),
-        ),
-        "vendedor": supplier.select(
-            F.col("s_suppkey").alias("codigo"), F.col("s_name").alias("descricao")
-        ),
-        "price_list_benefits": part.select(
-            F.col("p_partkey").alias("id"), F.col("p_size").cast("long").alias("id_type_category")
-        ),
-        "type_category": sizes.select(
-            F.col("size").alias("id"), (F.col("size") % 6).alias("id_category")
-        ),
-        "category": sizes.select(
-            (F.col("size") % 6).alias("id"), (F.col("size") % 6).alias("id_benefits")
-        ).distinct(),
-        "benefits": sizes.select(
-            (F.col("size") % 6).alias("id"),
-            _text("Beneficio ", F.col("size") % 6).alias("description"),
-        ).distinct(),
-        "web_user": constant_rows(
-            spark, SOURCE_SCHEMAS["web_user"], [(n, f"User {n}") for n in range(7)]
-        ),
-    }
 
 
 def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key, member = F.col("o_orderkey"), F.col("c_name")
     customer = read(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    orders = read(spark, sf_dir, "orders")
-    return orders.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left").select(
-        _div(key, 2).alias("ponteiro"),
-        F.when(key % 5 == 0, 2).otherwise(1).alias("historico"),
-        key.alias("conjunto"),
-        F.col("o_custkey").alias("matricula"),
-        _brand(key).alias(BRAND),
-        F.when(F.col("o_custkey") % 50 == 0, F.concat(F.lit("TESTE "), member))
-        .otherwise(member)
-        .alias("associado"),
+    joined = read(spark, sf_dir, "orders").join(
+        customer, F.expr("o_custkey = c_custkey"), "left"
+    )
+    return joined.selectExpr(
+        "o_orderkey div 2 AS ponteiro",
+        "if(o_orderkey % 5 = 0, 2, 1) AS historico",
+        "o_orderkey AS conjunto",
+        "o_custkey AS matricula",
+        _brand("o_orderkey"),
+        "if(o_custkey % 50 = 0, 'TESTE ' || c_name, c_name) AS associado",
     )
 
 
@@ -220,24 +198,28 @@ def snapshot_tables(
     start: dt.date = SNAPSHOT_START,
     end: dt.date = SNAPSHOT_END,
     missing: dt.date = MISSING_SNAPSHOT,
-) -> dict[str, DataFrame]:
+) -> LazyTables:
     """Daily snapshots: the sets registered up to each day, all coverages every day.
 
     Plates and lookups are the same on every day and carry no day column.
     """
     tables = source_tables(spark, sf_dir)
 
-    def dated(df: DataFrame, first: Column) -> DataFrame:
+    def dated(name: str, first: Column) -> DataFrame:
         days = F.sequence(F.greatest(first, F.lit(start)), F.lit(end))
         # a sequence that starts after its end would count down: such rows have no day
         return (
-            df.where(first <= F.lit(end))
+            tables[name]
+            .where(first <= F.lit(end))
             .withColumn(DAY, F.explode(days))
             .where(F.col(DAY) != F.lit(missing))
         )
 
-    registered = F.col("data_registration").cast("date")
-    tables["insurance_reg_set"] = dated(tables["insurance_reg_set"], registered)
-    for name in ("insurance_reg_set_coverage", "insurance_reg_set_cov_trailer"):
-        tables[name] = dated(tables[name], F.lit(start))
-    return tables
+    def opened(name: str) -> DataFrame:
+        if name == "insurance_reg_set":
+            return dated(name, F.col("data_registration").cast("date"))
+        if name in ("insurance_reg_set_coverage", "insurance_reg_set_cov_trailer"):
+            return dated(name, F.lit(start))
+        return tables[name]
+
+    return LazyTables({name: partial(opened, name) for name in tables})
