@@ -1,6 +1,6 @@
 """All named queries (importing the modules registers them)."""
 
-from placaflow.standin import reports  # noqa: F401
+from placaflow.standin import operators, reports, storage  # noqa: F401
 from placaflow.standin.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -43,7 +43,7 @@ def _counted(s: Source) -> tuple[DataFrame, DataFrame]:
     return daily.counted_bases(s.tables, RUN_DATE, FLOOR)
 
 
-def _cancelled(s: Source, **options) -> DataFrame:
+def cancelled(s: Source, **options) -> DataFrame:
     events = daily.stored_events(s.tables, FLOOR, with_names=True)
     return detail.consolidated_cancellations(events, RUN_DATE, floor=FLOOR, **options)
 
@@ -131,7 +131,7 @@ def partial_cancellations_any_ended(s: Source) -> DataFrame:
 
 @query("consolidated_cancellations", "SELECT * FROM cancelled")
 def consolidated_cancellations(s: Source) -> DataFrame:
-    return _cancelled(s, invoices=s.invoices)
+    return cancelled(s, invoices=s.invoices)
 
 
 @query(
@@ -156,7 +156,7 @@ def delinquent_sets(s: Source) -> DataFrame:
 
 @query("period_cancellations", f"SELECT * FROM cancelled WHERE data_cancelamento {_PERIOD}")
 def period_cancellations(s: Source) -> DataFrame:
-    return detail.period_cancellations(_cancelled(s, invoices=s.invoices), *window())
+    return detail.period_cancellations(cancelled(s, invoices=s.invoices), *window())
 
 
 # Counts --------------------------------------------------------------------------
@@ -196,17 +196,17 @@ def daily_kpis_custom(s: Source) -> DataFrame:
     return kpi.daily_kpis(*_counted(s), window("custom"))
 
 
-@query(
-    "report_summary",
-    f"""SELECT ordem, empresa, ativados, finalizados, cancelados, beneficios_cancelados,
+REPORT_SQL = f"""SELECT ordem, empresa, ativados, finalizados, cancelados, beneficios_cancelados,
     '27/07/2001 (sexta) - 29/07/2001 (domingo)' AS periodo,
     (SELECT replace(format('{{:,}}', count(DISTINCT chassi)), ',', '.') FROM active
         WHERE inicio_vig <= {SUNDAY}) AS total_ativos
     FROM (SELECT * FROM ({_kpi_sql(_PERIOD)}) k
     UNION ALL SELECT 5, 'Total', CAST(sum(ativados) AS BIGINT), CAST(sum(finalizados) AS BIGINT),
         CAST(sum(cancelados) AS BIGINT), CAST(sum(beneficios_cancelados) AS BIGINT)
-        FROM ({_kpi_sql(_PERIOD)}) t)""",
-)
+        FROM ({_kpi_sql(_PERIOD)}) t)"""
+
+
+@query("report_summary", REPORT_SQL)
 def report_summary(s: Source) -> DataFrame:
     return kpi.report_summary(*_counted(s), window())
 
@@ -214,7 +214,7 @@ def report_summary(s: Source) -> DataFrame:
 _HISTORY_DAYS = "(SELECT day FROM snap_days WHERE day BETWEEN DATE '2001-07-27' AND DATE '2001-07-29')"
 
 
-def _history_sql(column: str = "inicio_vig") -> str:
+def history_sql(column: str = "inicio_vig") -> str:
     return f"""SELECT h.day AS data,
     (SELECT count(DISTINCT chassi) FROM active a WHERE a.{column} <= h.day) AS qtd_ativos,
     (SELECT count(*) FROM active a WHERE a.inicio_vig = h.day) AS ativados,
@@ -222,7 +222,7 @@ def _history_sql(column: str = "inicio_vig") -> str:
     FROM {_HISTORY_DAYS} h"""
 
 
-@query("daily_history", _history_sql())
+@query("daily_history", history_sql())
 def daily_history(s: Source) -> DataFrame:
     return kpi.daily_history(*_counted(s), window())
 
@@ -230,7 +230,7 @@ def daily_history(s: Source) -> DataFrame:
 @query(
     "daily_history_markers",
     f"""SELECT data, CASE isodow(data) WHEN 6 THEN 'SÁBADO' WHEN 7 THEN 'DOMINGO'
-    ELSE CAST(qtd_ativos AS VARCHAR) END AS qtd_ativos FROM ({_history_sql('data_ativacao')})""",
+    ELSE CAST(qtd_ativos AS VARCHAR) END AS qtd_ativos FROM ({history_sql('data_ativacao')})""",
 )
 def daily_history_markers(s: Source) -> DataFrame:
     history = kpi.daily_history(*_counted(s), window(), active_column="data_ativacao")
@@ -360,7 +360,7 @@ def units_ranking_all_rows(s: Source) -> DataFrame:
         GROUP BY 1 ORDER BY total DESC, unidade LIMIT 4) t ON t.unidade = g.unidade""",
 )
 def top_units_by_client(s: Source) -> DataFrame:
-    return rankings.top_units_by_client(_cancelled(s), window("custom"))
+    return rankings.top_units_by_client(cancelled(s), window("custom"))
 
 
 # Ad-hoc listings -------------------------------------------------------------------
@@ -478,8 +478,8 @@ _CANCELLED_SETS = "c.set_status IN ('CANCELADO', 'CANCELADO_PARCIAL')"
     "backfill_cancelled",
     _windowed(_CANCELLED_SETS, "CAST(c.eff_to AS DATE)", "total_cancelados"),
 )
-def backfill_cancelled(s: Source) -> DataFrame:
-    return backfill.backfill_cancelled(s.snapshots, S.SNAPSHOT_START, S.SNAPSHOT_END)
+def backfillcancelled(s: Source) -> DataFrame:
+    return backfill.backfillcancelled(s.snapshots, S.SNAPSHOT_START, S.SNAPSHOT_END)
 
 
 @query(
