@@ -46,9 +46,12 @@ def lookup(
     `spread_nulls_by` names well distributed columns. Rows whose (single) key is null
     never match; without a spread they would all be shuffled to one task. Both sides
     get the same salt rule, so keys that are present still meet under salt 0.
+
+    Ids come before scope columns in the join key: a sort compares the first column
+    fastest, and brands or days hardly tell rows apart.
     """
     shared = shared_scope(df, source)
-    pairs = [(c, c) for c in shared] + list(on.items())
+    pairs = [*on.items(), *[(c, c) for c in shared]]
     right = source.selectExpr(
         *[f"`{r}` AS _key_{n}" for n, (_, r) in enumerate(pairs)],
         *[f"`{column}` AS `{name}`" for column, name in take.items()],
@@ -58,7 +61,7 @@ def lookup(
     if spread:
         (key,) = on
         salt = f"1 + pmod(xxhash64({', '.join(spread)}), {_SALTS})"
-        tests.append(f"if(`{key}` IS NULL, {salt}, 0L) = if(_key_{len(pairs) - 1} IS NULL, 1L, 0L)")
+        tests.append(f"if(`{key}` IS NULL, {salt}, 0L) = if(_key_0 IS NULL, 1L, 0L)")
     joined = df.join(right, F.expr(" AND ".join(tests)), how)
     return joined.drop(*[f"_key_{n}" for n in range(len(pairs))])
 
@@ -72,7 +75,7 @@ def outer_lookup(
     matched and the unmatched rows are found separately and united.
     """
     shared = shared_scope(df, source)
-    pairs = [(c, c) for c in shared] + list(on.items())
+    pairs = [*on.items(), *[(c, c) for c in shared]]
     known = source.selectExpr(*[f"`{r}` AS `{left}`" for left, r in pairs]).distinct()
     unmatched = exclude_keys(df, known, [left for left, _ in pairs])
     matched = lookup(df, source, on, take, how="inner")

@@ -62,7 +62,7 @@ def cancelled_plates_by_unit(tables: Tables, day: dt.date, ordered: bool = True)
         "unidade", X.unit_display_name(F.col("unit_nome"), F.col("unit_fantasia"))
     )
     units = sets.select(BRAND, "unidade").distinct()
-    rows = bridged_trailers(sets_with_coverages(sets, coverages(tables)), tables)
+    rows = sets_with_coverages(sets, bridged_trailers(coverages(tables), tables))
     rows = vehicle_or_trailer(rows, tables, fields=["board"], direct=False)
     # A null unit is a group of its own: counted under a flag, so the join can match it.
     key = [BRAND, "_unit", "_no_unit"]

@@ -69,7 +69,7 @@ def _between(tables: Tables, start: dt.date, end: dt.date) -> Tables:
 def snapshot_distinct_chassis(rows: DataFrame, out: str) -> DataFrame:
     """Rows left per day after keeping one per chassis (a null chassis counts as one)."""
     return (
-        rows.select(DAY, "chassi").distinct().groupBy(DAY).agg(F.count("*").alias(out))
+        rows.select("chassi", DAY).distinct().groupBy(DAY).agg(F.count("*").alias(out))
     )
 
 
@@ -78,7 +78,7 @@ def snapshot_period_count(
 ) -> DataFrame:
     """Chassis whose latest date falls into the reporting window of their snapshot day."""
     start, end = K.reporting_window_columns(F.col(DAY), mode)
-    latest = rows.groupBy(DAY, "chassi").agg(F.max(date).alias("latest"))
+    latest = rows.groupBy("chassi", DAY).agg(F.max(date).alias("latest"))
     inside = F.col("latest").between(start, end)
     return latest.groupBy(DAY).agg(F.count_if(inside).alias(out))
 
@@ -98,14 +98,14 @@ def _active_references(tables: Tables, sets: DataFrame | None = None) -> DataFra
     if sets is None:
         sets = contract_sets(tables, P.set_is_active(F.col("status_id")))
     rows = coverages(tables, P.benefit_is_active(F.col("status_beneficio")))
-    rows = bridged_trailers(sets_with_coverages(sets, rows), tables)
+    rows = sets_with_coverages(sets, bridged_trailers(rows, tables))
     return _latest_per_reference(rows, "inicio_vig")
 
 
 def _latest_per_reference(rows: DataFrame, date: str) -> DataFrame:
     """Latest date per plate reference; the grouping columns double as row id."""
     scope = [c for c in (DAY, BRAND) if c in rows.columns]
-    return rows.groupBy(*scope, *PLATE_REFERENCE).agg(
+    return rows.groupBy(*PLATE_REFERENCE, *scope).agg(
         F.max(date).alias(date),
         F.max("conjunto").alias("conjunto"),
         F.max("coverage_id").alias("coverage_id"),
@@ -152,8 +152,9 @@ def backfill_cancelled(
     sets = contract_sets(tables, P.set_status_equals(F.col("status"), statuses))
     if units is not None:
         sets = _units(sets, tables, units)
-    rows = sets_with_coverages(sets, coverages(tables), keep_uncovered=True)
-    rows = _latest_per_reference(bridged_trailers(rows, tables), "fim_vig")
+    rows = bridged_trailers(coverages(tables), tables)
+    rows = sets_with_coverages(sets, rows, keep_uncovered=True)
+    rows = _latest_per_reference(rows, "fim_vig")
     rows = vehicle_or_trailer(rows, tables, ["chassi"])
     counts = snapshot_period_count(rows, "fim_vig", "total_cancelados")
     return per_snapshot_day(tables, counts, "total_cancelados", start, end)
@@ -189,7 +190,7 @@ def active_on_day(tables: Tables, day: dt.date) -> DataFrame:
     row_id = [("conjunto", "desc"), ("coverage_id", "asc")]
     sets = contract_sets(tables, P.set_is_active(F.col("status_id")))
     rows = coverages(tables, P.benefit_is_active(F.col("status_beneficio")))
-    rows = bridged_trailers(sets_with_coverages(sets, rows), tables)
+    rows = sets_with_coverages(sets, bridged_trailers(rows, tables))
     rows = vehicle_or_trailer(reduce_plates(rows, [*start_first, *row_id]), tables)
     rows = rows.where(P.identity_not_null(F.col("placa"), F.col("chassi")))
     rows = unit_lookup(customer_lookup(rows, tables), tables)
@@ -199,7 +200,7 @@ def active_on_day(tables: Tables, day: dt.date) -> DataFrame:
         *row_id,
         *[(c, "asc") for c in ("id_carroceria", "id_placa", *NAME_COLUMNS[:2])],
     ]
-    rows = keep_first(rows, [DAY, "chassi"], order)
+    rows = keep_first(rows, ["chassi", DAY], order)
     return rows.select(
         "placa",
         "chassi",

@@ -3,7 +3,8 @@
 Shape of every plan built here, and why it holds at scale:
 
 1. Sets are filtered by status and joined to their registration first, coverages are
-   filtered by benefit status; only then do the two large tables meet on the set id.
+   filtered by benefit status and joined to their bridged trailers; only then do the two
+   large tables meet on the set id.
 2. `reduce_plates` keeps one candidate per plate *reference* (vehicle id, bridged
    trailer id, direct trailer id) before any plate table is read. Rows with equal
    references have equal plate and chassis, so the later choice per chassis can only
@@ -111,20 +112,28 @@ def sets_with_coverages(
     return lookup(sets, rows, {"conjunto": "set_id"}, take, how="inner")
 
 
-def bridged_trailers(df: DataFrame, tables: Tables) -> DataFrame:
-    """Trailers attached to a coverage through the bridge table (may be several)."""
-    return lookup(
-        df,
+def bridged_trailers(rows: DataFrame, tables: Tables) -> DataFrame:
+    """Coverages with the trailers attached through the bridge table (may be several).
+
+    Joined before the sets are, while rows are narrow; a coverage that bridges most
+    trailers is split like any other hot key.
+    """
+    return outer_lookup(
+        rows,
         tables["insurance_reg_set_cov_trailer"],
         on={"coverage_id": "parent"},
         take={"id_trailer": "id_carroceria"},
-        spread_nulls_by=["conjunto"],
     )
 
 
 def reduce_plates(df: DataFrame, order: OrderSpec, also: Iterable[str] = ()) -> DataFrame:
-    """First row per plate reference (see the module text)."""
-    return keep_first(df, [*scope_of(df), *also, *PLATE_REFERENCE], order)
+    """First row per plate reference (see the module text).
+
+    The first id that is present leads the key: it follows from the others, and sorting
+    by a column that tells most rows apart is cheapest.
+    """
+    first_id = f"coalesce({', '.join(PLATE_REFERENCE)})"
+    return keep_first(df, [first_id, *PLATE_REFERENCE, *also, *scope_of(df)], order)
 
 
 def vehicle_or_trailer(
@@ -169,8 +178,8 @@ def contract_base(
 ) -> DataFrame:
     """Every coverage row of the contract chain that has a plate and a chassis."""
     sets = contract_sets(tables, set_where)
-    df = sets_with_coverages(sets, coverages(tables, coverage_where))
-    df = vehicle_or_trailer(bridged_trailers(df, tables), tables)
+    rows = bridged_trailers(coverages(tables, coverage_where), tables)
+    df = vehicle_or_trailer(sets_with_coverages(sets, rows), tables)
     return df.where(P.identity_not_null(F.col("placa"), F.col("chassi")))
 
 

@@ -119,7 +119,8 @@ def plate_events(
     sets = contract_sets(tables, _any(on_set), flags if len(rules) > 1 else None)
     # An event without a coverage rule needs every coverage.
     wanted = _any(on_coverage) if len(on_coverage) == len(rules) else None
-    rows = sets_with_coverages(sets, coverages(tables, wanted))
+    rows = bridged_trailers(coverages(tables, wanted), tables)
+    rows = sets_with_coverages(sets, rows)
     if len(rules) == 1:
         rows = rows.withColumn(EVENT, F.lit(events[0]))
     else:
@@ -132,7 +133,6 @@ def plate_events(
         ]
         rows = rows.withColumn(EVENT, F.explode(F.array_compact(F.array(*found))))
         rows = rows.drop(*flags)
-    rows = bridged_trailers(rows, tables)
     partial = f"{EVENT} = '{C.PARTIAL}'"
     rows = reduce_plates(
         rows,
@@ -167,7 +167,7 @@ def _event(events: DataFrame, event: str) -> DataFrame:
 
 def latest_registration(rows: DataFrame) -> DataFrame:
     """Latest registration per chassis inside each brand."""
-    return keep_first(rows, [*scope_of(rows), "chassi"], latest_order(named=_names_in(rows)))
+    return keep_first(rows, ["chassi", *scope_of(rows)], latest_order(named=_names_in(rows)))
 
 
 def _columns(
@@ -211,7 +211,7 @@ def active_plates(
     latest start date across brands (older reports).
     """
     rows = _event(events, C.ACTIVE)
-    keys = [*days_of(rows), "chassi"]
+    keys = ["chassi", *days_of(rows)]
     if prefer == "registration":
         rows = keep_first(rows, keys, latest_order(brand_first=True, named=_names_in(rows)))
     elif prefer == "effective_start":
@@ -268,7 +268,7 @@ def partial_cancellations(
     if not exclude_active:
         return result
     active = plate_events(tables, [C.ACTIVE], with_names=False)
-    return exclude_keys(result, active_chassis(active), [*days_of(result), "chassi"])
+    return exclude_keys(result, active_chassis(active), ["chassi", *days_of(result)])
 
 
 def _latest_cancellation(rows: DataFrame, key: Iterable[str]) -> DataFrame:
@@ -282,7 +282,7 @@ def _latest_cancellation(rows: DataFrame, key: Iterable[str]) -> DataFrame:
         ("id_placa", "asc"),
         *[(c, "asc") for c in _names_in(rows)],
     ]
-    return keep_first(rows, [*days_of(rows), *key], order)
+    return keep_first(rows, [*key, *days_of(rows)], order)
 
 
 def _tagged_union(full: DataFrame, partial: DataFrame) -> DataFrame:
@@ -308,7 +308,7 @@ def consolidated_cancellations(
     partial = X.upper_all_strings(_partial_columns(_event(events, C.PARTIAL), run_date))
     partial = partial.withColumn("data_cancelamento", F.col("data_cancelamento").cast("date"))
     if exclude_active:
-        partial = exclude_keys(partial, active_chassis(events), [*days_of(partial), "chassi"])
+        partial = exclude_keys(partial, active_chassis(events), ["chassi", *days_of(partial)])
     rows = _tagged_union(full_cancellations(events, run_date, floor), partial)
     return channel_and_overdue(_latest_cancellation(rows, ["chassi"]), invoices)
 

@@ -133,7 +133,6 @@ def marked_history(history: DataFrame) -> DataFrame:
 def report_summary(active: DataFrame, cancellations: DataFrame, window: Window) -> DataFrame:
     """The report: four brands and their total, the period and the active total."""
     kpis = daily_kpis(active, cancellations, window)
-    ranks = kpis.select("ordem", BRAND)
     measures = ["ativados", "finalizados", "cancelados", "beneficios_cancelados"]
     table = with_total(kpis.select(BRAND, *measures), BRAND)
     header = active_as_of(active, [window[1]]).select(
@@ -141,15 +140,13 @@ def report_summary(active: DataFrame, cancellations: DataFrame, window: Window)
     )
     period = X.period_label(F.lit(window[0]), F.lit(window[1]))
     rank = F.expr(f"coalesce({X.brand_rank()}, {len(C.BRANDS) + 1})")
-    # The header is one aggregate row: joined as a constant key, not as a cross join.
-    return (
-        table.withColumn("_one", F.lit(1))
-        .join(header.withColumn("_one", F.lit(1)), "_one")
-        .select(
-            rank.alias("ordem"), BRAND, *measures, period.alias("periodo"), "total_ativos"
-        )
-        .orderBy("ordem")
-    )
+    return table.select(
+        rank.alias("ordem"),
+        BRAND,
+        *measures,
+        period.alias("periodo"),
+        header.scalar().alias("total_ativos"),
+    ).orderBy("ordem")
 
 
 def simple_brand_totals(active: DataFrame, cancellations: DataFrame, window: Window) -> DataFrame:
