@@ -66,22 +66,6 @@ def lookup(
     return joined.drop(*[f"_key_{n}" for n in range(len(pairs))])
 
 
-def outer_lookup(
-    df: DataFrame, source: DataFrame, on: Mapping[str, str], take: Mapping[str, str]
-) -> DataFrame:
-    """A left join whose right side may hold most of its rows under one key.
-
-    Spark splits a skewed right side in an inner join but not in a left join, so the
-    matched and the unmatched rows are found separately and united.
-    """
-    shared = shared_scope(df, source)
-    pairs = [*on.items(), *[(c, c) for c in shared]]
-    known = source.selectExpr(*[f"`{r}` AS `{left}`" for left, r in pairs]).distinct()
-    unmatched = exclude_keys(df, known, [left for left, _ in pairs])
-    matched = lookup(df, source, on, take, how="inner")
-    return matched.unionByName(unmatched, allowMissingColumns=True)
-
-
 def exclude_keys(
     df: DataFrame, keys: DataFrame, on: Iterable[str], null_safe: bool = False
 ) -> DataFrame:

@@ -18,7 +18,7 @@ from placaflow.functions import calendar as K
 from placaflow.functions import expressions as X
 from placaflow.functions import predicates as P
 from placaflow.operators.dedupe import keep_first
-from placaflow.operators.joins import BRAND, DAY
+from placaflow.operators.joins import BRAND, DAY, scope_of
 from placaflow.plans.base import (
     NAME_COLUMNS,
     PLATE_REFERENCE,
@@ -29,6 +29,7 @@ from placaflow.plans.base import (
     customer_lookup,
     reduce_plates,
     sets_with_coverages,
+    uncovered_sets,
     unit_lookup,
     vehicle_or_trailer,
 )
@@ -86,8 +87,7 @@ def snapshot_period_count(
 def backfill_active(tables: Tables, start: dt.date, end: dt.date) -> DataFrame:
     """Active chassis per snapshot day."""
     tables = _between(tables, start, end)
-    rows = _active_references(tables)
-    rows = vehicle_or_trailer(rows, tables, ["board", "chassi"])
+    rows = _plates(_active_references(tables), tables, ["board", "chassi"])
     rows = rows.where(P.identity_not_null(F.col("placa"), F.col("chassi")))
     counts = snapshot_distinct_chassis(rows, "ativos")
     return per_snapshot_day(tables, counts, "ativos", start, end)
@@ -103,13 +103,13 @@ def _active_references(tables: Tables, sets: DataFrame | None = None) -> DataFra
 
 
 def _latest_per_reference(rows: DataFrame, date: str) -> DataFrame:
-    """Latest date per plate reference; the grouping columns double as row id."""
-    scope = [c for c in (DAY, BRAND) if c in rows.columns]
-    return rows.groupBy(*PLATE_REFERENCE, *scope).agg(
-        F.max(date).alias(date),
-        F.max("conjunto").alias("conjunto"),
-        F.max("coverage_id").alias("coverage_id"),
-    )
+    """Latest date per plate reference, brand and day."""
+    return rows.groupBy(*PLATE_REFERENCE, *scope_of(rows)).agg(F.max(date).alias(date))
+
+
+def _plates(rows: DataFrame, tables: Tables, fields: Iterable[str]) -> DataFrame:
+    """Plates of rows that are told apart by their references, brand and day."""
+    return vehicle_or_trailer(rows, tables, fields, by=[*PLATE_REFERENCE, *scope_of(rows)])
 
 
 def _units(
@@ -132,7 +132,7 @@ def backfill_activated(
     sets = contract_sets(tables, P.set_is_active(F.col("status_id")))
     if units is not None:
         sets = _units(sets, tables, units)
-    rows = vehicle_or_trailer(_active_references(tables, sets), tables, ["chassi"])
+    rows = _plates(_active_references(tables, sets), tables, ["chassi"])
     counts = snapshot_period_count(rows, "inicio_vig", "total_ativados")
     return per_snapshot_day(tables, counts, "total_ativados", start, end)
 
@@ -152,10 +152,13 @@ def backfill_cancelled(
     sets = contract_sets(tables, P.set_status_equals(F.col("status"), statuses))
     if units is not None:
         sets = _units(sets, tables, units)
-    rows = bridged_trailers(coverages(tables), tables)
-    rows = sets_with_coverages(sets, rows, keep_uncovered=True)
-    rows = _latest_per_reference(rows, "fim_vig")
-    rows = vehicle_or_trailer(rows, tables, ["chassi"])
+    rows = sets_with_coverages(sets, bridged_trailers(coverages(tables), tables))
+    rows = _plates(_latest_per_reference(rows, "fim_vig"), tables, ["chassi"])
+    rows = rows.select("chassi", DAY, "fim_vig").unionByName(
+        uncovered_sets(sets, tables).select(
+            F.lit(None).cast("string").alias("chassi"), DAY, "fim_vig"
+        )
+    )
     counts = snapshot_period_count(rows, "fim_vig", "total_cancelados")
     return per_snapshot_day(tables, counts, "total_cancelados", start, end)
 

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from placaflow.functions import expressions as X
 from placaflow.functions import predicates as P
 from placaflow.operators.dedupe import keep_first
-from placaflow.operators.joins import BRAND, DAY, lookup, outer_lookup, scope_of
+from placaflow.operators.joins import BRAND, DAY, exclude_keys, lookup, scope_of
 from placaflow.operators.ordering import OrderSpec
 
 Tables = Mapping[str, DataFrame]
@@ -102,28 +102,48 @@ def coverages(tables: Tables, where: Column | None = None) -> DataFrame:
     return rows.drop("id_status")
 
 
-def sets_with_coverages(
-    sets: DataFrame, rows: DataFrame, keep_uncovered: bool = False
-) -> DataFrame:
-    """One row per coverage of a set; optionally also sets without any coverage."""
+def sets_with_coverages(sets: DataFrame, rows: DataFrame) -> DataFrame:
+    """One row per coverage of a set (a set that holds most coverages is split)."""
     take = {c: c for c in rows.columns if c not in (DAY, BRAND, "set_id")}
-    if keep_uncovered:
-        return outer_lookup(sets, rows, {"conjunto": "set_id"}, take)
     return lookup(sets, rows, {"conjunto": "set_id"}, take, how="inner")
 
 
+def uncovered_sets(sets: DataFrame, tables: Tables) -> DataFrame:
+    """Sets without any coverage.
+
+    Found apart from the covered ones: Spark cannot split a set with most coverages on
+    the right side of a left join, but it can in an inner join.
+    """
+    source = tables["insurance_reg_set_coverage"]
+    known = source.select(F.col("parent").alias("conjunto"), *scope_of(source)).distinct()
+    return exclude_keys(sets, known, known.columns)
+
+
 def bridged_trailers(rows: DataFrame, tables: Tables) -> DataFrame:
-    """Coverages with the trailers attached through the bridge table (may be several).
+    """Coverages with the trailers attached through the bridge table.
 
-    Joined before the sets are, while rows are narrow; a coverage that bridges most
-    trailers is split like any other hot key.
+    Joined before the sets are, while rows are narrow. Every coverage takes its first
+    trailer from a table with one row per coverage; further trailers, few as a rule, come
+    by an inner join, which Spark can split if one coverage bridges most trailers.
     """
-    return outer_lookup(
-        rows,
-        tables["insurance_reg_set_cov_trailer"],
-        on={"coverage_id": "parent"},
-        take={"id_trailer": "id_carroceria"},
+    bridge = tables["insurance_reg_set_cov_trailer"]
+    first = bridge.groupBy("parent", *scope_of(bridge)).agg(
+        F.min("id_trailer").alias("first_trailer")
+    )
+    with_first = lookup(
+        rows, first, {"coverage_id": "parent"}, {"first_trailer": "id_carroceria"}
+    )
+    further = lookup(
+        bridge, first, {"parent": "parent"}, {"first_trailer": "first_trailer"}, how="inner"
     )
+    # an entry without a trailer is a further one where another entry has a trailer
+    further = further.where(
+        "first_trailer IS NOT NULL AND (id_trailer IS NULL OR id_trailer > first_trailer)"
+    ).distinct()
+    with_further = lookup(
+        rows, further, {"coverage_id": "parent"}, {"id_trailer": "id_carroceria"}, how="inner"
+    )
+    return with_first.unionByName(with_further)
 
 
 def reduce_plates(df: DataFrame, order: OrderSpec, also: Iterable[str] = ()) -> DataFrame:
@@ -141,22 +161,26 @@ def vehicle_or_trailer(
     tables: Tables,
     fields: Iterable[str] = ("board", "chassi", "id"),
     direct: bool = True,
+    by: Iterable[str] = ROW_ID,
 ) -> DataFrame:
-    """Plate, chassis and id: of the vehicle, else the bridged, else the direct trailer."""
+    """Plate, chassis and id: of the vehicle, else the bridged, else the direct trailer.
+
+    `by` names columns that tell the rows apart (missing ids are spread by them).
+    """
     fields = list(fields)
     joined = lookup(
         df,
         tables["insurance_vehicle"],
         on={"id_veiculo": "id"},
         take={f: f"veh_{f}" for f in fields},
-        spread_nulls_by=ROW_ID,
+        spread_nulls_by=by,
     )
     joined = lookup(
         joined,
         tables["insurance_trailer"],
         on={"id_carroceria": "id"},
         take={f: f"bri_{f}" for f in fields},
-        spread_nulls_by=ROW_ID,
+        spread_nulls_by=by,
     )
     origins = ["veh", "bri"]
     if direct:
@@ -165,7 +189,7 @@ def vehicle_or_trailer(
             tables["insurance_trailer"],
             on={"id_reboque": "id"},
             take={f: f"dir_{f}" for f in fields},
-            spread_nulls_by=ROW_ID,
+            spread_nulls_by=by,
         )
         origins.append("dir")
     names = {"board": "placa", "chassi": "chassi", "id": "id_placa"}

@@ -465,10 +465,13 @@ def kind_and_status_masks(s: Source) -> DataFrame:
     FROM sets c LEFT JOIN covers k ON k.set_id = c.set_id AND k.empresa = c.empresa""",
 )
 def contract_chain(s: Source) -> DataFrame:
-    rows = base.sets_with_coverages(
-        base.contract_sets(s.tables), base.coverages(s.tables), keep_uncovered=True
+    sets = base.contract_sets(s.tables)
+    covered = base.sets_with_coverages(sets, base.coverages(s.tables))
+    uncovered = base.uncovered_sets(sets, s.tables)
+    columns = ("conjunto", "matricula", BRAND)
+    return union_by_name(
+        [covered.select(*columns, "coverage_id"), uncovered.select(*columns)], allow_missing=True
     )
-    return rows.select("conjunto", "matricula", "coverage_id", BRAND)
 
 
 @query("customer_lookup", "SELECT set_id AS conjunto, cliente FROM contracts")

@@ -32,7 +32,7 @@ def build(spark, seed: int) -> Fixture:
     f = Fixture(spark)
     for brand in BRANDS:
         for n in range(1, 25):
-            name = rng.choice(["CH", "ch"]) + str(rng.randint(1, 12))
+            name = rng.choice(["CH", "ch"]) + str(rng.randint(1, 40))
             f.vehicle(n, brand, board=rng.choice([None, f"P{n}"]), chassi=rng.choice([None, name]))
             f.trailer(n, brand, board=f"T{n}", chassi=rng.choice([None, "tr" + str(n % 7)]))
         for n in range(1, 31):
@@ -56,7 +56,8 @@ def build(spark, seed: int) -> Fixture:
                     updated_at=moment, **ids)
         for _ in range(60):
             parent = 1 if rng.random() < 0.5 else rng.randint(1, 120)
-            f.add("insurance_reg_set_cov_trailer", brand, parent=parent, id_trailer=rng.randint(1, 30))
+            f.add("insurance_reg_set_cov_trailer", brand, parent=parent,
+                  id_trailer=rng.choice([None, *range(1, 30)]))
         for n in range(1, 6):
             f.add("representante", brand, codigo=n, cnpj_cpf=f"R{n}")
             f.add("catalogo", brand, cnpj_cpf=f"R{n}", fantasia=rng.choice([f"Unidade {n}", f"n{n}"]))
@@ -153,7 +154,7 @@ def test_bases(spark, seed):
     f = build(spark, seed)
     rows = chain(f)
     assert len(expected_active(rows)) > 5
-    assert {r["kind"] for r in expected_cancelled(rows)} == set(C.KINDS) - {C.ACTIVE}
+    assert {r["kind"] for r in expected_cancelled(rows)} == {C.FULL, C.PARTIAL}
     for tables in (f.tables(), shuffled(f.tables(), seed)):
         events = detail.plate_events(tables, with_names=False).persist()
         active = detail.active_plates(events, RUN).collect()
@@ -184,7 +185,8 @@ def test_every_row_of_the_chain(spark, seed):
     found = base.contract_base(f.tables()).select("conjunto", "coverage_id", "id_carroceria", "placa", "chassi", "id_placa")
     key = lambda r: tuple(str(x) for x in r)
     expected = [(r["set"], r["cover"], r["carrier"], r["placa"], r["chassi"], r["plate_id"]) for r in chain(f)]
-    assert sorted(map(key, found.collect())) == sorted(map(key, expected))
+    # a trailer bridged twice by one coverage is one row here: the listings are distinct
+    assert sorted(map(key, found.collect())) == sorted(set(map(key, expected)))
 
 
 def test_partials_and_active_do_not_meet(spark):
