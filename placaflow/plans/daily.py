@@ -15,6 +15,9 @@ from placaflow.session import materialise
 from placaflow.sources import sinks
 
 
+OUTPUTS = ("ativos", "cancelamentos", "cancelamentos_periodo", "relatorio", "base", "arquivo")
+
+
 def stored_events(
     tables: Tables, floor: dt.date = C.DATE_FLOOR, with_names: bool = False, **options
 ) -> DataFrame:
@@ -51,10 +54,7 @@ def run_daily(
     The reports are computed from the detail sets just written, so they agree with them.
     """
     window = reporting_window(run_date, mode, days)
-    paths = {
-        name: f"{out.rstrip('/')}/{name}"
-        for name in ("ativos", "cancelamentos", "cancelamentos_periodo", "relatorio", "base", "arquivo")
-    }
+    paths = {name: f"{out.rstrip('/')}/{name}" for name in OUTPUTS}
     events = stored_events(tables, floor, with_names=True)
     active = detail.active_plates(events, run_date)
     sinks.write_detail(active, paths["ativos"])

@@ -164,4 +164,5 @@ def simple_brand_totals(active: DataFrame, cancellations: DataFrame, window: Win
 
 def cancelled_plates_of_day(full: DataFrame, day: dt.date) -> DataFrame:
     """Distinct plates of full cancellations on one day."""
-    return full.where(P.period_mask(F.col("data_cancelamento"), day, day)).select("placa").distinct()
+    of_day = full.where(P.period_mask(F.col("data_cancelamento"), day, day))
+    return of_day.select("placa").distinct()

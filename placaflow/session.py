@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -38,12 +39,18 @@ def local_session(cores: str = "*", partitions: int = 8, **conf: str) -> SparkSe
 
 
 def work_folder(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a local one only where none is set."""
+    """The shared folder the cluster names; a temporary one only on a single machine."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="placaflow-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return _local_folder()
+
+
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="placaflow-")
 
 
 def materialise(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:

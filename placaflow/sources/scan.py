@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from placaflow.config import BRANDS, BrandSpec
+from placaflow.functions.calendar import days_between
 from placaflow.operators.joins import BRAND, DAY
 from placaflow.operators.sets import constant_rows, union_by_name
 from placaflow.schemas import INVOICES_SCHEMA, SOURCE_SCHEMAS
@@ -146,15 +147,21 @@ def load_snapshots(
     brands: Iterable[BrandSpec] = BRANDS,
     tables: Iterable[str] = tuple(SOURCE_SCHEMAS),
     evolve: bool = False,
+    by_day: bool = False,
 ) -> LazyTables:
-    """Every logical table over all brands and days, with brand and day columns."""
+    """Every logical table over all brands and days, with brand and day columns.
+
+    `evolve`: some days lack columns. `by_day`: column types change between days.
+    """
     brands = list(brands)
 
+    def scanned(brand: BrandSpec, table: str) -> DataFrame:
+        if by_day:
+            return scan_snapshot_by_day(spark, root, brand, table, days_between(start, end))
+        return scan_snapshot(spark, root, brand, table, start, end, evolve=evolve)
+
     def opened(table: str) -> DataFrame:
-        return union_by_name(
-            _with_brand(scan_snapshot(spark, root, brand, table, start, end, evolve=evolve), brand)
-            for brand in brands
-        )
+        return union_by_name(_with_brand(scanned(brand, table), brand) for brand in brands)
 
     return LazyTables({table: partial(opened, table) for table in tables})
 

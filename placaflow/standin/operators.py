@@ -65,7 +65,8 @@ def _references(s: Source) -> DataFrame:
 
 @query(
     "plate_identity",
-    "SELECT cov_id AS coverage_id, bri_id AS id_carroceria, placa, chassi, plate_id AS id_placa FROM plates",
+    """SELECT cov_id AS coverage_id, bri_id AS id_carroceria, placa, chassi, plate_id AS
+    id_placa FROM plates""",
 )
 def plate_identity(s: Source) -> DataFrame:
     rows = base.vehicle_or_trailer(_references(s), s.tables)
@@ -80,7 +81,8 @@ def identity_two_way(s: Source) -> DataFrame:
 
 @query(
     "passthrough_coalesce",
-    "SELECT cov_id AS coverage_id, coalesce(veh_id) AS id_veiculo, coalesce(bri_id) AS id_carroceria FROM plates",
+    """SELECT cov_id AS coverage_id, coalesce(veh_id) AS id_veiculo, coalesce(bri_id) AS
+    id_carroceria FROM plates""",
 )
 def passthrough_coalesce(s: Source) -> DataFrame:
     return _references(s).select("coverage_id", "id_veiculo", "id_carroceria")
@@ -88,14 +90,19 @@ def passthrough_coalesce(s: Source) -> DataFrame:
 
 @query(
     "effective_start",
-    "SELECT set_id AS conjunto, CAST(coalesce(eff_from, eff_to - INTERVAL 364 DAY) AS DATE) AS inicio_vig FROM sets",
+    """SELECT set_id AS conjunto, CAST(coalesce(eff_from, eff_to - INTERVAL 364 DAY) AS DATE)
+    AS inicio_vig FROM sets""",
 )
 def effective_start(s: Source) -> DataFrame:
     start = X.effective_start(F.col("date_inital_effect"), F.col("date_final_effect"))
     return _sets(s).select(F.col("id").alias("conjunto"), start.alias("inicio_vig"))
 
 
-@query("ticks_to_timestamp", "SELECT cov_id AS coverage_id, tick_ts AS data_atualizacao FROM plates")
+@query(
+    "ticks_to_timestamp",
+    """SELECT cov_id AS coverage_id, tick_ts AS data_atualizacao
+    FROM plates""",
+)
 def ticks_to_timestamp(s: Source) -> DataFrame:
     day = X.ticks_to_timestamp(F.col("updated_at"))
     return _covers(s).select(F.col("id").alias("coverage_id"), day.alias("data_atualizacao"))
@@ -168,7 +175,8 @@ _CATALOGUE_SQL = """(SELECT 'C' || CAST(c_custkey AS VARCHAR) AS cnpj_cpf, c_nam
 
 @query(
     "upper_all_strings",
-    f"SELECT upper(cnpj_cpf) AS cnpj_cpf, upper(nome) AS nome, upper(fantasia) AS fantasia FROM {_CATALOGUE_SQL}",
+    f"""SELECT upper(cnpj_cpf) AS cnpj_cpf, upper(nome) AS nome, upper(fantasia) AS fantasia
+    FROM {_CATALOGUE_SQL}""",
 )
 def upper_all_strings(s: Source) -> DataFrame:
     return X.upper_all_strings(_catalogue(s))
@@ -204,7 +212,8 @@ def commercial_category(s: Source) -> DataFrame:
 
 @query(
     "flag_to_label",
-    "SELECT set_id AS conjunto, CASE WHEN set_id % 5 = 0 THEN 'SIM' ELSE 'NÃO' END AS aberto FROM sets",
+    """SELECT set_id AS conjunto, CASE WHEN set_id % 5 = 0 THEN 'SIM' ELSE 'NÃO' END AS aberto
+    FROM sets""",
 )
 def flag_to_label(s: Source) -> DataFrame:
     no_start = F.col("date_inital_effect").isNull()
@@ -243,7 +252,8 @@ def typed_null_fill(s: Source) -> DataFrame:
 
 @query(
     "thousands_ptbr",
-    "SELECT set_id AS conjunto, replace(format('{:,}', set_id * 997), ',', '.') AS numero FROM sets",
+    """SELECT set_id AS conjunto, replace(format('{:,}', set_id * 997), ',', '.') AS numero
+    FROM sets""",
 )
 def thousands_ptbr(s: Source) -> DataFrame:
     return _sets(s).select(
@@ -391,7 +401,11 @@ _bill_filter(
 )
 
 
-@query("identity_not_null", "SELECT cov_id AS coverage_id, placa, chassi FROM plates WHERE placa IS NOT NULL AND chassi IS NOT NULL")
+@query(
+    "identity_not_null",
+    """SELECT cov_id AS coverage_id, placa, chassi
+    FROM plates WHERE placa IS NOT NULL AND chassi IS NOT NULL""",
+)
 def identity_not_null(s: Source) -> DataFrame:
     rows = base.vehicle_or_trailer(_references(s), s.tables, ["board", "chassi"])
     rows = rows.where(P.identity_not_null(F.col("placa"), F.col("chassi")))
@@ -408,7 +422,11 @@ def date_floor_after_rank(s: Source) -> DataFrame:
     return rows.select("chassi", BRAND, F.col("data_cancelamento").alias("data"))
 
 
-@query("like_contains", "SELECT doc AS cnpj_cpf, nome FROM units WHERE upper(nome) LIKE '%DIGITAL%'")
+@query(
+    "like_contains",
+    """SELECT doc AS cnpj_cpf, nome
+    FROM units WHERE upper(nome) LIKE '%DIGITAL%'""",
+)
 def like_contains(s: Source) -> DataFrame:
     rows = _catalogue(s).where(P.like_contains(F.upper("nome"), "DIGITAL"))
     return rows.select("cnpj_cpf", "nome")
@@ -429,7 +447,8 @@ def id_in_per_brand(s: Source) -> DataFrame:
 
 @query(
     "unit_allow_list",
-    "SELECT set_id AS conjunto, unidade FROM contracts WHERE unidade IN ('Unidade NATION_5', 'NATION_7')",
+    """SELECT set_id AS conjunto, unidade
+    FROM contracts WHERE unidade IN ('Unidade NATION_5', 'NATION_7')""",
 )
 def unit_allow_list(s: Source) -> DataFrame:
     rows = base.unit_lookup(base.contract_sets(s.tables), s.tables, by=["conjunto"])
@@ -571,7 +590,8 @@ _TOP_UNITS_SQL = """(SELECT CAST(unit_id AS BIGINT) AS id_unity, count(*) AS n F
 
 @query(
     "top_units_semi",
-    f"SELECT set_id AS conjunto FROM sets WHERE unit_id IN (SELECT id_unity FROM {_TOP_UNITS_SQL} t)",
+    f"""SELECT set_id AS conjunto FROM sets WHERE unit_id IN (SELECT id_unity
+    FROM {_TOP_UNITS_SQL} t)""",
 )
 def top_units_semi(s: Source) -> DataFrame:
     top = top_k(_sets_per_unit(s), "id_unity", "n", 4)
@@ -632,7 +652,11 @@ def report_total(s: Source) -> DataFrame:
     return A.with_total(_sets(s).groupBy(BRAND).agg(F.count("*").alias("n")), BRAND)
 
 
-@query("select_distinct", "SELECT DISTINCT veh_id AS id_veiculo, dir_id AS id_reboque, empresa FROM covers")
+@query(
+    "select_distinct",
+    """SELECT DISTINCT veh_id AS id_veiculo, dir_id AS id_reboque, empresa
+    FROM covers""",
+)
 def select_distinct(s: Source) -> DataFrame:
     rows = _covers(s).select(
         F.col("id_vehicle").alias("id_veiculo"), F.col("id_trailer").alias("id_reboque"), BRAND

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -12,6 +13,7 @@ from conftest import ts
 from placaflow import config as C
 from placaflow.plans import daily
 from placaflow.schemas import INVOICES_SCHEMA, SOURCE_SCHEMAS
+from placaflow.session import materialise, work_folder
 from placaflow.sources import scan, sinks
 
 SEG, TAG = C.BRANDS[0], C.BRANDS[3]
@@ -114,3 +116,31 @@ def test_daily_job(fixture, spark, tmp_path):
     assert of_period.where(F.col("data_cancelamento") == "2025-05-30").count() == 1
     assert spark.read.parquet(f"{paths['arquivo']}/latest").count() == 5
     assert ts("2025-05-30").date() == history[0].data
+
+
+def test_types_that_change_between_days(spark, tmp_path):
+    path = scan.resolve(str(tmp_path), TAG, "benefits")
+    write(spark, f"{path}/landing_date={DAYS[0]}", [("1", "x")], "id string, description string")
+    write(spark, f"{path}/landing_date={DAYS[2]}", [(2, "y")], "id long, description string")
+    tables = scan.load_snapshots(spark, str(tmp_path), DAYS[0], DAYS[2], by_day=True)
+    rows = tables["benefits"].select("landing_date", "id", "empresa").collect()
+    assert sorted(map(tuple, rows)) == [(DAYS[0], 1, "Tag"), (DAYS[2], 2, "Tag")]
+
+
+def named_session(folder, master):
+    conf = SimpleNamespace(get=lambda key, default=None: folder)
+    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+
+def test_work_folder():
+    assert work_folder(named_session("s3://shared/work/", "yarn")) == "s3://shared/work"
+    assert work_folder(named_session(None, "local[4]"))
+    with pytest.raises(RuntimeError):
+        work_folder(named_session(None, "yarn"))
+
+
+def test_materialised_frames_keep_their_rows(spark):
+    kept = materialise(spark.range(10).selectExpr("id", "id % 2 AS kind"), "t", "kind")
+    assert kept.where("kind = 1").count() == 5
+    assert kept.columns == ["id", "kind"]
+    assert any(work_folder(spark) in file for file in kept.inputFiles())
