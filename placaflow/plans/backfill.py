@@ -121,7 +121,11 @@ def _units(
 
 
 def backfill_activated(
-    tables: Tables, start: dt.date, end: dt.date, units: Iterable[str] | None = None
+    tables: Tables,
+    start: dt.date,
+    end: dt.date,
+    units: Iterable[str] | None = None,
+    mode: str = "weekend_rollup",
 ) -> DataFrame:
     """Activations in each snapshot's reporting window; plate and chassis may be missing.
 
@@ -133,7 +137,7 @@ def backfill_activated(
     if units is not None:
         sets = _units(sets, tables, units)
     rows = _plates(_active_references(tables, sets), tables, ["chassi"])
-    counts = snapshot_period_count(rows, "inicio_vig", "total_ativados")
+    counts = snapshot_period_count(rows, "inicio_vig", "total_ativados", mode)
     return per_snapshot_day(tables, counts, "total_ativados", start, end)
 
 
@@ -143,6 +147,7 @@ def backfill_cancelled(
     end: dt.date,
     units: Iterable[str] | None = None,
     statuses: Iterable[str] = C.CANCELLED_SET_STATUSES,
+    mode: str = "weekend_rollup",
 ) -> DataFrame:
     """Cancelled sets dated by their final day, in each snapshot's reporting window.
 
@@ -159,7 +164,7 @@ def backfill_cancelled(
             F.lit(None).cast("string").alias("chassi"), DAY, "fim_vig"
         )
     )
-    counts = snapshot_period_count(rows, "fim_vig", "total_cancelados")
+    counts = snapshot_period_count(rows, "fim_vig", "total_cancelados", mode)
     return per_snapshot_day(tables, counts, "total_cancelados", start, end)
 
 

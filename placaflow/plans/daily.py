@@ -15,7 +15,9 @@ from placaflow.session import materialise
 from placaflow.sources import sinks
 
 
-OUTPUTS = ("ativos", "cancelamentos", "cancelamentos_periodo", "relatorio", "base", "arquivo")
+OUTPUTS = (
+    "ativos", "cancelamentos", "cancelamentos_periodo", "relatorio", "base", "arquivo", "planilhas",
+)
 
 
 def stored_events(
@@ -48,10 +50,12 @@ def run_daily(
     mode: str = "weekend_rollup",
     days: int | None = None,
     guard: bool = False,
+    sheets: bool = False,
 ) -> dict[str, str]:
     """Write the detail sets, the report, the history and the archive under `out`.
 
     The reports are computed from the detail sets just written, so they agree with them.
+    `sheets` adds the detail sets as CSV for people: no empty cells, dates as text.
     """
     window = reporting_window(run_date, mode, days)
     paths = {name: f"{out.rstrip('/')}/{name}" for name in OUTPUTS}
@@ -66,7 +70,11 @@ def run_daily(
     active = spark.read.parquet(paths["ativos"])
     cancelled = spark.read.parquet(paths["cancelamentos"])
     of_period = detail.period_cancellations(cancelled, *window)
-    sinks.write_detail(X.typed_null_fill(of_period), paths["cancelamentos_periodo"])
+    sinks.write_detail(of_period, paths["cancelamentos_periodo"])
+    if sheets:
+        details = {"ativos": active, "cancelamentos": cancelled, "cancelamentos_periodo": of_period}
+        for name, df in details.items():
+            sinks.write_detail(X.typed_null_fill(df), f"{paths['planilhas']}/{name}", "csv")
     report = kpi.report_summary(active, cancelled, window)
     sinks.write_report(report, paths["relatorio"])
     history = kpi.daily_history(active, cancelled, window)

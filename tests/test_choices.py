@@ -220,6 +220,9 @@ def test_null_chassis_counts_once_among_the_activated(dated_fixture):
     # Monday reports Friday to Sunday: the plate of 31 May and one null chassis
     assert counts[dt.date(2025, 6, 2)] == 2
     assert counts[dt.date(2025, 6, 4)] == 0
+    # Friday alone (30 May) has neither
+    friday = backfill.backfill_activated(dated_fixture.tables(), *SPAN, mode="friday_only")
+    assert {r.total_ativados for r in friday.collect()} == {0}
 
 
 def test_cancelled_set_without_coverage_counts(dated_fixture):

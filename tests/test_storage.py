@@ -100,7 +100,7 @@ def test_daily_job(fixture, spark, tmp_path):
     bills = spark.createDataFrame([(1, 1, 2, 1, "Tag", "a")], INVOICES_SCHEMA)
     out = str(tmp_path / "out")
     for _ in range(2):  # a rerun of the day leaves the same result
-        paths = daily.run_daily(fixture.tables(), bills, dt.date(2025, 6, 2), out)
+        paths = daily.run_daily(fixture.tables(), bills, dt.date(2025, 6, 2), out, sheets=True)
     report = spark.read.parquet(paths["relatorio"]).orderBy("ordem").collect()
     assert [r.empresa for r in report] == ["SEGTRUCK", "STCOOP", "VIAVANTE", "TAG", "Total"]
     assert tuple(report[0])[2:6] == tuple(report[4])[2:6] == (1, 1, 1, 0)
@@ -115,6 +115,8 @@ def test_daily_job(fixture, spark, tmp_path):
     of_period = spark.read.parquet(paths["cancelamentos_periodo"])
     assert of_period.where(F.col("data_cancelamento") == "2025-05-30").count() == 1
     assert spark.read.parquet(f"{paths['arquivo']}/latest").count() == 5
+    sheet = spark.read.option("header", True).csv(f"{paths['planilhas']}/cancelamentos")
+    assert {(r.unidade, r.id_carroceria) for r in sheet.collect()} == {("N/A", "0")}
     assert ts("2025-05-30").date() == history[0].data
 
 
@@ -144,3 +146,12 @@ def test_materialised_frames_keep_their_rows(spark):
     assert kept.where("kind = 1").count() == 5
     assert kept.columns == ["id", "kind"]
     assert any(work_folder(spark) in file for file in kept.inputFiles())
+
+
+def test_invoices_are_normalised(spark, tmp_path):
+    assert scan.load_invoices(spark, str(tmp_path / "none")).count() == 0
+    rows = [("1", 1, "7", "x", "Tag", "a")]
+    schema = "ponteiro string, historico int, conjunto string, matricula string, empresa string, associado string"
+    write(spark, tmp_path / "bills", rows, schema)
+    (row,) = scan.load_invoices(spark, str(tmp_path / "bills")).collect()
+    assert (row.ponteiro, row.conjunto, row.matricula) == (1, 7, None)
