@@ -81,8 +81,13 @@ def contract_sets(
 
 
 def coverages(tables: Tables, where: Column | None = None) -> DataFrame:
-    """Coverages with their benefit status."""
-    source = tables["insurance_reg_set_coverage"]
+    """Coverages with their benefit status.
+
+    The id is the table's key. Saying that it is there makes the two joins of
+    `bridged_trailers` ask for the same shuffle of the coverages, which Spark then runs
+    once.
+    """
+    source = tables["insurance_reg_set_coverage"].where("id IS NOT NULL")
     rows = source.select(
         *scope_of(source),
         F.col("id").alias("coverage_id"),

@@ -46,8 +46,9 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _brand(set_id: str) -> str:
-    cases = " ".join(f"WHEN {n} THEN '{b.label}'" for n, b in enumerate(C.BRANDS))
-    return f"CASE {set_id} % {len(C.BRANDS)} {cases} END AS {BRAND}"
+    *first, last = C.BRANDS
+    cases = " ".join(f"WHEN {n} THEN '{b.label}'" for n, b in enumerate(first))
+    return f"CASE {set_id} % {len(C.BRANDS)} {cases} ELSE '{last.label}' END AS {BRAND}"
 
 
 def insurance_reg_set(orders: DataFrame, customer: DataFrame) -> DataFrame:
