@@ -67,7 +67,7 @@ WITH RECURSIVE worded AS (
   FROM documents
 ), sets AS (
   SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
-    ELSE list_transform(generate_series(1, len(w) - 2), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s
+    ELSE list_transform(generate_series(1, len(w) - 2), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s
   FROM worded
 ), grams AS (
   SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets
