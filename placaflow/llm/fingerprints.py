@@ -28,6 +28,8 @@ from placaflow.llm.common import durable, keep_clear, small
 
 WIDE, SIGNS = 16, 128
 BYTES = 8 * WIDE + 2 * SIGNS
+#: Texts hashed together.
+GROUP = 128
 _SENTENCE = re.compile(r"[^.!?\n]{1,200}[.!?]*")
 #: Ids of one stretch of the order, at least; more if there are over `STRETCHES` of them.
 STRETCH_IDS = 512
@@ -45,7 +47,12 @@ def _sums(rows: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(texts: Sequence[str]) -> np.ndarray:
-    """Fingerprints of texts, a row of `BYTES` bytes for each."""
+    """Fingerprints of texts, a row of `BYTES` bytes for each; some texts at a time."""
+    parts = [_fingerprints(texts[at : at + GROUP]) for at in range(0, len(texts), GROUP)]
+    return np.concatenate([*parts, np.empty((0, BYTES), dtype=np.uint8)])
+
+
+def _fingerprints(texts: Sequence[str]) -> np.ndarray:
     lines = [[p.encode() for p in t.split("\n") if p] for t in texts]
     wide = b"".join(hashlib.shake_128(p).digest(8 * WIDE) for ps in lines for p in ps)
     exact = _sums(
@@ -176,7 +183,7 @@ def compare_edits(df: DataFrame, key: str, text: str) -> DataFrame:
     kind = dict(ready.dtypes)["key"]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, GROUP) for b in batches for at in range(0, b.num_rows, GROUP)):
             columns = [batch.column(c).to_pylist() for c in ("text", "edited", "next_text")]
             # Most next texts are the texts of other rows here: each text is hashed once.
             places = {t: i for i, t in enumerate(dict.fromkeys(t for c in columns for t in c))}
