@@ -8,12 +8,15 @@ one. Equal chunks are encoded once per worker and kept in a bounded cache.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Sequence
+from array import array
+from collections.abc import Callable, Iterable, Sequence
 
 import numpy as np
 
 #: Chunks kept per worker process; the cache starts anew beyond it.
-CACHE_CHUNKS = 600_000
+CACHE_CHUNKS = 800_000
+#: Marks of chunks met before, and texts encoded together.
+MET, GROUP = 1 << 23, 256
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 
 
@@ -35,55 +38,39 @@ def chunks(text: str) -> list[str]:
     return [first, *[" " + w for w in rest]]
 
 
-def atoms(chunk: str) -> list[str]:
-    """Shorter parts of a chunk that can still be encoded one by one.
+class ChunkEncoder:
+    """Encodes texts through a function that encodes a list of strings.
 
-    A single line feed between other characters is a pre-token of its own, and so are a full
-    stop or a comma that end a chunk after a letter.
+    Ids of a chunk are kept from the second time on that it is new in a group of texts, so that
+    the many chunks that occur once do not fill the memory.
     """
-    lines = chunk.split("\n")
-    if len(lines) > 1 and (not all(lines) or any(x[0].isspace() for x in lines[1:]) or any(x[-1].isspace() for x in lines)):
-        return [chunk]
-    out: list[str] = []
-    for i, line in enumerate(lines):
-        if i:
-            out.append("\n")
-        if len(line) > 1 and line[-1] in ".," and line[-2].isalpha():
-            out += [line[:-1], line[-1]]
-        else:
-            out.append(line)
-    return out
-
 
-class ChunkEncoder:
-    """Encodes texts through a function that encodes a list of strings."""
-
-    def __init__(self, encode: Callable[[list[str]], Sequence[Sequence[int]]]) -> None:
+    def __init__(self, encode: Callable[[list[str]], Iterable[Sequence[int]]]) -> None:
         self.encode = encode
         #: Ids of chunks with their leading space left out, and of chunks as they are.
         self.spaced: dict[str, bytes] = {}
         self.whole: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-
-    def _learn(self, whole: set[str], spaced: set[str]) -> None:
-        split = {c: atoms(c) for c in whole}
-        split_spaced = {c: atoms(" " + c) for c in spaced}
-        wanted = {a for d in (split, split_spaced) for own in d.values() for a in own}
-        fresh = list(wanted - self.parts.keys())
-        for atom, ids in zip(fresh, self.encode(fresh)):
-            self.parts[atom] = np.array(ids, dtype="<u4").tobytes()
-        part = self.parts.__getitem__
-        for chunk, own in split.items():
-            self.whole[chunk] = part(own[0]) if len(own) == 1 else b"".join(map(part, own))
-        for chunk, own in split_spaced.items():
-            self.spaced[chunk] = part(own[0]) if len(own) == 1 else b"".join(map(part, own))
+        self.met = bytearray(MET)
+
+    def _learn(self, known: dict[str, bytes], new: list[str], lead: str) -> list[str]:
+        """Put the ids of new chunks among the known ones; those that are not to stay."""
+        once = []
+        for chunk, ids in zip(new, self.encode([lead + c for c in new]) if new else ()):
+            known[chunk] = array("I", ids).tobytes()
+            mark = hash(chunk) % MET
+            if not self.met[mark]:
+                self.met[mark] = 1
+                once.append(chunk)
+        return once
 
     def __call__(self, texts: Sequence[str]) -> list[np.ndarray]:
         """Ids of each text, as unsigned 32-bit integers."""
+        return [ids for at in range(0, len(texts), GROUP) for ids in self._group(texts[at : at + GROUP])]
+
+    def _group(self, texts: Sequence[str]) -> list[np.ndarray]:
         if len(self.spaced) + len(self.whole) > CACHE_CHUNKS:
             self.spaced.clear()
             self.whole.clear()
-            self.parts.clear()
         out: list[bytes | None] = []
         open_texts: list[tuple[int, list[str], list[str]]] = []
         new_whole: set[str] = set()
@@ -103,7 +90,10 @@ class ChunkEncoder:
                 out.append(None)
             else:
                 out.append(b"".join(found))
-        self._learn(new_whole, new_spaced)
+        passing = (self._learn(self.whole, list(new_whole), ""), self._learn(self.spaced, list(new_spaced), " "))
         for at, whole, rest in open_texts:
             out[at] = b"".join([*map(self.whole.__getitem__, whole), *map(self.spaced.__getitem__, rest)])
-        return [np.frombuffer(ids, dtype="<u4") for ids in out]
+        for known, once in zip((self.whole, self.spaced), passing):
+            for chunk in once:
+                del known[chunk]
+        return [np.frombuffer(ids, dtype=np.uint32) for ids in out]
