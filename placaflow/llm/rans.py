@@ -12,7 +12,7 @@ import zlib
 import numpy as np
 
 SCALE = 20
-LANES = 512
+LANES = 2048
 LOW = np.uint64(1 << 31)
 _WORD = np.uint64(32)
 _MASK = np.uint64((1 << SCALE) - 1)

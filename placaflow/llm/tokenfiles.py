@@ -33,10 +33,10 @@ from placaflow.llm.warc import open_folder
 
 MAGIC = b"TOKRANS1"
 _TAIL = struct.Struct("<QQQQI")
-BLOCK_IDS = 1 << 16
+BLOCK_IDS = 1 << 18
 #: Ids of one file, and of one run of blocks that a reading task decodes.
 FILE_IDS = 4 << 20
-RUN_BLOCKS = 16
+RUN_BLOCKS = 4
 #: The id that ends every document.
 END = 0
 
