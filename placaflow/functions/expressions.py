@@ -80,10 +80,15 @@ def thousands_ptbr(number: Column) -> Column:
 
 
 def period_label(start: Column, end: Column) -> Column:
-    """`dd/mm/yyyy`, or `dd/mm/yyyy (sexta) - dd/mm/yyyy (domingo)` for a weekend."""
+    """`dd/mm/yyyy`, `dd/mm/yyyy (sexta) - dd/mm/yyyy (domingo)` for a Friday and the Sunday
+    after it, `dd/mm/yyyy - dd/mm/yyyy` for other windows."""
     first, last = (F.date_format(d, "dd/MM/yyyy") for d in (start, end))
-    weekend = F.concat(first, F.lit(" (sexta) - "), last, F.lit(" (domingo)"))
-    return F.when(start == end, last).otherwise(weekend)
+    weekend = (F.weekday(start) == 4) & (F.date_add(start, 2) == end)
+    return (
+        F.when(start == end, last)
+        .when(weekend, F.concat(first, F.lit(" (sexta) - "), last, F.lit(" (domingo)")))
+        .otherwise(F.concat(first, F.lit(" - "), last))
+    )
 
 
 def label_concat(*columns: Column) -> Column:

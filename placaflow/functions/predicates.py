@@ -127,7 +127,3 @@ def is_partial(kind: Column) -> Column:
 
 def is_full_with_status(kind: Column, status: Column, wanted: str) -> Column:
     return (kind == C.FULL) & (status == wanted)
-
-
-def always_false() -> Column:
-    return F.lit(False)

@@ -81,13 +81,9 @@ def contract_sets(
 
 
 def coverages(tables: Tables, where: Column | None = None) -> DataFrame:
-    """Coverages with their benefit status.
-
-    The id is the table's key. Saying that it is there makes the two joins of
-    `bridged_trailers` ask for the same shuffle of the coverages, which Spark then runs
-    once.
-    """
-    source = tables["insurance_reg_set_coverage"].where("id IS NOT NULL")
+    """Coverages with their benefit status. One without an id counts like any other; it
+    only has no bridged trailers."""
+    source = tables["insurance_reg_set_coverage"]
     rows = source.select(
         *scope_of(source),
         F.col("id").alias("coverage_id"),
@@ -125,30 +121,27 @@ def uncovered_sets(sets: DataFrame, tables: Tables) -> DataFrame:
 
 
 def bridged_trailers(rows: DataFrame, tables: Tables) -> DataFrame:
-    """Coverages with the trailers attached through the bridge table.
+    """Rows of coverages with the trailers attached through the bridge table.
 
-    Joined before the sets are, while rows are narrow. Every coverage takes its first
-    trailer from a table with one row per coverage; further trailers, few as a rule, come
-    by an inner join, which Spark can split if one coverage bridges most trailers.
+    Called after the sets are joined, so that only coverages of wanted sets are shuffled.
+    Coverages with bridge entries and those without are found apart: in an inner join Spark
+    can split a coverage that bridges most trailers, on either side, and in an anti-join a
+    coverage that fills most rows. Repeated entries of a trailer count once.
     """
     bridge = tables["insurance_reg_set_cov_trailer"]
-    first = bridge.groupBy("parent", *scope_of(bridge)).agg(
-        F.min("id_trailer").alias("first_trailer")
-    )
-    with_first = lookup(
-        rows, first, {"coverage_id": "parent"}, {"first_trailer": "id_carroceria"}
-    )
-    further = lookup(
-        bridge, first, {"parent": "parent"}, {"first_trailer": "first_trailer"}, how="inner"
+    entries = bridge.select("parent", "id_trailer", *scope_of(bridge)).distinct()
+    # Said of both joins, so that they ask for one and the same shuffle of the rows.
+    named = rows.where("coverage_id IS NOT NULL")
+    with_entry = lookup(
+        named, entries, {"coverage_id": "parent"}, {"id_trailer": "id_carroceria"}, how="inner"
     )
-    # an entry without a trailer is a further one where another entry has a trailer
-    further = further.where(
-        "first_trailer IS NOT NULL AND (id_trailer IS NULL OR id_trailer > first_trailer)"
-    ).distinct()
-    with_further = lookup(
-        rows, further, {"coverage_id": "parent"}, {"id_trailer": "id_carroceria"}, how="inner"
+    known = bridge.select(F.col("parent").alias("coverage_id"), *scope_of(bridge)).where(
+        "coverage_id IS NOT NULL"
     )
-    return with_first.unionByName(with_further)
+    without = exclude_keys(named, known, ["coverage_id", *scope_of(known)])
+    without = without.unionByName(rows.where("coverage_id IS NULL"))
+    kind = entries.schema["id_trailer"].dataType
+    return with_entry.unionByName(without.withColumn("id_carroceria", F.lit(None).cast(kind)))
 
 
 def reduce_plates(df: DataFrame, order: OrderSpec, also: Iterable[str] = ()) -> DataFrame:
@@ -207,8 +200,8 @@ def contract_base(
 ) -> DataFrame:
     """Every coverage row of the contract chain that has a plate and a chassis."""
     sets = contract_sets(tables, set_where)
-    rows = bridged_trailers(coverages(tables, coverage_where), tables)
-    df = vehicle_or_trailer(sets_with_coverages(sets, rows), tables)
+    rows = sets_with_coverages(sets, coverages(tables, coverage_where))
+    df = vehicle_or_trailer(bridged_trailers(rows, tables), tables)
     return df.where(P.identity_not_null(F.col("placa"), F.col("chassi")))
 
 

@@ -119,8 +119,7 @@ def plate_events(
     sets = contract_sets(tables, _any(on_set), flags if len(rules) > 1 else None)
     # An event without a coverage rule needs every coverage.
     wanted = _any(on_coverage) if len(on_coverage) == len(rules) else None
-    rows = bridged_trailers(coverages(tables, wanted), tables)
-    rows = sets_with_coverages(sets, rows)
+    rows = bridged_trailers(sets_with_coverages(sets, coverages(tables, wanted)), tables)
     if len(rules) == 1:
         rows = rows.withColumn(EVENT, F.lit(events[0]))
     else:
@@ -223,7 +222,9 @@ def active_plates(
     result = X.upper_all_strings(rows.select(*columns))
     if not ordered:
         return result
-    return order_rows(result, [("inicio_vig", "desc"), ("data_ativacao", "desc")])
+    # The set and the chassis tell equal dates apart, so that a range of them can be split.
+    order = [("inicio_vig", "desc"), ("data_ativacao", "desc"), ("conjunto", "asc"), ("chassi", "asc")]
+    return order_rows(result, order)
 
 
 def active_chassis(events: DataFrame) -> DataFrame:

@@ -69,6 +69,9 @@ SOURCE_SCHEMAS: dict[str, T.StructType] = {
 }
 
 # The overdue-invoice list is the result of a query that is not ours: an input table.
+#: Columns that no report reads; files may lack them.
+OPTIONAL_COLUMNS = ("code_type_vehicle", "code_brand_vehicle")
+
 INVOICES_SCHEMA = _schema(
     ponteiro="long",
     historico="int",

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -39,18 +37,21 @@ def local_session(cores: str = "*", partitions: int = 8, **conf: str) -> SparkSe
 
 
 def work_folder(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only on a single machine."""
+    """A folder that all executors share: the one the cluster names, else one in the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return _local_folder()
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
 
 
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="placaflow-")
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder among the shared ones, removed when the application ends, however it does."""
+    folder = f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return folder
 
 
 def materialise(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
@@ -60,8 +61,8 @@ def materialise(df: DataFrame, name: str, partition_by: str | None = None) -> Da
     executor costs a re-read of this table rather than of its sources.
     """
     spark = df.sparkSession
-    path = f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    writer = df.write.mode("errorifexists")
+    path = new_folder(spark, name)
+    writer = df.write.mode("overwrite")
     if partition_by is not None:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)

@@ -16,7 +16,7 @@ from placaflow.config import BRANDS, BrandSpec
 from placaflow.functions.calendar import days_between
 from placaflow.operators.joins import BRAND, DAY
 from placaflow.operators.sets import constant_rows, union_by_name
-from placaflow.schemas import INVOICES_SCHEMA, SOURCE_SCHEMAS
+from placaflow.schemas import INVOICES_SCHEMA, OPTIONAL_COLUMNS, SOURCE_SCHEMAS
 from placaflow.sources.lazy import LazyTables
 
 _NOTHING_THERE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
@@ -27,14 +27,24 @@ def resolve(root: str, brand: BrandSpec, table: str) -> str:
     return f"{root.rstrip('/')}/{brand.folder}/{table}"
 
 
-def normalise(df: DataFrame, schema: T.StructType, keep: Iterable[str] = ()) -> DataFrame:
+class MissingColumns(ValueError):
+    """A table lacks declared columns."""
+
+
+def normalise(
+    df: DataFrame, schema: T.StructType, keep: Iterable[str] = (), optional: Iterable[str] = OPTIONAL_COLUMNS
+) -> DataFrame:
     """Declared columns and types, whatever the files hold.
 
-    Ids or dates that arrive as text are read leniently (bad value -> null), columns a
-    file lacks become null. Columns that already have the declared type are untouched,
-    so filters on them still reach the scan.
+    Ids or dates that arrive as text are read leniently (bad value -> null). A column that
+    is not there is an error, unless it is one of the `optional` ones: those become null.
+    Columns that already have the declared type are untouched, so filters on them still
+    reach the scan.
     """
     present = {f.name.lower(): f for f in df.schema.fields}
+    lacking = [n for n in schema.fieldNames() if n.lower() not in present and n not in set(optional)]
+    if lacking:
+        raise MissingColumns(f"columns {', '.join(lacking)} are not in the table's files")
 
     def column(field: T.StructField) -> Column:
         found = present.get(field.name.lower())
@@ -65,10 +75,10 @@ def _read(spark: SparkSession, path: str, merge: bool = False) -> DataFrame | No
 def scan_brand_table(
     spark: SparkSession, root: str, brand: BrandSpec, table: str, schema: T.StructType | None = None
 ) -> DataFrame:
-    """Current table of one brand; an absent table is an empty one."""
+    """Current table of one brand. An absent table or column is an error: no report
+    should count it as nothing."""
     schema = schema or SOURCE_SCHEMAS[table]
-    df = _read(spark, resolve(root, brand, table))
-    return empty_table(spark, schema) if df is None else normalise(df, schema)
+    return normalise(spark.read.parquet(resolve(root, brand, table)), schema)
 
 
 def scan_snapshot(
@@ -79,12 +89,15 @@ def scan_snapshot(
     start: dt.date,
     end: dt.date,
     schema: T.StructType | None = None,
-    evolve: bool = False,
+    evolve: bool = True,
+    optional: Iterable[str] = OPTIONAL_COLUMNS,
 ) -> DataFrame:
     """Daily snapshots of one brand's table between two days (partition pruning).
 
-    With `evolve`, columns that some files lack are united by name. A day whose file
-    types differ from the others' cannot be merged: see `scan_snapshot_by_day`.
+    A brand without snapshots of the table has no rows. Columns that some files lack are
+    united by name (`evolve`; without it one file's columns stand for all); a column that no
+    file has is an error unless it is `optional`. A day whose file types differ from the
+    others' cannot be merged: see `scan_snapshot_by_day`.
     """
     schema = schema or SOURCE_SCHEMAS[table]
     dated = T.StructType([T.StructField(DAY, T.DateType()), *schema.fields])
@@ -94,7 +107,7 @@ def scan_snapshot(
     if df.schema[DAY].dataType != T.DateType():
         df = df.withColumn(DAY, F.col(DAY).try_cast("date"))
     df = df.where(F.col(DAY).between(F.lit(start), F.lit(end)))
-    return normalise(df, schema, keep=[DAY])
+    return normalise(df, schema, keep=[DAY], optional=optional)
 
 
 def scan_snapshot_by_day(
@@ -105,7 +118,10 @@ def scan_snapshot_by_day(
     days: Iterable[dt.date],
     schema: T.StructType | None = None,
 ) -> DataFrame:
-    """Snapshots whose column types change between days: one scan per day, united."""
+    """Snapshots whose column types change between days: one scan per day, united.
+
+    Columns that a day lacks are null on that day.
+    """
     schema = schema or SOURCE_SCHEMAS[table]
     dated = T.StructType([T.StructField(DAY, T.DateType()), *schema.fields])
     frames = [empty_table(spark, dated)]
@@ -113,7 +129,9 @@ def scan_snapshot_by_day(
         df = _read(spark, f"{resolve(root, brand, table)}/{DAY}={day.isoformat()}")
         if df is not None:
             frames.append(
-                normalise(df, schema).select(F.lit(day).alias(DAY), *schema.fieldNames())
+                normalise(df, schema, optional=schema.fieldNames()).select(
+                    F.lit(day).alias(DAY), *schema.fieldNames()
+                )
             )
     return union_by_name(frames)
 
@@ -146,12 +164,12 @@ def load_snapshots(
     end: dt.date,
     brands: Iterable[BrandSpec] = BRANDS,
     tables: Iterable[str] = tuple(SOURCE_SCHEMAS),
-    evolve: bool = False,
+    evolve: bool = True,
     by_day: bool = False,
 ) -> LazyTables:
     """Every logical table over all brands and days, with brand and day columns.
 
-    `evolve`: some days lack columns. `by_day`: column types change between days.
+    `evolve`: some days may lack columns. `by_day`: column types change between days.
     """
     brands = list(brands)
 
@@ -167,9 +185,9 @@ def load_snapshots(
 
 
 def load_invoices(spark: SparkSession, path: str) -> DataFrame:
-    """The overdue-invoice list (brand labels in title case, as delivered)."""
-    df = _read(spark, path)
-    return empty_table(spark, INVOICES_SCHEMA) if df is None else normalise(df, INVOICES_SCHEMA)
+    """The overdue-invoice list (brand labels in title case, as delivered). Without it no
+    contract can be called paid, so an absent list is an error."""
+    return normalise(spark.read.parquet(path), INVOICES_SCHEMA)
 
 
 def sample_table(df: DataFrame, n: int = 5) -> tuple[DataFrame, list[str]]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from placaflow import config as C
@@ -152,7 +152,10 @@ def rename_column(s: Source) -> DataFrame:
 
 @query("drop_if_exists", "SELECT set_id AS conjunto, empresa FROM sets")
 def drop_if_exists(s: Source) -> DataFrame:
-    return _sets(s).select(F.col("id").alias("conjunto"), BRAND).drop("rn")
+    """A rank column goes where it is there (first branch) and is no error where it is not."""
+    rows = _sets(s).select(F.col("id").alias("conjunto"), BRAND)
+    ranked = rows.withColumn("rn", F.row_number().over(Window.partitionBy("conjunto").orderBy(BRAND)))
+    return ranked.where("rn = 1").drop("rn").drop("rn")
 
 
 @query(
@@ -371,7 +374,6 @@ _set_filter(
         K.days_between(dt.date(2001, 7, 27), dt.date(2001, 7, 29)),
     ),
 )
-_set_filter("always_false", "1 = 0", P.always_false)
 _cover_filter(
     "benefit_is_active", "ben_status = 'ATIVO'", lambda: P.benefit_is_active(F.col("status"))
 )
@@ -693,7 +695,7 @@ def order_active(s: Source) -> DataFrame:
     rows = base.contract_sets(s.tables).select(
         "conjunto", "inicio_vig", F.col("ativado_em").alias("data_ativacao")
     )
-    return order_rows(rows, [("inicio_vig", "desc"), ("data_ativacao", "desc")])
+    return order_rows(rows, [("inicio_vig", "desc"), ("data_ativacao", "desc"), ("conjunto", "asc")])
 
 
 @query(
@@ -702,7 +704,7 @@ def order_active(s: Source) -> DataFrame:
 )
 def order_cancellations(s: Source) -> DataFrame:
     rows = base.contract_sets(s.tables).select("conjunto", "data_cancelamento")
-    return order_rows(rows, [("data_cancelamento", "desc")])
+    return order_rows(rows, [("data_cancelamento", "desc"), ("conjunto", "asc")])
 
 
 @query(

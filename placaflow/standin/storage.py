@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame
@@ -15,7 +14,7 @@ from placaflow.operators.joins import BRAND, DAY, zero_fill
 from placaflow.operators.sets import union_by_name
 from placaflow.plans import backfill, daily, kpi
 from placaflow.schemas import SOURCE_SCHEMAS
-from placaflow.session import work_folder
+from placaflow.session import new_folder
 from placaflow.sources import scan, sinks
 from placaflow.standin import tables as S
 from placaflow.standin.registry import FLOOR, RUN_DATE, Source, query, window
@@ -26,21 +25,23 @@ _TAG = C.BRANDS[3]
 
 
 def _folder(s: Source, name: str) -> str:
-    return f"{work_folder(s.spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{new_folder(s.spark, name)}/data"
 
 
 def _as_text(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
 
 
-def _land(s: Source, name: str, brands=C.BRANDS) -> str:
-    """Brand folders of the set table; the first brand's columns are all text."""
+def _land(s: Source, name: str, brands=C.BRANDS, day: dt.date | None = None) -> str:
+    """Brand folders of the set table, as of a day if one is given; the first brand's
+    columns are all text."""
     root = _folder(s, name)
     rows = s.tables[_SETS]
     for brand in brands:
         df = rows.where(F.col(BRAND) == brand.label).drop(BRAND)
         df = _as_text(df) if brand is C.BRANDS[0] else df
-        df.write.parquet(scan.resolve(root, brand, _SETS))
+        folder = scan.resolve(root, brand, _SETS)
+        df.write.parquet(folder if day is None else f"{folder}/{DAY}={day}")
     return root
 
 
@@ -80,9 +81,10 @@ def brand_namespace_map(s: Source) -> DataFrame:
     ON upper(s.empresa) = b.empresa AND s.empresa IN ('Segtruck', 'Tag') GROUP BY 1, 2""",
 )
 def empty_table_fallback(s: Source) -> DataFrame:
-    """Two of the four brands have no files: they are read as empty tables."""
-    root = _land(s, "some-brands", (C.BRANDS[0], _TAG))
-    rows = scan.load_tables(s.spark, root)[_SETS]
+    """Two of the four brands have no snapshot files: they are read as empty tables."""
+    day = S.SNAPSHOT_END
+    root = _land(s, "some-brands", (C.BRANDS[0], _TAG), day)
+    rows = scan.load_snapshots(s.spark, root, day, day)[_SETS]
     counts = rows.groupBy(F.upper(BRAND).alias(BRAND)).agg(F.count("*").alias("n"))
     return zero_fill(kpi.brand_spine(s.spark), counts, [BRAND])
 
@@ -142,8 +144,10 @@ def scan_snapshot_evolving(s: Source) -> DataFrame:
     first, second = dt.date(2001, 7, 20), dt.date(2001, 7, 21)
     rows.select("id", "parent").write.parquet(f"{path}/{DAY}={first}")
     rows.select("id", "parent", "user_name_cancellation").write.parquet(f"{path}/{DAY}={second}")
-    scanned = scan.scan_snapshot(s.spark, root, _TAG, _SETS, first, second, evolve=True)
-    return scanned.select(DAY, "id", "parent", "user_name_cancellation")
+    schema = T.StructType(
+        [SOURCE_SCHEMAS[_SETS][n] for n in ("id", "parent", "user_name_cancellation")]
+    )
+    return scan.scan_snapshot(s.spark, root, _TAG, _SETS, first, second, schema)
 
 
 @query(

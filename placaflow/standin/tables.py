@@ -209,11 +209,9 @@ def snapshot_tables(
     def dated(name: str, first: Column) -> DataFrame:
         days = F.sequence(F.greatest(first, F.lit(start)), F.lit(end))
         # a sequence that starts after its end would count down: such rows have no day
-        # the test files have one row group: spread the rows before they are multiplied
         return (
             tables[name]
             .where(first <= F.lit(end))
-            .repartition("parent")
             .withColumn(DAY, F.explode(days))
             .where(F.col(DAY) != F.lit(missing))
         )

@@ -245,3 +245,21 @@ def test_one_job_equals_single_days(spark):
         (alone,) = backfill.backfill_active(frames, day, day).collect()
         assert alone.ativos == counts[day]
         assert backfill.active_on_day(frames, day).agg(F.count("*")).first()[0] == counts[day]
+
+
+def test_a_coverage_without_id_keeps_its_plate(fixture):
+    """Also one whose id could not be read: it is null then."""
+    fixture.vehicle(5).contract(1).cover(None, 1, id_vehicle=5)
+    events = detail.plate_events(fixture.tables(), [C.ACTIVE], with_names=False)
+    rows = detail.active_plates(events, dt.date(2025, 6, 2)).collect()
+    assert [r.chassi for r in rows] == ["CH1"]
+
+
+def test_order_of_active_plates(fixture):
+    """Latest start first, ties by set, no start last."""
+    for n, start in ((1, "2025-03-01"), (2, "2025-04-01"), (3, "2025-03-01"), (4, None)):
+        fixture.vehicle(n, chassi=f"C{n}").contract(n, date_inital_effect=start)
+        fixture.cover(n, n, id_vehicle=n)
+    events = detail.plate_events(fixture.tables(), [C.ACTIVE], with_names=False)
+    rows = detail.active_plates(events, dt.date(2025, 6, 2)).collect()
+    assert [r.chassi for r in rows] == ["C2", "C1", "C3", "C4"]

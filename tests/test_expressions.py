@@ -59,6 +59,8 @@ def test_labels(spark):
         "30/05/2025 (sexta) - 01/06/2025 (domingo)"
     )
     assert one(spark, X.period_label(sunday, sunday)) == "01/06/2025"
+    month = F.lit(dt.date(2025, 5, 3))
+    assert one(spark, X.period_label(month, sunday)) == "03/05/2025 - 01/06/2025"
     assert one(spark, X.weekend_marker(F.lit(dt.date(2025, 5, 31)), F.lit(3))) == "SÁBADO"
     assert one(spark, X.weekend_marker(F.lit(MONDAY), F.lit(3))) == "3"
     assert one(spark, X.unit_display_name(F.lit("FTR X"), F.lit("Y"))) == "FTR X"

@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from placaflow.standin import catalog
 
 DATA = "/root/testdata/sf0.01"
 MAIN = [
@@ -16,7 +17,7 @@ MAIN = [
     "benefit_catalogue", "backfill_cancelled", "backfill_cancellations", "scan_brand_tables",
     "run_sql_file", "contract_chain",
 ]
-NAMES = list(entry.queries()) if os.environ.get("PLACAFLOW_ALL") else MAIN
+NAMES = list(catalog.QUERIES) if os.environ.get("PLACAFLOW_ALL") else MAIN
 TYPES = {
     "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "date": "DATE",
     "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN",
@@ -39,7 +40,8 @@ def in_order(columns, rows):
 
 
 def test_every_query_has_a_twin():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.ORACLES)
+    assert set(catalog.QUERIES) <= set(entry.queries())
 
 
 def test_entry_has_five_rows(spark):

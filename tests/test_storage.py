@@ -27,18 +27,43 @@ def write(spark, path, rows, schema):
 def test_text_ids_become_numbers(spark, tmp_path):
     path = scan.resolve(str(tmp_path), SEG, "insurance_status")
     write(spark, path, [("12", "a"), ("x", "b"), (None, "c")], "ID string, DESCRIPTION string")
-    rows = scan.load_tables(spark, str(tmp_path))["insurance_status"].collect()
+    rows = scan.load_tables(spark, str(tmp_path), [SEG])["insurance_status"].collect()
     assert sorted((r.id, r.description, r.empresa) for r in rows if r.id) == [(12, "a", "Segtruck")]
     assert sum(r.id is None for r in rows) == 2
 
 
-def test_absent_tables_are_empty_with_their_schema(spark, tmp_path):
-    tables = scan.load_tables(spark, str(tmp_path))
-    for name, schema in SOURCE_SCHEMAS.items():
-        assert tables[name].columns == [*schema.fieldNames(), "empresa"]
+def test_absent_snapshots_are_empty_with_their_schema(spark, tmp_path):
+    tables = scan.load_snapshots(spark, str(tmp_path), DAYS[0], DAYS[2])
+    for name in ("insurance_reg_set", "benefits"):
+        assert tables[name].columns == ["landing_date", *SOURCE_SCHEMAS[name].fieldNames(), "empresa"]
         assert tables[name].count() == 0
 
 
+def test_absent_current_tables_and_invoices_are_errors(spark, tmp_path):
+    with pytest.raises(AnalysisException):
+        scan.load_tables(spark, str(tmp_path / "none"))["insurance_reg_set"].count()
+    with pytest.raises(AnalysisException):
+        scan.load_invoices(spark, str(tmp_path / "none"))
+
+
+def test_an_absent_column_is_an_error(spark, tmp_path):
+    path = scan.resolve(str(tmp_path), SEG, "insurance_status")
+    write(spark, path, [(12,)], "id long")
+    with pytest.raises(scan.MissingColumns, match="description"):
+        scan.scan_brand_table(spark, str(tmp_path), SEG, "insurance_status")
+    schema = SOURCE_SCHEMAS["insurance_status"]
+    (row,) = scan.normalise(spark.read.parquet(path), schema, optional=["description"]).collect()
+    assert tuple(row) == (12, None)
+
+
+def test_a_column_absent_on_the_first_day_keeps_its_values(spark, tmp_path):
+    path = scan.resolve(str(tmp_path), TAG, "benefits")
+    write(spark, f"{path}/landing_date={DAYS[0]}", [(1,)], "id long")
+    write(spark, f"{path}/landing_date={DAYS[1]}", [(2, "x")], "id long, description string")
+    df = scan.scan_snapshot(spark, str(tmp_path), TAG, "benefits", DAYS[0], DAYS[2])
+    assert sorted(map(tuple, df.collect())) == [(DAYS[0], 1, None), (DAYS[1], 2, "x")]
+
+
 def test_other_read_errors_surface(spark, tmp_path):
     path = tmp_path / SEG.folder / "insurance_status"
     path.mkdir(parents=True)
@@ -129,16 +154,14 @@ def test_types_that_change_between_days(spark, tmp_path):
     assert sorted(map(tuple, rows)) == [(DAYS[0], 1, "Tag"), (DAYS[2], 2, "Tag")]
 
 
-def named_session(folder, master):
-    conf = SimpleNamespace(get=lambda key, default=None: folder)
-    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+def named_session(**settings):
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: settings.get(key, default)))
 
 
-def test_work_folder():
-    assert work_folder(named_session("s3://shared/work/", "yarn")) == "s3://shared/work"
-    assert work_folder(named_session(None, "local[4]"))
-    with pytest.raises(RuntimeError):
-        work_folder(named_session(None, "yarn"))
+def test_work_folder_is_a_shared_one():
+    named = {"spark.checkpoint.dir": "s3://shared/work/", "spark.sql.warehouse.dir": "s3://house"}
+    assert work_folder(named_session(**named)) == "s3://shared/work"
+    assert work_folder(named_session(**{"spark.sql.warehouse.dir": "s3://house"})) == "s3://house/_work"
 
 
 def test_materialised_frames_keep_their_rows(spark):
@@ -149,7 +172,6 @@ def test_materialised_frames_keep_their_rows(spark):
 
 
 def test_invoices_are_normalised(spark, tmp_path):
-    assert scan.load_invoices(spark, str(tmp_path / "none")).count() == 0
     rows = [("1", 1, "7", "x", "Tag", "a")]
     schema = "ponteiro string, historico int, conjunto string, matricula string, empresa string, associado string"
     write(spark, tmp_path / "bills", rows, schema)
