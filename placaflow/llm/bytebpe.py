@@ -84,9 +84,7 @@ class ByteBpe:
         self.pattern = regex.compile(pattern)
         self.encode = ChunkEncoder(self._encode)
         size = self.model.get_piece_size() - 1
-        self.bytes = [
-            bytes(ord(x) - FIRST_LETTER for x in self.model.id_to_piece(i)) for i in range(size)
-        ]
+        self.bytes = inverse([self.model.id_to_piece(i) for i in range(size)])
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         """Ids of each text. Pre-tokens go to the model in rows, a letter outside the vocabulary between them."""
@@ -102,7 +100,23 @@ class ByteBpe:
         return [[i for p in parts for i in known[letters(p.encode())]] for parts in split]
 
     def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.bytes.__getitem__, ids.tolist()))
+        return joined(self.bytes, ids)
+
+
+def inverse(pieces: list[str]) -> list[bytes]:
+    """The bytes of pieces by the inverse mapping of their letters."""
+    return [bytes(ord(x) - FIRST_LETTER for x in piece) for piece in pieces]
+
+
+def joined(table: list[bytes], ids: np.ndarray) -> bytes:
+    return b"".join(map(table.__getitem__, ids.tolist()))
+
+
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Shorter batches: a batch's ids are in memory several times."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 @lru_cache(maxsize=2)
@@ -123,7 +137,7 @@ def encode(df: DataFrame, text: str, ranks_path: str, pattern: str) -> DataFrame
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = coder(proto, pattern)
-        for batch in batches:
+        for batch in sliced(batches):
             found = bpe.encode([t or "" for t in batch.column(text).to_pylist()])
             ends = np.cumsum([0] + [len(x) for x in found]).astype(np.int32)
             flat = np.concatenate([*found, np.zeros(0, "<u4")]).astype(np.int32)
@@ -133,22 +147,22 @@ def encode(df: DataFrame, text: str, ranks_path: str, pattern: str) -> DataFrame
     return df.mapInArrow(add, schema)
 
 
-def decode(df: DataFrame, ids: str, ranks_path: str, pattern: str) -> DataFrame:
+def decode(df: DataFrame, ids: str, ranks_path: str) -> DataFrame:
     """Adds `decoded` (binary): the bytes of the ids; null ids give null. `decoded` may clash as `ids`."""
     df = keep_clear(df, ["decoded"])
-    proto = model_proto(read_ranks(ranks_path))
+    pieces = [letters(token) for token in read_ranks(ranks_path)]
     schema = df.selectExpr("*", "CAST('' AS BINARY) AS decoded").schema
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = coder(proto, pattern)
-        for batch in batches:
+        own = inverse(pieces)
+        for batch in sliced(batches):
             lists = batch.column(ids)
             flat = lists.flatten().to_numpy(zero_copy_only=False)
             ends = np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
             valid = lists.is_valid().to_pylist()
             out, at = [], 0
             for end, there in zip(ends.tolist(), valid):
-                out.append(bpe.decode(flat[at:end]) if there else None)
+                out.append(joined(own, flat[at:end]) if there else None)
                 at = end
             yield batch.append_column("decoded", pa.array(out, pa.binary()))
 

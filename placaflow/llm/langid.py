@@ -212,7 +212,7 @@ def identify(df: DataFrame, text: str, model: Model) -> DataFrame:
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model.load(saved)
-        for batch in batches:
+        for batch in (b.slice(at, 1024) for b in batches for at in range(0, b.num_rows, 1024)):
             names, scores, rejected = own.predict(batch.column(text).to_pylist())
             out = batch.append_column("lang_pred", pa.array(names, pa.string()))
             yield out.append_column("score", pa.array(scores, pa.float64())).append_column("rejected", pa.array(rejected, pa.bool_()))

@@ -83,7 +83,7 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     path, pattern = vocabularies.path(RANKS), vocabularies.PATTERN
-    decoded = bytebpe.decode(bytebpe.encode(docs, "text", path, pattern).drop("text"), "ids", path, pattern)
+    decoded = bytebpe.decode(bytebpe.encode(docs, "text", path, pattern).drop("text"), "ids", path)
     return decoded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),

@@ -182,7 +182,7 @@ def test_byte_bpe(odd, none):
     path = vocabularies.path(RANKS)
     coded = bytebpe.encode(odd, "text", path, vocabularies.PATTERN)
     assert "ids_in" in coded.columns
-    for r in bytebpe.decode(coded, "ids", path, vocabularies.PATTERN).collect():
+    for r in bytebpe.decode(coded, "ids", path).collect():
         assert bytes(r.decoded) == (r.text or "").encode()
     assert bytebpe.encode(none, "text", path, vocabularies.PATTERN).count() == 0
 
