@@ -45,8 +45,8 @@ class ChunkEncoder:
     the many chunks that occur once do not fill the memory.
     """
 
-    def __init__(self, encode: Callable[[list[str]], Iterable[Sequence[int]]]) -> None:
-        self.encode = encode
+    def __init__(self, encode: Callable[[list[str]], Iterable[Sequence[int]]], kept: int = CACHE_CHUNKS) -> None:
+        self.encode, self.kept = encode, kept
         #: Ids of chunks with their leading space left out, and of chunks as they are.
         self.spaced: dict[str, bytes] = {}
         self.whole: dict[str, bytes] = {}
@@ -68,7 +68,7 @@ class ChunkEncoder:
         return [ids for at in range(0, len(texts), GROUP) for ids in self._group(texts[at : at + GROUP])]
 
     def _group(self, texts: Sequence[str]) -> list[np.ndarray]:
-        if len(self.spaced) + len(self.whole) > CACHE_CHUNKS:
+        if len(self.spaced) + len(self.whole) > self.kept:
             self.spaced.clear()
             self.whole.clear()
         out: list[bytes | None] = []

@@ -35,7 +35,7 @@ RANGES = 64
 LIST_BLOCK = 2048
 #: Sets compared with one common set in one group.
 HUB_BLOCK = 512
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 250_000
 _MIX = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
 

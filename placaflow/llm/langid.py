@@ -26,7 +26,7 @@ EPOCHS, RATE, SEED = 8, 0.5, 7
 CALIBRATION, LOST = 5, 0.001
 UNKNOWN = "und"
 _GAP = 4
-_PART_BYTES = 1 << 20
+_PART_BYTES = 1 << 18
 _KEPT = bytes(c if chr(c).isalpha() or c >= 0x80 else 0x20 for c in range(256))
 
 
