@@ -39,9 +39,10 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of every row of the mix, and whether they decode to its text."""
     path, pattern = vocabularies.path(RANKS), vocabularies.PATTERN
-    encoded = bytebpe.encode(docs.select("doc_id", "source", "text"), "text", path, pattern)
-    decoded = bytebpe.decode(encoded, "ids", path)
-    same = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
+    digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    encoded = bytebpe.encode(docs.select("doc_id", "source", digest.alias("digest"), "text"), "text", path, pattern)
+    decoded = bytebpe.decode(encoded.drop("text"), "ids", path)  # the text need not pass a second worker
+    same = F.sha2("decoded", 256) == F.col("digest")
     return decoded.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("decodes"))
 
 

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placaflow.llm.common import drop_folder, durable, keep_clear, small, stored
+from placaflow.llm.common import drop_folder, durable, give_back, keep_clear, small, stored
 from placaflow.llm.components import components
 from placaflow.llm.lm import Words
 
@@ -182,6 +182,8 @@ def _postings(df: DataFrame, n: int, t: int, ranks: np.ndarray) -> DataFrame:
                     ],
                     names=["token", "k", "pos", "size"],
                 )
+        del sets
+        give_back()
 
     return df.select("text").mapInArrow(work, "token long, k long, pos int, size int")
 
@@ -288,6 +290,8 @@ def _verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, n: int, t: int
                         out = []
                 if out:
                     yield _sent(out)
+        del sets
+        give_back()
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head: tuple[int, int] | None = None

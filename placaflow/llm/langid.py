@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from placaflow.llm.common import keep_clear
+from placaflow.llm.common import give_back, keep_clear
 
 BUCKETS, WIDTH = 1 << 16, 16
 GRAMS = (3, 4)
@@ -216,5 +216,6 @@ def identify(df: DataFrame, text: str, model: Model) -> DataFrame:
             names, scores, rejected = own.predict(batch.column(text).to_pylist())
             out = batch.append_column("lang_pred", pa.array(names, pa.string()))
             yield out.append_column("score", pa.array(scores, pa.float64())).append_column("rejected", pa.array(rejected, pa.bool_()))
+        give_back()
 
     return df.mapInArrow(add, schema)
