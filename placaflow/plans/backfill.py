@@ -19,6 +19,7 @@ from placaflow.functions import expressions as X
 from placaflow.functions import predicates as P
 from placaflow.operators.dedupe import keep_first
 from placaflow.operators.joins import BRAND, DAY, scope_of
+from placaflow.operators.sets import union_by_name
 from placaflow.plans.base import (
     NAME_COLUMNS,
     PLATE_REFERENCE,
@@ -38,20 +39,45 @@ from placaflow.session import materialise
 from placaflow.sources.lazy import LazyTables
 
 
+#: Tables without which a brand cannot be counted on a day.
+COUNTED_TABLES = ("insurance_registration", "insurance_reg_set", "insurance_reg_set_coverage")
+
+
+def found_tables(tables: Tables, brands: Iterable[C.BrandSpec] = C.BRANDS) -> tuple[DataFrame, int]:
+    """Per snapshot day, how many of the brands' counted tables have rows; and how many should.
+
+    Tables without a day hold for all days. Only brand and day are read, which on landed
+    files are the folder names.
+    """
+    labels = [brand.label for brand in brands]
+    dated = [tables[name] for name in COUNTED_TABLES if DAY in tables[name].columns]
+    pairs = [df.where(F.col(BRAND).isin(labels)).select(DAY, BRAND).distinct() for df in dated]
+    found = union_by_name(pairs).groupBy(DAY).agg(F.count("*").alias("found"))
+    return found, len(dated) * len(labels)
+
+
 def per_snapshot_day(
-    tables: Tables, counts: DataFrame, measure: str, start: dt.date, end: dt.date
+    tables: Tables,
+    counts: DataFrame,
+    measure: str,
+    start: dt.date,
+    end: dt.date,
+    brands: Iterable[C.BrandSpec] = C.BRANDS,
 ) -> DataFrame:
-    """One row per calendar day: the count (0 where none) and whether a snapshot exists."""
+    """One row per calendar day: the count (0 where none), whether the snapshot is complete
+    and how many tables of how many brands it lacks."""
     spark = counts.sparkSession
-    found = tables["insurance_reg_set"].select(DAY).distinct().withColumn("found", F.lit(True))
+    found, wanted = found_tables(tables, brands)
     spine = K.date_spine(spark, start, end, DAY)
+    missing = F.lit(wanted).cast("long") - F.coalesce(F.col("found"), F.lit(0))
     return (
         spine.join(found, DAY, "left")
         .join(counts, DAY, "left")
         .select(
             F.col(DAY).alias("data"),
             F.coalesce(F.col(measure), F.lit(0)).alias(measure),
-            F.coalesce(F.col("found"), F.lit(False)).alias("has_snapshot"),
+            (missing == 0).alias("has_snapshot"),
+            missing.alias("missing_tables"),
         )
     )
 
@@ -84,13 +110,18 @@ def snapshot_period_count(
     return latest.groupBy(DAY).agg(F.count_if(inside).alias(out))
 
 
-def backfill_active(tables: Tables, start: dt.date, end: dt.date) -> DataFrame:
+def backfill_active(
+    tables: Tables,
+    start: dt.date,
+    end: dt.date,
+    brands: Iterable[C.BrandSpec] = C.BRANDS,
+) -> DataFrame:
     """Active chassis per snapshot day."""
     tables = _between(tables, start, end)
     rows = _plates(_active_references(tables), tables, ["board", "chassi"])
     rows = rows.where(P.identity_not_null(F.col("placa"), F.col("chassi")))
     counts = snapshot_distinct_chassis(rows, "ativos")
-    return per_snapshot_day(tables, counts, "ativos", start, end)
+    return per_snapshot_day(tables, counts, "ativos", start, end, brands)
 
 
 def _active_references(tables: Tables, sets: DataFrame | None = None) -> DataFrame:
@@ -126,6 +157,7 @@ def backfill_activated(
     end: dt.date,
     units: Iterable[str] | None = None,
     mode: str = "weekend_rollup",
+    brands: Iterable[C.BrandSpec] = C.BRANDS,
 ) -> DataFrame:
     """Activations in each snapshot's reporting window; plate and chassis may be missing.
 
@@ -138,7 +170,7 @@ def backfill_activated(
         sets = _units(sets, tables, units)
     rows = _plates(_active_references(tables, sets), tables, ["chassi"])
     counts = snapshot_period_count(rows, "inicio_vig", "total_ativados", mode)
-    return per_snapshot_day(tables, counts, "total_ativados", start, end)
+    return per_snapshot_day(tables, counts, "total_ativados", start, end, brands)
 
 
 def backfill_cancelled(
@@ -148,6 +180,7 @@ def backfill_cancelled(
     units: Iterable[str] | None = None,
     statuses: Iterable[str] = C.CANCELLED_SET_STATUSES,
     mode: str = "weekend_rollup",
+    brands: Iterable[C.BrandSpec] = C.BRANDS,
 ) -> DataFrame:
     """Cancelled sets dated by their final day, in each snapshot's reporting window.
 
@@ -165,11 +198,15 @@ def backfill_cancelled(
         )
     )
     counts = snapshot_period_count(rows, "fim_vig", "total_cancelados", mode)
-    return per_snapshot_day(tables, counts, "total_cancelados", start, end)
+    return per_snapshot_day(tables, counts, "total_cancelados", start, end, brands)
 
 
 def backfill_cancellations(
-    tables: Tables, start: dt.date, end: dt.date, floor: dt.date = C.DATE_FLOOR
+    tables: Tables,
+    start: dt.date,
+    end: dt.date,
+    floor: dt.date = C.DATE_FLOOR,
+    brands: Iterable[C.BrandSpec] = C.BRANDS,
 ) -> DataFrame:
     """Distinct cancelled chassis per snapshot day: full (any status) or partial (any
     benefit that is not active); active chassis are not excluded."""
@@ -185,7 +222,7 @@ def backfill_cancellations(
     partial = events.where(F.col(EVENT) == C.PARTIAL)
     rows = full.select(DAY, "chassi").unionByName(partial.select(DAY, "chassi"))
     counts = snapshot_distinct_chassis(rows, "cancelados")
-    return per_snapshot_day(tables, counts, "cancelados", start, end)
+    return per_snapshot_day(tables, counts, "cancelados", start, end, brands)
 
 
 def active_on_day(tables: Tables, day: dt.date) -> DataFrame:

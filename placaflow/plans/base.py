@@ -29,8 +29,9 @@ from pyspark.sql import functions as F
 from placaflow.functions import expressions as X
 from placaflow.functions import predicates as P
 from placaflow.operators.dedupe import keep_first
-from placaflow.operators.joins import BRAND, DAY, exclude_keys, lookup, scope_of
+from placaflow.operators.joins import BRAND, DAY, exclude_keys, lookup, scope_of, shared_scope
 from placaflow.operators.ordering import OrderSpec
+from placaflow.operators.sets import union_by_name
 
 Tables = Mapping[str, DataFrame]
 
@@ -120,6 +121,20 @@ def uncovered_sets(sets: DataFrame, tables: Tables) -> DataFrame:
     return exclude_keys(sets, known, known.columns)
 
 
+def contract_chain(tables: Tables) -> DataFrame:
+    """Every registration with its sets and their coverages; a registration may have no set
+    and a set no coverage. What is missing is null."""
+    sets = contract_sets(tables)
+    covered = sets_with_coverages(sets, coverages(tables))
+    source, registered = tables["insurance_reg_set"], tables["insurance_registration"]
+    registered = registered.select(*scope_of(registered), F.col("id").alias("matricula"))
+    known = source.select(*shared_scope(registered, source), F.col("parent").alias("matricula"))
+    return union_by_name(
+        [covered, uncovered_sets(sets, tables), exclude_keys(registered, known, known.columns)],
+        allow_missing=True,
+    )
+
+
 def bridged_trailers(rows: DataFrame, tables: Tables) -> DataFrame:
     """Rows of coverages with the trailers attached through the bridge table.
 

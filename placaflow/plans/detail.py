@@ -260,16 +260,19 @@ def partial_cancellations(
     exclude_active: bool = True,
     with_names: bool = True,
 ) -> DataFrame:
-    """Every ended benefit of an active set, unless its chassis is still active anywhere."""
+    """Every ended benefit of an active set, unless its chassis is still active anywhere.
+
+    Active chassis are left out before names are looked up.
+    """
     set_rule, coverage_rule = _event_rules(floor, statuses, True)[C.PARTIAL]
     rows = contract_base(tables, set_where=set_rule, coverage_where=coverage_rule)
+    if exclude_active:
+        active = active_chassis(plate_events(tables, [C.ACTIVE], with_names=False))
+        rows = rows.withColumn("chassi", F.upper("chassi"))
+        rows = exclude_keys(rows, active, ["chassi", *days_of(rows)])
     if with_names:
         rows = names(rows, tables, benefit=True)
-    result = X.upper_all_strings(_partial_columns(rows, run_date).distinct())
-    if not exclude_active:
-        return result
-    active = plate_events(tables, [C.ACTIVE], with_names=False)
-    return exclude_keys(result, active_chassis(active), ["chassi", *days_of(result)])
+    return X.upper_all_strings(_partial_columns(rows, run_date).distinct())
 
 
 def _latest_cancellation(rows: DataFrame, key: Iterable[str]) -> DataFrame:

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import re
 from collections.abc import Iterable, Mapping
 from functools import partial
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +22,7 @@ from placaflow.schemas import INVOICES_SCHEMA, OPTIONAL_COLUMNS, SOURCE_SCHEMAS
 from placaflow.sources.lazy import LazyTables
 
 _NOTHING_THERE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+_TYPES_DISAGREE = ("CANNOT_MERGE_SCHEMAS", "CANNOT_MERGE_INCOMPATIBLE_DATA_TYPE")
 
 
 def resolve(root: str, brand: BrandSpec, table: str) -> str:
@@ -118,24 +121,61 @@ def scan_snapshot_by_day(
     days: Iterable[dt.date],
     schema: T.StructType | None = None,
 ) -> DataFrame:
-    """Snapshots whose column types change between days: one scan per day, united.
+    """Snapshots whose column types change between days: one scan per file schema, united.
 
     Columns that a day lacks are null on that day.
     """
     schema = schema or SOURCE_SCHEMAS[table]
     dated = T.StructType([T.StructField(DAY, T.DateType()), *schema.fields])
+    folder = resolve(root, brand, table)
+    there = _day_folders(spark, folder)
     frames = [empty_table(spark, dated)]
-    for day in days:
-        df = _read(spark, f"{resolve(root, brand, table)}/{DAY}={day.isoformat()}")
-        if df is not None:
-            frames.append(
-                normalise(df, schema, optional=schema.fieldNames()).select(
-                    F.lit(day).alias(DAY), *schema.fieldNames()
-                )
-            )
+    for found, paths in _by_schema(spark, folder, [there[d] for d in days if d in there]):
+        df = spark.read.option("basePath", folder).schema(found).parquet(*paths)
+        df = df.withColumn(DAY, F.col(DAY).cast("date"))
+        frames.append(normalise(df, schema, keep=[DAY], optional=schema.fieldNames()))
     return union_by_name(frames)
 
 
+def _day_folders(spark: SparkSession, folder: str) -> dict[dt.date, str]:
+    """Folders of the snapshot days that are there, from one listing."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return {}
+    names = [status.getPath().getName() for status in files.listStatus(path)]
+    days = [re.fullmatch(rf"{DAY}=(\d{{4}}-\d\d-\d\d)", name) for name in names]
+    return {dt.date.fromisoformat(d[1]): f"{folder}/{d[0]}" for d in days if d}
+
+
+def _by_schema(
+    spark: SparkSession, folder: str, paths: list[str]
+) -> list[tuple[T.StructType, list[str]]]:
+    """Day folders in groups of one united file schema.
+
+    Spark unites the footers of all folders in one job. Where types disagree, the folders are
+    halved and tried again; groups that end up with equal schemas are put together.
+    """
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+    tries = [paths] if paths else []
+    while tries:
+        some = tries.pop()
+        reader = spark.read.option("basePath", folder).option("mergeSchema", True)
+        try:
+            found = reader.parquet(*some).schema
+        except AnalysisException as error:
+            if error.getCondition() in _NOTHING_THERE:
+                continue
+            raise
+        except Py4JJavaError as error:  # Spark's own error of a failed merge comes unconverted
+            if not any(c in str(error.java_exception) for c in _TYPES_DISAGREE) or len(some) == 1:
+                raise
+            tries += [some[: len(some) // 2], some[len(some) // 2 :]]
+            continue
+        groups.setdefault(found.json(), (found, []))[1].extend(some)
+    return list(groups.values())
+
+
 def _with_brand(df: DataFrame, brand: BrandSpec) -> DataFrame:
     return df.withColumn(BRAND, F.lit(brand.label))
 

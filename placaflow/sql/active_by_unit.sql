@@ -4,5 +4,5 @@ FROM insurance_reg_set s
 LEFT JOIN representante r ON r.codigo = s.id_unity
 LEFT JOIN catalogo u ON u.cnpj_cpf = r.cnpj_cpf
 LEFT JOIN insurance_reg_set_coverage c ON c.parent = s.id AND c.empresa = s.empresa
-WHERE s.id_status = :status AND s.data_registration >= :since
+WHERE s.id_status = :status
 GROUP BY s.empresa, u.fantasia

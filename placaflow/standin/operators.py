@@ -482,17 +482,12 @@ def kind_and_status_masks(s: Source) -> DataFrame:
 
 @query(
     "contract_chain",
-    """SELECT c.set_id AS conjunto, c.reg_id AS matricula, k.cov_id AS coverage_id, c.empresa
-    FROM sets c LEFT JOIN covers k ON k.set_id = c.set_id AND k.empresa = c.empresa""",
+    """SELECT c.set_id AS conjunto, r.c_custkey AS matricula, k.cov_id AS coverage_id, c.empresa
+    FROM customer r LEFT JOIN sets c ON c.reg_id = r.c_custkey
+    LEFT JOIN covers k ON k.set_id = c.set_id AND k.empresa = c.empresa""",
 )
 def contract_chain(s: Source) -> DataFrame:
-    sets = base.contract_sets(s.tables)
-    covered = base.sets_with_coverages(sets, base.coverages(s.tables))
-    uncovered = base.uncovered_sets(sets, s.tables)
-    columns = ("conjunto", "matricula", BRAND)
-    return union_by_name(
-        [covered.select(*columns, "coverage_id"), uncovered.select(*columns)], allow_missing=True
-    )
+    return base.contract_chain(s.tables).select("conjunto", "matricula", "coverage_id", BRAND)
 
 
 @query("customer_lookup", "SELECT set_id AS conjunto, cliente FROM contracts")

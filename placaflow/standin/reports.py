@@ -121,11 +121,11 @@ def partial_cancellations_with_active(s: Source) -> DataFrame:
 @query(
     "partial_cancellations_any_ended",
     f"""SELECT DISTINCT {_CANCELLED_SQL}, tick_ts AS data_cancelamento FROM chain_ok
-    WHERE sid = 7 AND ben_status <> 'ATIVO' AND tick_ts >= DATE '2001-01-01'""",
+    WHERE sid = 7 AND ben_status <> 'ATIVO' AND tick_ts >= {FLOOR_SQL}""",
 )
 def partial_cancellations_any_ended(s: Source) -> DataFrame:
     return detail.partial_cancellations(
-        s.tables, RUN_DATE, dt.date(2001, 1, 1), statuses=None, exclude_active=False
+        s.tables, RUN_DATE, FLOOR, statuses=None, exclude_active=False
     )
 
 
@@ -292,16 +292,9 @@ _SIMPLE = f"""SELECT b.empresa,
 def simple_brand_totals(s: Source) -> DataFrame:
     events = _events(s, C.ACTIVE, with_names=False)
     active = detail.active_plates(events, RUN_DATE, prefer="effective_start", ordered=False)
-    cancelled = detail.all_cancellations(
-        s.tables,
-        RUN_DATE,
-        FLOOR,
-        _COVERAGE_KEY,
-        exclude_active=False,
-        with_names=False,
-        date_partials=False,
-    )
-    return kpi.simple_brand_totals(active, cancelled, window("friday_only"))
+    # Partial rows have no date in this report, so that only full ones can fall into a window.
+    full = detail.full_cancellations(_events(s, C.FULL, with_names=False), RUN_DATE, FLOOR)
+    return kpi.simple_brand_totals(active, full, window("friday_only"))
 
 
 @query(
@@ -424,7 +417,8 @@ _ON_DAY = "JOIN snaps n ON CAST(c.reg_ts AS DATE) <= n.day"
 def _per_day(body: str, measure: str) -> str:
     """One row per calendar day around counts `n` per snapshot day."""
     return f"""SELECT d.day AS data, coalesce(x.n, 0) AS {measure},
-    d.day <> DATE '2001-07-25' AS has_snapshot
+    d.day <> DATE '2001-07-25' AS has_snapshot,
+    CAST(CASE WHEN d.day = DATE '2001-07-25' THEN 8 ELSE 0 END AS BIGINT) AS missing_tables
     FROM snap_days d LEFT JOIN ({body}) x ON x.day = d.day"""
 
 

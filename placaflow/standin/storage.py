@@ -12,11 +12,12 @@ from pyspark.sql import types as T
 from placaflow import config as C
 from placaflow.operators.joins import BRAND, DAY, zero_fill
 from placaflow.operators.sets import union_by_name
-from placaflow.plans import backfill, daily, kpi
+from placaflow.plans import backfill, daily, detail, kpi
 from placaflow.schemas import SOURCE_SCHEMAS
 from placaflow.session import new_folder
 from placaflow.sources import scan, sinks
 from placaflow.standin import tables as S
+from placaflow.standin.oracle import FRIDAY, SUNDAY
 from placaflow.standin.registry import FLOOR, RUN_DATE, Source, query, window
 from placaflow.standin.reports import REPORT_SQL, history_sql
 
@@ -110,63 +111,59 @@ def normalise_ids(s: Source) -> DataFrame:
     return scan.normalise(text, schema)
 
 
-def _land_snapshots(s: Source, name: str) -> str:
-    root = _folder(s, name)
-    rows = s.snapshots[_SETS].where(F.col(BRAND) == _TAG.label).drop(BRAND)
-    rows.write.partitionBy(DAY).parquet(scan.resolve(root, _TAG, _SETS))
-    return root
+def _by_brand(s: Source, rows: DataFrame):
+    """Each brand with its rows, the brand column left out as in the brand's own files."""
+    return [(b, rows.where(F.col(BRAND) == b.label).drop(BRAND)) for b in C.BRANDS]
 
 
 @query(
     "scan_snapshot",
-    f"""SELECT n.day AS landing_date, {_SET_COLUMNS} FROM sets c
+    f"""SELECT n.day AS landing_date, {_SET_COLUMNS}, c.empresa FROM sets c
     JOIN snaps n ON CAST(c.reg_ts AS DATE) <= n.day
-    WHERE c.empresa = 'Tag' AND n.day BETWEEN DATE '2001-07-24' AND DATE '2001-07-26'""",
+    WHERE n.day BETWEEN DATE '2001-07-24' AND DATE '2001-07-26'""",
 )
 def scan_snapshot(s: Source) -> DataFrame:
     """Three days are asked for, one of them has no snapshot."""
-    root = _land_snapshots(s, "snapshots")
+    root = _folder(s, "snapshots")
+    for brand, rows in _by_brand(s, s.snapshots[_SETS]):
+        rows.write.partitionBy(DAY).parquet(scan.resolve(root, brand, _SETS))
     days = (dt.date(2001, 7, 24), dt.date(2001, 7, 26))
-    return _typed(scan.scan_snapshot(s.spark, root, _TAG, _SETS, *days), DAY)
+    return _typed(scan.load_snapshots(s.spark, root, *days)[_SETS], DAY, BRAND)
 
 
 @query(
     "scan_snapshot_evolving",
     """SELECT DATE '2001-07-20' AS landing_date, set_id AS id, reg_id AS parent,
-    CAST(NULL AS VARCHAR) AS user_name_cancellation FROM sets WHERE empresa = 'Tag'
-    UNION ALL SELECT DATE '2001-07-21', set_id, reg_id, canceller FROM sets WHERE empresa = 'Tag'""",
+    CAST(NULL AS VARCHAR) AS user_name_cancellation, empresa FROM sets
+    UNION ALL SELECT DATE '2001-07-21', set_id, reg_id, canceller, empresa FROM sets""",
 )
 def scan_snapshot_evolving(s: Source) -> DataFrame:
     """The second day's files have a column that the first day's lack."""
     root = _folder(s, "evolving")
-    path = scan.resolve(root, _TAG, _SETS)
-    rows = s.tables[_SETS].where(F.col(BRAND) == _TAG.label)
     first, second = dt.date(2001, 7, 20), dt.date(2001, 7, 21)
-    rows.select("id", "parent").write.parquet(f"{path}/{DAY}={first}")
-    rows.select("id", "parent", "user_name_cancellation").write.parquet(f"{path}/{DAY}={second}")
-    schema = T.StructType(
-        [SOURCE_SCHEMAS[_SETS][n] for n in ("id", "parent", "user_name_cancellation")]
-    )
-    return scan.scan_snapshot(s.spark, root, _TAG, _SETS, first, second, schema)
+    for brand, rows in _by_brand(s, s.tables[_SETS]):
+        path = scan.resolve(root, brand, _SETS)
+        rows.drop("user_name_cancellation").write.parquet(f"{path}/{DAY}={first}")
+        rows.write.parquet(f"{path}/{DAY}={second}")
+    scanned = scan.load_snapshots(s.spark, root, first, second)[_SETS]
+    return scanned.select(DAY, "id", "parent", "user_name_cancellation", BRAND)
 
 
 @query(
     "scan_snapshot_by_day",
-    """SELECT DATE '2001-07-20' AS landing_date, set_id AS id, reg_ts AS data_registration
-    FROM sets WHERE empresa = 'Tag'
-    UNION ALL SELECT DATE '2001-07-22', set_id, reg_ts FROM sets WHERE empresa = 'Tag'""",
+    """SELECT DATE '2001-07-20' AS landing_date, set_id AS id, reg_ts AS data_registration, empresa
+    FROM sets UNION ALL SELECT DATE '2001-07-22', set_id, reg_ts, empresa FROM sets""",
 )
 def scan_snapshot_by_day(s: Source) -> DataFrame:
     """One day holds text where the other holds numbers; the day between has no files."""
     root = _folder(s, "drifting")
-    path = scan.resolve(root, _TAG, _SETS)
-    rows = s.tables[_SETS].where(F.col(BRAND) == _TAG.label).select("id", "data_registration")
     first, last = dt.date(2001, 7, 20), dt.date(2001, 7, 22)
-    _as_text(rows).write.parquet(f"{path}/{DAY}={first}")
-    rows.write.parquet(f"{path}/{DAY}={last}")
-    days = [first, first + dt.timedelta(days=1), last]
-    scanned = scan.scan_snapshot_by_day(s.spark, root, _TAG, _SETS, days)
-    return scanned.select(DAY, "id", "data_registration")
+    for brand, rows in _by_brand(s, s.tables[_SETS]):
+        path = scan.resolve(root, brand, _SETS)
+        _as_text(rows).write.parquet(f"{path}/{DAY}={first}")
+        rows.write.parquet(f"{path}/{DAY}={last}")
+    scanned = scan.load_snapshots(s.spark, root, first, last, by_day=True)[_SETS]
+    return scanned.select(DAY, "id", "data_registration", BRAND)
 
 
 @query(
@@ -183,27 +180,73 @@ def sample_table(s: Source) -> DataFrame:
     """SELECT s.empresa, u.fantasia AS unidade, count(DISTINCT s.set_id) AS conjuntos,
     count(k.cov_id) AS coberturas FROM sets s LEFT JOIN units u ON u.unit_id = s.unit_id
     LEFT JOIN covers k ON k.set_id = s.set_id AND k.empresa = s.empresa
-    WHERE s.sid = 7 AND s.reg_ts >= TIMESTAMP '2000-01-01' GROUP BY 1, 2""",
+    WHERE s.sid = 7 GROUP BY 1, 2""",
 )
 def run_sql_file(s: Source) -> DataFrame:
     """SQL text from a file, on registered views, with parameters."""
     names = (_SETS, "insurance_reg_set_coverage", "representante", "catalogo")
     scan.register_views({name: s.tables[name] for name in names})
     path = Path(__file__).parent.parent / "sql" / "active_by_unit.sql"
-    return scan.run_sql_file(
-        s.spark, path, status=C.ACTIVE_SET_STATUS_ID, since=dt.date(2000, 1, 1)
-    )
+    return scan.run_sql_file(s.spark, path, status=C.ACTIVE_SET_STATUS_ID)
 
 
 # Sinks -------------------------------------------------------------------------------
 
 
-@query("sink_detail", "SELECT placa, chassi, conjunto, inicio_vig, empresa FROM active")
+_OF_PERIOD = f"FROM cancelled WHERE data_cancelamento BETWEEN {FRIDAY} AND {SUNDAY}"
+
+
+@query(
+    "sink_detail",
+    f"""SELECT 'ativos' AS saida, * FROM active
+    UNION ALL BY NAME SELECT 'cancelamentos' AS saida, * FROM cancelled
+    UNION ALL BY NAME SELECT 'cancelamentos_periodo' AS saida, * {_OF_PERIOD}""",
+)
 def sink_detail(s: Source) -> DataFrame:
-    path = _folder(s, "ativos")
-    active, _ = daily.counted_bases(s.tables, RUN_DATE, FLOOR)
-    sinks.write_detail(active.select("placa", "chassi", "conjunto", "inicio_vig", BRAND), path)
-    return s.spark.read.parquet(path)
+    """The three detail sets with all their columns."""
+    path = _folder(s, "detalhes")
+    events = daily.stored_events(s.tables, FLOOR, with_names=True)
+    cancelled = detail.consolidated_cancellations(events, RUN_DATE, s.invoices, FLOOR)
+    details = {
+        "ativos": detail.active_plates(events, RUN_DATE),
+        "cancelamentos": cancelled,
+        "cancelamentos_periodo": detail.period_cancellations(cancelled, *window()),
+    }
+    for name, rows in details.items():
+        sinks.write_detail(rows, f"{path}/{name}")
+    read = [
+        s.spark.read.parquet(f"{path}/{name}").select(F.lit(name).alias("saida"), "*")
+        for name in details
+    ]
+    return union_by_name(read, allow_missing=True)
+
+
+@query(
+    "run_daily",
+    f"""SELECT 'ativos' AS saida, count(*) AS linhas FROM active
+    UNION ALL SELECT 'cancelamentos', count(*) FROM cancelled
+    UNION ALL SELECT 'cancelamentos_periodo', count(*) {_OF_PERIOD}
+    UNION ALL SELECT 'relatorio', count(*) FROM ({REPORT_SQL}) r
+    UNION ALL SELECT 'base', count(*) FROM ({history_sql()}) h
+    UNION ALL SELECT 'arquivo/latest', count(*) FROM ({REPORT_SQL}) r
+    UNION ALL SELECT 'planilhas/ativos', count(*) FROM active
+    UNION ALL SELECT 'planilhas/cancelamentos', count(*) FROM cancelled
+    UNION ALL SELECT 'planilhas/cancelamentos_periodo', count(*) {_OF_PERIOD}""",
+)
+def run_daily(s: Source) -> DataFrame:
+    """The daily job with all its sinks: rows that each of them holds afterwards."""
+    out = _folder(s, "dia")
+    daily.run_daily(s.tables, s.invoices, RUN_DATE, out, FLOOR, sheets=True)
+    details = ("ativos", "cancelamentos", "cancelamentos_periodo")
+    written = {name: s.spark.read.parquet(f"{out}/{name}") for name in (*details, "relatorio", "base")}
+    written["arquivo/latest"] = s.spark.read.parquet(f"{out}/arquivo/latest")
+    for name in details:
+        sheet = f"planilhas/{name}"
+        written[sheet] = s.spark.read.option("header", True).csv(f"{out}/{sheet}")
+    return union_by_name(
+        df.agg(F.count("*").alias("linhas")).select(F.lit(name).alias("saida"), "linhas")
+        for name, df in written.items()
+    )
 
 
 @query("sink_daily_history", history_sql())
@@ -226,15 +269,15 @@ def sink_report(s: Source) -> DataFrame:
 
 @query(
     "sink_dated_archive",
-    """SELECT copia, empresa, count(*) AS n FROM sets,
-    (VALUES ('history'), ('latest')) AS v(copia) GROUP BY 1, 2""",
+    f"SELECT v.copia, r.* FROM ({REPORT_SQL}) r, (VALUES ('history'), ('latest')) AS v(copia)",
 )
 def sink_dated_archive(s: Source) -> DataFrame:
+    """The report, archived under its day and as the latest."""
     path = _folder(s, "arquivo")
-    report = s.tables[_SETS].groupBy(BRAND).agg(F.count("*").alias("n"))
+    report = kpi.report_summary(*daily.counted_bases(s.tables, RUN_DATE, FLOOR), window())
     sinks.write_archive(report, path, window()[1])
     copies = [
-        s.spark.read.parquet(f"{path}/{copy}").select(F.lit(copy).alias("copia"), BRAND, "n")
+        s.spark.read.parquet(f"{path}/{copy}").select(F.lit(copy).alias("copia"), *report.columns)
         for copy in ("history", "latest")
     ]
     return union_by_name(copies)
@@ -242,7 +285,9 @@ def sink_dated_archive(s: Source) -> DataFrame:
 
 @query(
     "export_single_snapshot",
-    """SELECT upper(placa) AS placa, chassi, start_day AS inicio_vig FROM (
+    """SELECT upper(placa) AS placa, chassi, reg_id AS matricula, unidade,
+    set_status AS status_conjunto, cliente, start_day AS inicio_vig, act_day AS data_ativacao,
+    empresa FROM (
         SELECT *, row_number() OVER (PARTITION BY chassi ORDER BY start_day DESC, reg_ts DESC,
             CASE empresa WHEN 'Segtruck' THEN 1 WHEN 'Stcoop' THEN 2 WHEN 'Viavante' THEN 3
             ELSE 4 END, set_id DESC, cov_id, bri_id, plate_id) AS r FROM chain_ok
@@ -253,6 +298,6 @@ def export_single_snapshot(s: Source) -> DataFrame:
     """The active base of the last snapshot day as CSV."""
     path = _folder(s, "export")
     rows = backfill.active_on_day(s.snapshots, S.SNAPSHOT_END)
-    rows = rows.select(F.upper("placa").alias("placa"), "chassi", "inicio_vig")
+    rows = rows.withColumn("placa", F.upper("placa"))
     sinks.write_detail(rows, path, "csv")
     return s.spark.read.schema(rows.schema).option("header", True).csv(path)

@@ -206,11 +206,11 @@ SPAN = (dt.date(2025, 6, 2), dt.date(2025, 6, 4))
 
 
 def test_missing_day_is_zero_and_marked(dated_fixture):
-    rows = backfill.backfill_active(snapshots(dated_fixture).tables(), *SPAN)
+    rows = backfill.backfill_active(snapshots(dated_fixture).tables(), *SPAN, C.BRANDS[:1])
     assert [tuple(r) for r in rows.orderBy("data").collect()] == [
-        (dt.date(2025, 6, 2), 1, True),
-        (dt.date(2025, 6, 3), 0, False),
-        (dt.date(2025, 6, 4), 1, True),
+        (dt.date(2025, 6, 2), 1, True, 0),
+        (dt.date(2025, 6, 3), 0, False, 3),
+        (dt.date(2025, 6, 4), 1, True, 0),
     ]
 
 

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from conftest import ts
 from placaflow import config as C
-from placaflow.plans import daily
+from placaflow.plans import backfill, daily
+from placaflow.plans.base import contract_chain
 from placaflow.schemas import INVOICES_SCHEMA, SOURCE_SCHEMAS
 from placaflow.session import materialise, work_folder
 from placaflow.sources import scan, sinks
@@ -154,6 +155,36 @@ def test_types_that_change_between_days(spark, tmp_path):
     assert sorted(map(tuple, rows)) == [(DAYS[0], 1, "Tag"), (DAYS[2], 2, "Tag")]
 
 
+def test_scans_depend_on_schemas_not_on_days(spark, tmp_path):
+    path = scan.resolve(str(tmp_path), TAG, "benefits")
+    days = [dt.date(2025, 6, 1) + dt.timedelta(days=n) for n in range(60)]
+    kinds = ["id string, description string", "id long, description string"]
+    for n, day in enumerate(days):
+        kind = kinds[n >= 25]
+        write(spark, f"{path}/landing_date={day}", [(n if "long" in kind else str(n), "x")], kind)
+    df = scan.scan_snapshot_by_day(spark, str(tmp_path), TAG, "benefits", days)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2
+    assert sorted((r.landing_date, r.id) for r in df.collect()) == [(d, n) for n, d in enumerate(days)]
+
+
+def test_a_day_without_a_brand_is_marked(dated_fixture):
+    for day in ("2025-06-01", "2025-06-02"):
+        for n, brand in enumerate(C.BRANDS):
+            if brand is TAG and day == "2025-06-02":
+                continue
+            dated_fixture.vehicle(n, brand.label, chassi=f"CH{n}", day=day)
+            dated_fixture.contract(n, brand.label, day).cover(n, n, brand.label, day, id_vehicle=n)
+    rows = backfill.backfill_active(dated_fixture.tables(), DAYS[0], DAYS[2]).orderBy("data").collect()
+    assert [tuple(r)[1:] for r in rows] == [(4, True, 0), (3, False, 3), (0, False, 12)]
+
+
+def test_registrations_without_a_set_are_kept(fixture):
+    fixture.contract(1).cover(5, 1).contract(2).add("insurance_registration", id=77, customer_id=1)
+    rows = contract_chain(fixture.tables()).select("matricula", "conjunto", "coverage_id").collect()
+    assert sorted(map(tuple, rows)) == [(10, 1, 5), (20, 2, None), (77, None, None)]
+
+
 def named_session(**settings):
     return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: settings.get(key, default)))
 
