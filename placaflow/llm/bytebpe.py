@@ -20,7 +20,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 
 from placaflow.llm.chunks import ChunkEncoder
-from placaflow.llm.common import keep_clear
+from placaflow.llm.common import give_back, in_small_batches, keep_clear
 
 #: Chunks whose ids a worker keeps.
 CACHE_CHUNKS = 250_000
@@ -133,7 +133,7 @@ def encode(df: DataFrame, text: str, ranks_path: str, pattern: str) -> DataFrame
     A null or empty text has no ids. An input column `ids` becomes `ids_in`. The vocabulary is
     read where the job is started and sent along; its size is that of the file.
     """
-    df = keep_clear(df, ["ids"])
+    df = keep_clear(in_small_batches(df), ["ids"])
     proto = model_proto(read_ranks(ranks_path))
     schema = df.selectExpr("*", "array(0) AS ids").schema
 
@@ -145,13 +145,14 @@ def encode(df: DataFrame, text: str, ranks_path: str, pattern: str) -> DataFrame
             flat = np.concatenate([*found, np.zeros(0, "<u4")]).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
             yield batch.append_column("ids", ids)
+        give_back()
 
     return df.mapInArrow(add, schema)
 
 
 def decode(df: DataFrame, ids: str, ranks_path: str) -> DataFrame:
     """Adds `decoded` (binary): the bytes of the ids; null ids give null. `decoded` may clash as `ids`."""
-    df = keep_clear(df, ["decoded"])
+    df = keep_clear(in_small_batches(df), ["decoded"])
     pieces = [letters(token) for token in read_ranks(ranks_path)]
     schema = df.selectExpr("*", "CAST('' AS BINARY) AS decoded").schema
 
@@ -167,5 +168,6 @@ def decode(df: DataFrame, ids: str, ranks_path: str) -> DataFrame:
                 out.append(joined(own, flat[at:end]) if there else None)
                 at = end
             yield batch.append_column("decoded", pa.array(out, pa.binary()))
+        give_back()
 
     return df.mapInArrow(add, schema)

@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 
 #: Tables up to this size may be broadcast; larger ones are joined by a shuffle.
 BROADCAST_BYTES = 32 << 20
+#: Bytes of a batch of texts on its way to a Python worker; Spark's own limit is 64 MB.
+BATCH_BYTES = 4 << 20
+_BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -100,12 +103,26 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """The frame, whose session sends rows to Python workers in batches of `BATCH_BYTES`.
+
+    The JVM and the worker both hold a batch of each task. A limit that is set already stays.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH_LIMIT, None) is None:
+        conf.set(_BATCH_LIMIT, str(BATCH_BYTES))
+    return df
+
+
 def give_back() -> None:
     """Return a task's freed memory to the system: idle Python workers otherwise keep it."""
     import ctypes
     import gc
 
+    import pyarrow as pa
+
     gc.collect()
+    pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
         trim(0)

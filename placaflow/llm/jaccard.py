@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placaflow.llm.common import drop_folder, durable, give_back, keep_clear, small, stored
+from placaflow.llm.common import drop_folder, durable, give_back, in_small_batches, keep_clear, small, stored
 from placaflow.llm.components import components
 from placaflow.llm.lm import Words
 
@@ -125,6 +125,8 @@ def _describe(df: DataFrame, n: int) -> DataFrame:
                 ],
                 names=names,
             )
+        del sets, counts
+        give_back()
 
     return df.mapInArrow(
         work, f"id {kind}, tag long, n_shingles long, k long, ranges binary, part int, counts binary"
@@ -255,6 +257,7 @@ def _open_pairs(rows: DataFrame, t: int) -> DataFrame:
                         )
                 shift += 1
                 at = at[left[at] > shift]
+        give_back()
 
     return rows.mapInArrow(work, "a long, b long")
 
@@ -310,6 +313,7 @@ def _verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, n: int, t: int
                     out.append((k, hub))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b"])
+        give_back()
 
     sent = rows.mapInArrow(send, "hub long, salt int, member int, k long, data binary")
     grouped = sent.repartition("hub", "salt").sortWithinPartitions("hub", "salt", "member")
@@ -325,7 +329,7 @@ def _sent(rows: list[tuple]) -> pa.RecordBatch:
 
 def _rows(df: DataFrame, key: str, text: str) -> DataFrame:
     tag = F.xxhash64(F.col(key), F.col(text))
-    return df.select(F.col(key).alias("id"), tag.alias("tag"), F.col(text).alias("text"))
+    return in_small_batches(df).select(F.col(key).alias("id"), tag.alias("tag"), F.col(text).alias("text"))
 
 
 def near_classes(df: DataFrame, key: str, text: str, n: int = 3, percent: int = 90) -> tuple[DataFrame, DataFrame]:

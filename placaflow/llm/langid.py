@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from placaflow.llm.common import give_back, keep_clear
+from placaflow.llm.common import give_back, in_small_batches, keep_clear
 
 BUCKETS, WIDTH = 1 << 16, 16
 GRAMS = (3, 4)
@@ -171,7 +171,7 @@ def train_on(df: DataFrame, text: str, lang: str, key: Column, per_language: int
     any labelled row there is no model, which is an error.
     """
     place = F.xxhash64(F.lit(SEED), key)
-    rows = df.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")).select(
+    rows = in_small_batches(df).where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")).select(
         place.alias("place"), F.col(text).alias("text"), F.col(lang).alias("lang")
     )
     # Half as many again as needed on average: hashes are uniform, the limit below is exact.
@@ -194,7 +194,10 @@ def train_on(df: DataFrame, text: str, lang: str, key: Column, per_language: int
             if taken[name] <= per_language:
                 texts.append(body)
                 langs.append(name)
-        yield pa.RecordBatch.from_arrays([pa.array([train(texts, langs).save()], pa.binary())], names=["model"])
+        saved = train(texts, langs).save()
+        del rows, texts, langs
+        give_back()
+        yield pa.RecordBatch.from_arrays([pa.array([saved], pa.binary())], names=["model"])
 
     return Model.load(bytes(sample.repartition(1).mapInArrow(fit, "model binary").first()["model"]))
 
@@ -206,7 +209,7 @@ def identify(df: DataFrame, text: str, model: Model) -> DataFrame:
     a text whose confidence or share of known n-grams is below the calibrated limits is rejected
     too, but keeps its label. Input columns of these names get the suffix `_in`.
     """
-    df = keep_clear(df, ["lang_pred", "score", "rejected"])
+    df = keep_clear(in_small_batches(df), ["lang_pred", "score", "rejected"])
     saved = model.save()
     schema = df.selectExpr("*", "'' AS lang_pred", "0D AS score", "true AS rejected").schema
 
