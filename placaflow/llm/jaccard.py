@@ -35,6 +35,8 @@ RANGES = 64
 LIST_BLOCK = 2048
 #: Sets compared with one common set in one group.
 HUB_BLOCK = 512
+#: Bytes of sets that a task sends on together.
+SENT_BYTES = 2 << 20
 CACHE_WORDS = 250_000
 _MIX = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
@@ -285,12 +287,15 @@ def _verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, n: int, t: int
                 part = batch.slice(at, 256)
                 own = sets.of(part.column("text").to_pylist())
                 out: list[tuple] = []
+                size = 0
                 for s, k, to in zip(own, part.column("k").to_pylist(), part.column("to").to_pylist()):
                     data = s.tobytes()
-                    out += [(x["hub"], x["salt"], x["member"], k, data) for x in to]
-                    if len(out) * len(data) > 8 << 20:
-                        yield _sent(out)
-                        out = []
+                    for x in to:
+                        out.append((x["hub"], x["salt"], x["member"], k, data))
+                        size += len(data)
+                        if size > SENT_BYTES:
+                            yield _sent(out)
+                            out, size = [], 0
                 if out:
                     yield _sent(out)
         del sets
