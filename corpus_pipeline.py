@@ -14,6 +14,8 @@ from placaflow.llm.common import remainder, stored, table, words
 from placaflow.llm.queries import RANKS
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: A row's place in the mix.
+PLACE = ["shard", "slot"]
 #: Near copies share 0.8 of their five-word shingles.
 SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
 
@@ -31,19 +33,20 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of the sources takes them."""
+    """Documents as often as the mix of the sources takes them, in the order of the shuffled shards."""
     plan = mixing.mix_plan(docs.select(*COLUMNS), "doc_id", "source", words(F.col("text")))
-    return mixing.mix(plan).select(*COLUMNS)
+    return mixing.mix(plan).select(*COLUMNS, *PLACE)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of every row of the mix, and whether they decode to its text."""
     path, pattern = vocabularies.path(RANKS), vocabularies.PATTERN
     digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
-    encoded = bytebpe.encode(docs.select("doc_id", "source", digest.alias("digest"), "text"), "text", path, pattern)
+    own = ["doc_id", "source", *(c for c in PLACE if c in docs.columns)]
+    encoded = bytebpe.encode(docs.select(*own, digest.alias("digest"), "text"), "text", path, pattern)
     decoded = bytebpe.decode(encoded.drop("text"), "ids", path)  # the text need not pass a second worker
     same = F.sha2("decoded", 256) == F.col("digest")
-    return decoded.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("decodes"))
+    return decoded.select(*own, F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("decodes"))
 
 
 STAGES = [

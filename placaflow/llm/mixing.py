@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from placaflow.llm.common import keep_clear, small, stored
+from placaflow.llm.common import durable, keep_clear, small, stored
 
 SEED = 4_099
 SHARDS = 16
@@ -22,6 +22,7 @@ MOST = 3
 #: Rows of one stretch of a source's order; a source has as many stretches as it needs.
 STRETCH_ROWS = 20_000
 OWN = ["source_size", "target", "size", "copies", "placements"]
+_MIX = ["_salt", "_rows", "_stretch", "_before"]
 
 
 def source_targets(docs: DataFrame, source: str, size: str) -> DataFrame:
@@ -158,7 +159,7 @@ def mix_plan(
     own, the last; rows with no words are never taken; rows that repeat a key are rows in their
     own right. An empty frame gives an empty frame. Reruns agree: order depends on the keys.
     """
-    df = keep_clear(df, [*OWN, "shard", "slot", "copy"])
+    df = keep_clear(df, [*OWN, "shard", "slot", "copy", *_MIX])
     spark = df.sparkSession
     rows = df.select(
         F.struct("*").alias("record"), F.col(source).alias("source"), size.cast("long").alias("size"),
@@ -236,10 +237,24 @@ def mix_plan(
 def mix(plan: DataFrame, seed: int = SEED) -> DataFrame:
     """The mix itself: one row per copy with `copy`, `shard` and its `slot` after a local shuffle.
 
-    Copies of a shard are ordered by a seeded hash of their row and copy number.
+    Copies of a shard are ordered by a seeded hash of their row and copy number, in stretches
+    small enough for a task each; rows of a stretch come out together and in that order.
     """
     kept = [c for c in plan.columns if c != "placements"]
     copies = plan.select(*kept, F.explode("placements").alias("place")).select(*kept, "place.copy", "place.shard")
-    salt = F.xxhash64(F.lit(seed + 2), "copy", F.struct(*kept))
-    order = Window.partitionBy("shard").orderBy(salt, "copy")
-    return copies.withColumn("slot", (F.row_number().over(order) - 1).cast("long"))
+    loads = durable(
+        plan.select(F.explode("placements.shard").alias("shard")).groupBy("shard").agg(F.count(F.lit(1)).alias("_rows"))
+    )
+    stretches = F.ceil(F.col("_rows") / STRETCH_ROWS)
+    spread = (
+        copies.withColumn("_salt", F.xxhash64(F.lit(seed + 2), "copy", F.struct(*kept)))
+        .join(small(loads, loads.count(), 24), "shard")
+        .withColumn("_stretch", F.floor(F.shiftrightunsigned("_salt", 40) * stretches / (1 << 24)).cast("int"))
+    )
+    sums = spread.groupBy("shard", "_stretch").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("shard").orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = durable(sums.select("shard", "_stretch", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before")))
+    order = Window.partitionBy("shard", "_stretch").orderBy("_salt", "copy")
+    placed = spread.join(small(offsets, offsets.count(), 32), ["shard", "_stretch"])
+    slot = (F.col("_before") + F.row_number().over(order) - 1).cast("long")
+    return placed.select(*kept, "copy", "shard", slot.alias("slot"))

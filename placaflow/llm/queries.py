@@ -20,7 +20,7 @@ from placaflow.llm import (
     tokenfiles,
     warc,
 )
-from placaflow.llm.common import remainder, table, words
+from placaflow.llm.common import remainder, stored, table, words
 
 RANKS = "byte_bpe_50k.tiktoken"
 TOKENIZER = "byte_bpe_50k.json"
@@ -55,8 +55,11 @@ def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.col("source"), words(F.col("text")).alias("words")
     )
     plan = mixing.mix_plan(docs, "doc_id", "source", F.col("words"))
-    taken = F.col("size") * F.size("placements")
-    return plan.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    plan, _ = stored(plan.withColumn("row", F.monotonically_increasing_id()), "mix-plan")
+    mixed, _ = stored(mixing.mix(plan), "mix")  # the shards' rows in their shuffled order
+    drawn = mixed.groupBy("row").agg(F.sum("size").alias("taken"))
+    taken = F.coalesce("taken", F.lit(0)).cast("long")
+    return plan.join(drawn, "row", "left").select("doc_id", "size", "source_size", "target", taken.alias("taken"))
 
 
 def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
