@@ -21,6 +21,8 @@ BLOCKS_PER_SHARD = 64
 MOST = 3
 #: Rows of one stretch of a source's order; a source has as many stretches as it needs.
 STRETCH_ROWS = 20_000
+#: Times that documents which still fit are taken past one that is too long.
+FILL_ROUNDS = 8
 OWN = ["source_size", "target", "size", "copies", "placements"]
 _MIX = ["_salt", "_rows", "_stretch", "_before"]
 
@@ -140,6 +142,42 @@ def _block_shards(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
     return permuted.join(places, ["rank", "place"]).select("rank", "block", "shard")
 
 
+def _filled(narrow: DataFrame, gaps: DataFrame, sources: int, rounds: int) -> tuple[DataFrame, DataFrame]:
+    """What is taken past the first document too long for a source's gap, and the gaps left then.
+
+    Rows (rank, end, at), `at` being where the document's middle lies in its source's last round,
+    and rows (rank, need, gap). Each round takes, in the seeded order, the documents no longer
+    than the gap until one does not fit what is left of it.
+    """
+    gaps = durable(gaps.select("rank", "need", (F.col("need") - F.col("full")).alias("gap")))
+    taken = narrow.where("false").select("rank", "end", F.col("need").alias("at"))
+    rest = narrow.where("end > need AND size > 0").select("rank", "stretch", "size", "end")
+    inside = Window.partitionBy("rank", "stretch").orderBy("end").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy("rank").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    for _ in range(rounds):
+        fit = rest.join(small(gaps, sources, 40), "rank").where("size <= gap")
+        summed = durable(fit.withColumn("upto", F.sum("size").over(inside)))
+        sums = summed.groupBy("rank", "stretch").agg(F.max("upto").alias("words"))
+        offsets = durable(sums.select("rank", "stretch", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("before")))
+        stretches = offsets.count()
+        if not stretches:
+            break
+        placed = summed.join(small(offsets, stretches, 40), ["rank", "stretch"]).withColumn(
+            "upto", F.col("before") + F.col("upto")
+        )
+        new = placed.where("upto <= gap")
+        at = F.col("need") - F.col("gap") + F.col("upto") - F.col("size") / 2
+        taken = durable(taken.union(new.select("rank", "end", at)))
+        got = new.groupBy("rank").agg(F.max("upto").alias("got"))
+        gaps = durable(
+            gaps.join(small(got, sources, 24), "rank", "left").select(
+                "rank", "need", (F.col("gap") - F.coalesce("got", F.lit(0))).alias("gap")
+            )
+        )
+        rest = placed.where("upto > gap").select("rank", "stretch", "size", "end")
+    return taken, gaps
+
+
 def mix_plan(
     df: DataFrame,
     key: str,
@@ -148,13 +186,15 @@ def mix_plan(
     shards: int = SHARDS,
     blocks_per_shard: int = BLOCKS_PER_SHARD,
     seed: int = SEED,
+    fill_rounds: int = FILL_ROUNDS,
 ) -> DataFrame:
     """Every row with its source's size and target and the places its copies take in the mix.
 
     Adds `size`, `source_size`, `target` and `placements`: an array of (copy, shard), empty for
     a row that the mix leaves out, `MOST` entries at most. A source is taken whole as often as
-    its target allows; the rest of the target is filled in a seeded order, and the gap that
-    is left by the first document too long for it goes to the document nearest in size.
+    its target allows; the rest of the target is filled in a seeded order up to the first
+    document too long for it, then `fill_rounds` times with the documents that still fit, and
+    the gap that is left goes to the document nearest in size.
     Input columns of the added names get the suffix `_in`. Null sources are a source of their
     own, the last; rows with no words are never taken; rows that repeat a key are rows in their
     own right. An empty frame gives an empty frame. Reruns agree: order depends on the keys.
@@ -190,24 +230,28 @@ def mix_plan(
         "end", F.col("before") + F.col("upto")
     )
 
-    # Whole rounds, the start of another one, and the document that best fills what is left.
+    # Whole rounds, the start of another one, what still fits, and the document that best fills the gap.
     rounds = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     need = F.col("target") - rounds * F.col("source_size")
     fits = (F.col("end") <= need) & (F.col("size") > 0)
-    narrow = placed.select("rank", "size", "end", "target", "source_size", rounds.alias("rounds"), need.alias("need"))
-    gaps = narrow.groupBy("rank", "need").agg(F.coalesce(F.max(F.when(fits, F.col("end"))), F.lit(0)).alias("full"))
-    gap = F.col("need") - F.col("full")
-    off = F.abs(F.col("size") - gap)
+    narrow = placed.select("rank", "stretch", "size", "end", need.alias("need"))
+    full = F.max(F.when((F.col("end") <= F.col("need")) & (F.col("size") > 0), F.col("end")))
+    gaps = narrow.groupBy("rank", "need").agg(F.coalesce(full, F.lit(0)).alias("full"))
+    taken, gaps = _filled(narrow, gaps, known["n"], fill_rounds)
+    n_taken = taken.count()
+    off = F.abs(F.col("size") - F.col("gap"))
     fillers = (
         narrow.select("rank", "size", "end").join(small(gaps, known["n"], 40), "rank")
-        .where((F.col("end") > F.col("need")) & (F.col("size") > 0) & (off < gap))
-        .groupBy("rank").agg(F.min(F.struct(off.alias("off"), "end")).alias("best"))
-        .select("rank", F.col("best.end").alias("filler"))
+        .where((F.col("end") > F.col("need")) & (F.col("size") > 0) & (off < F.col("gap")))
+        .join(small(taken, n_taken, 40), ["rank", "end"], "left_anti")
+        .groupBy("rank").agg(F.min(F.struct(off.alias("off"), "end", "need")).alias("best"))
+        .select("rank", F.col("best.end").alias("end"), F.col("best.need").alias("at"))
     )
-    chosen = placed.join(small(fillers, known["n"], 40), "rank", "left").select(
-        "record", "size", "rank", "source_size", "target", "end", rounds.cast("int").alias("rounds"),
+    extra = durable(taken.union(fillers))
+    chosen = placed.join(small(extra, n_taken + known["n"], 40), ["rank", "end"], "left").select(
+        "record", "size", "rank", "source_size", "target", "end", rounds.cast("int").alias("rounds"), "at",
         F.when(F.col("size") == 0, F.lit("none")).when(fits, F.lit("prefix"))
-        .when(F.col("end") == F.col("filler"), F.lit("filler")).otherwise(F.lit("none")).alias("last"),
+        .when(F.col("at").isNotNull(), F.lit("extra")).otherwise(F.lit("none")).alias("last"),
     )
 
     copies = F.when(F.col("size") == 0, F.lit(0)).otherwise(
@@ -220,10 +264,10 @@ def mix_plan(
     middle = F.col("end") - F.col("size") / 2
 
     def shard(copy: Column) -> Column:
-        """The shard of the block that a copy's middle falls into; the filler ends its source."""
-        at = F.when((copy == F.col("rounds")) & (F.col("last") == "filler"), F.col("target")).otherwise(
-            copy * F.col("source_size") + middle
-        )
+        """The shard of the block that a copy's middle falls into; the last filler ends its source."""
+        at = copy * F.col("source_size") + F.when(
+            (copy == F.col("rounds")) & (F.col("last") == "extra"), F.col("at")
+        ).otherwise(middle)
         block = F.floor(at * F.size("shards") / F.col("target"))
         return F.element_at("shards", F.least(block, F.size("shards") - 1).cast("int") + 1)
 

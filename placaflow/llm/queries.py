@@ -54,7 +54,7 @@ def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", F.col("source"), words(F.col("text")).alias("words")
     )
-    plan = mixing.mix_plan(docs, "doc_id", "source", F.col("words"))
+    plan = mixing.mix_plan(docs, "doc_id", "source", F.col("words"), fill_rounds=0)  # as its SQL twin fills
     plan, _ = stored(plan.withColumn("row", F.monotonically_increasing_id()), "mix-plan")
     mixed, _ = stored(mixing.mix(plan), "mix")  # the shards' rows in their shuffled order
     drawn = mixed.groupBy("row").agg(F.sum("size").alias("taken"))

@@ -31,3 +31,16 @@ def test_stored_mixture_is_mixed(spark, monkeypatch):
     assert sum(b.slot == a.slot + 1 for a, b in runs) > 0.7 * len(runs) > 0
     mixed_places = sum(a.source != b.source for a, b in runs)
     assert mixed_places > 0.3 * len(runs)
+
+
+def test_long_documents_leave_no_gap(spark):
+    """Short documents behind one that is too long fill a source up to its target."""
+    docs = [(n, "abc"[n % 3], 5 + n % 17) for n in range(900)] + [(1000 + n, c, 1500) for n, c in enumerate("abc")]
+    df = spark.createDataFrame(docs, "doc_id long, source string, n long")
+    for seed in range(4):
+        plan = mixing.mix_plan(df, "doc_id", "source", F.col("n"), seed=seed)
+        taken = F.sum(F.col("size") * F.size("placements")).alias("taken")
+        rows = plan.groupBy("source", "target").agg(taken).collect()
+        assert max(abs(r.taken - r.target) for r in rows) <= 10
+        shards = mixing.mix(plan).groupBy("shard").agg(F.sum("size").alias("n")).collect()
+        assert len(shards) == mixing.SHARDS
