@@ -408,13 +408,14 @@ def similar_texts(df: DataFrame, key: str, text: str, n: int = 3, percent: int =
 def one_of_each(df: DataFrame, key: str, text: str, n: int = 3, percent: int = 90) -> DataFrame:
     """The input without near copies: of each component the row with the smallest key stays.
 
-    Columns are those of the input. Of rows that repeat that key and text one stays; of rows with
-    empty sets all stay, but for repeated rows of one key.
+    Columns are those of the input. Unlike texts of one key are components of their own. Of rows
+    that repeat that key and text one stays; of rows with empty sets all stay, but for those that
+    repeat a key and text.
     """
-    found = durable(similar_texts(df, key, text, n, percent))
-    winners = found.groupBy(F.coalesce(F.col("component_id"), F.col("tag")).alias("c"), F.col("n_shingles") == 0).agg(
-        F.min(F.struct(F.col(key).alias("k"), "tag")).alias("first")
-    )
+    rows, linked = near_classes(df, key, text, n, percent)
+    rooted = rows.join(linked, "k", "left")
+    found = durable(rooted.select("id", "tag", F.col("k").isNull().alias("empty"), F.coalesce("root", "k", "tag").alias("c")))
+    winners = found.groupBy("c", "empty").agg(F.min(F.struct("id", "tag")).alias("first"))
     stay = durable(winners.select(F.col("first.tag").alias("_tag")).distinct())
     leave = durable(found.select(F.col("tag").alias("_tag")).distinct().join(stay, "_tag", "left_anti"))
     repeated = durable(found.groupBy(F.col("tag").alias("_tag")).count().where("count > 1").select("_tag"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from placaflow.llm import mixing, queries
+from placaflow.llm import jaccard, mixing, queries
 from placaflow.llm.common import stored
 
 DATA = "/root/testdata/sf0.001"
@@ -44,3 +44,11 @@ def test_long_documents_leave_no_gap(spark):
         assert max(abs(r.taken - r.target) for r in rows) <= 10
         shards = mixing.mix(plan).groupBy("shard").agg(F.sum("size").alias("n")).collect()
         assert len(shards) == mixing.SHARDS
+
+
+def test_unlike_texts_of_one_key_all_stay(spark):
+    texts = [" ".join(f"{a}{i}" for i in range(12)) for a in "abc"]
+    rows = [(1, texts[0]), (1, texts[1]), (1, texts[1]), (1, texts[2]), (2, texts[2]), (3, ""), (3, " "), (3, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = jaccard.one_of_each(df, "doc_id", "text", 5, 80).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted([*((1, t) for t in texts), (3, ""), (3, " ")])
