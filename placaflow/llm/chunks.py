@@ -42,11 +42,14 @@ class ChunkEncoder:
     """Encodes texts through a function that encodes a list of strings.
 
     Ids of a chunk are kept from the second time on that it is new in a group of texts, so that
-    the many chunks that occur once do not fill the memory.
+    the many chunks that occur once do not fill the memory. Texts that hold one of the `marks`
+    (a tokenizer's added tokens, at which it cuts a text first) are encoded whole.
     """
 
-    def __init__(self, encode: Callable[[list[str]], Iterable[Sequence[int]]], kept: int = CACHE_CHUNKS) -> None:
-        self.encode, self.kept = encode, kept
+    def __init__(
+        self, encode: Callable[[list[str]], Iterable[Sequence[int]]], kept: int = CACHE_CHUNKS, marks: Sequence[str] = ()
+    ) -> None:
+        self.encode, self.kept, self.marks = encode, kept, marks
         #: Ids of chunks with their leading space left out, and of chunks as they are.
         self.spaced: dict[str, bytes] = {}
         self.whole: dict[str, bytes] = {}
@@ -76,6 +79,10 @@ class ChunkEncoder:
         new_whole: set[str] = set()
         new_spaced: set[str] = set()
         for text in texts:
+            if any(mark in text for mark in self.marks):
+                (ids,) = self.encode([text])
+                out.append(array("I", ids).tobytes())
+                continue
             if plain(text):
                 rest = text.split(" ")
                 whole = [rest.pop(0)]

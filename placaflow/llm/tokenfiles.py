@@ -50,8 +50,10 @@ def tokenizer(definition: str) -> ChunkEncoder:
     from tokenizers import Tokenizer
 
     own = Tokenizer.from_str(definition)
-    own.encode_special_tokens = True
-    return ChunkEncoder(lambda texts: [e.ids for e in own.encode_batch_fast(texts, add_special_tokens=False)])
+    marks = [t.content for t in own.get_added_tokens_decoder().values()]
+    return ChunkEncoder(
+        lambda texts: [e.ids for e in own.encode_batch_fast(texts, add_special_tokens=False)], marks=marks
+    )
 
 
 def pack(keys: list[int | None], docs: list[np.ndarray], symbols: int) -> bytes:

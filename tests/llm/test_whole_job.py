@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers as vocabularies
 from pyspark.sql import functions as F
 
-from placaflow.llm import jaccard, mixing, queries
+from placaflow.llm import jaccard, mixing, queries, tokenfiles
 from placaflow.llm.common import stored
 
 DATA = "/root/testdata/sf0.001"
@@ -52,3 +53,14 @@ def test_unlike_texts_of_one_key_all_stay(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     kept = jaccard.one_of_each(df, "doc_id", "text", 5, 80).collect()
     assert sorted((r.doc_id, r.text) for r in kept) == sorted([*((1, t) for t in texts), (3, ""), (3, " ")])
+
+
+def test_added_tokens_are_the_librarys():
+    from tokenizers import Tokenizer
+
+    path = vocabularies.path(queries.TOKENIZER)
+    own = Tokenizer.from_file(path)
+    texts = ["hello <|endoftext|> world", "a  <|endoftext|>\n  b  c", "<|endoftext|>", "x<|endoftext|><|endoftext|> y", "no mark  here", ""]
+    found = tokenfiles.tokenizer(tokenfiles.read_definition(path))(texts)
+    assert [ids.tolist() for ids in found] == [own.encode(t, add_special_tokens=False).ids for t in texts]
+    assert 50256 in found[0]
