@@ -5,7 +5,7 @@ paragraphs' vectors. It does not depend on their order, and inserting or deletin
 adds or subtracts its vector. The vector has two parts:
 
 * 16 lanes modulo 2**64, filled by SHAKE-128 of the whole paragraph: equality;
-* 128 lanes modulo 2**16, each the sum of a sign per sentence of the paragraph, the signs being
+* 128 lanes modulo 2**32, each the sum of a sign per sentence of the paragraph, the signs being
   the bits of the sentence's hash: likeness. The difference of two such sums is small when the
   documents share most sentences, and their cosine estimates that of the sentence counts.
 
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from placaflow.llm.common import durable, keep_clear, small
 
 WIDE, SIGNS = 16, 128
-BYTES = 8 * WIDE + 2 * SIGNS
+BYTES = 8 * WIDE + 4 * SIGNS
 #: Texts hashed together.
 GROUP = 128
 _SENTENCE = re.compile(r"[^.!?\n]{1,200}[.!?]*")
@@ -63,17 +63,17 @@ def _fingerprints(texts: Sequence[str]) -> np.ndarray:
     counts = np.array([len(p) for p in parts], dtype=np.int64)
     bits = np.unpackbits(np.frombuffer(signs, dtype=np.uint8).reshape(-1, SIGNS // 8), axis=1)
     ones = _sums(bits.astype(np.int32), counts)
-    likes = (2 * ones - counts[:, None]) & 0xFFFF
+    likes = (2 * ones.astype(np.int64) - counts[:, None]) & 0xFFFFFFFF
     out = np.empty((len(texts), BYTES), dtype=np.uint8)
     out[:, : 8 * WIDE] = np.ascontiguousarray(exact.astype("<u8")).view(np.uint8)
-    out[:, 8 * WIDE :] = np.ascontiguousarray(likes.astype("<u2")).view(np.uint8)
+    out[:, 8 * WIDE :] = np.ascontiguousarray(likes.astype("<u4")).view(np.uint8)
     return out
 
 
 def added(first: np.ndarray, second: np.ndarray, sign: int = 1) -> np.ndarray:
     """Lane by lane sum (or difference) of fingerprints, modulo the lanes' powers of two."""
     out = np.empty_like(first)
-    for part, kind in ((slice(0, 8 * WIDE), "<u8"), (slice(8 * WIDE, BYTES), "<u2")):
+    for part, kind in ((slice(0, 8 * WIDE), "<u8"), (slice(8 * WIDE, BYTES), "<u4")):
         a = np.ascontiguousarray(first[:, part]).view(kind)
         b = np.ascontiguousarray(second[:, part]).view(kind)
         out[:, part] = np.ascontiguousarray(a + b if sign > 0 else a - b).view(np.uint8)
@@ -83,7 +83,7 @@ def added(first: np.ndarray, second: np.ndarray, sign: int = 1) -> np.ndarray:
 def likeness(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     """Cosine of the sign lanes, from 0 to 1; equal fingerprints have 1, empty ones else 0."""
     a, b = (
-        np.ascontiguousarray(x[:, 8 * WIDE :]).view("<i2").astype(np.float64) for x in (first, second)
+        np.ascontiguousarray(x[:, 8 * WIDE :]).view("<i4").astype(np.float64) for x in (first, second)
     )
     norm = np.sqrt((a * a).sum(axis=1) * (b * b).sum(axis=1))
     cosine = np.divide((a * b).sum(axis=1), norm, out=np.zeros(len(a)), where=norm > 0)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers as vocabularies
 from pyspark.sql import functions as F
 
-from placaflow.llm import jaccard, mixing, queries, tokenfiles
+from placaflow.llm import fingerprints, jaccard, mixing, queries, tokenfiles
 from placaflow.llm.common import stored
 
 DATA = "/root/testdata/sf0.001"
@@ -64,3 +64,11 @@ def test_added_tokens_are_the_librarys():
     found = tokenfiles.tokenizer(tokenfiles.read_definition(path))(texts)
     assert [ids.tolist() for ids in found] == [own.encode(t, add_special_tokens=False).ids for t in texts]
     assert 50256 in found[0]
+
+
+def test_very_often_repeated_sentences_do_not_wrap():
+    text = "a. " * 40_000
+    own, edited, other = (fingerprints.fingerprints([t]) for t in (text, text[: len(text) // 2] + "Another end.", "Unlike."))
+    assert fingerprints.likeness(own, edited)[0] > 0.99
+    assert fingerprints.likeness(own, other)[0] < 0.5
+    assert (fingerprints.added(own, own) == fingerprints.fingerprints([text + "\n" + text])).all()
