@@ -17,6 +17,7 @@ from placaflow.llm import (
     mixing,
     neighbours,
     sharding,
+    simhash,
     tokenfiles,
     warc,
 )
@@ -115,10 +116,15 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(vectors, "vec_id", "embedding", is_query)
 
 
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_copies(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_shard, op2_warc, op3_mix, op4_fingerprint, op5_jaccard,
         op6_token_files, op7_byte_bpe, op8_lm_score, op9_language, op10_neighbours,
+        op12_simhash,
     )
 }
