@@ -88,4 +88,33 @@ SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, least(doc_id, coalesce(leas
 FROM sets LEFT JOIN (SELECT doc_id, min(other) AS least_other FROM reach GROUP BY doc_id) USING (doc_id)
 """
 
-ORACLES = {"op2_warc": OP2, "op3_mix": OP3, "op5_jaccard": OP5}
+OP11 = """
+WITH texts AS (
+  SELECT row_number() OVER () AS row_id, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms
+  FROM documents
+), held AS (SELECT row_id, doc_id, CAST(len(terms) AS BIGINT) AS n, terms FROM texts WHERE len(terms) > 0
+), total AS (SELECT CAST(count(*) AS BIGINT) AS nn, CAST(sum(n) AS BIGINT) AS ll FROM held
+), counted AS (
+  SELECT row_id, doc_id, n, term, CAST(count(*) AS BIGINT) AS tf
+  FROM (SELECT row_id, doc_id, n, unnest(terms) AS term FROM held) GROUP BY ALL
+), weighed AS (
+  SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * nn + 2) / (2.0::DOUBLE * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM counted GROUP BY term), total
+), asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+  FROM benchmark
+), scored AS (
+  SELECT item_id, row_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * nn) // ll)))) AS BIGINT) AS score
+  FROM asked JOIN weighed USING (term) JOIN counted USING (term), total
+  GROUP BY ALL
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 50
+"""
+
+ORACLES = {"op2_warc": OP2, "op3_mix": OP3, "op5_jaccard": OP5, "op11_lexical": OP11}

@@ -13,6 +13,7 @@ from placaflow.llm import (
     fingerprints,
     jaccard,
     langid,
+    lexical,
     lm,
     mixing,
     neighbours,
@@ -116,6 +117,11 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(vectors, "vec_id", "embedding", is_query)
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return lexical.search(docs, "doc_id", "text", items, "item_id", "text")
+
+
 def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
 
@@ -125,6 +131,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_shard, op2_warc, op3_mix, op4_fingerprint, op5_jaccard,
         op6_token_files, op7_byte_bpe, op8_lm_score, op9_language, op10_neighbours,
-        op12_simhash,
+        op11_lexical, op12_simhash,
     )
 }

@@ -21,6 +21,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -189,7 +190,7 @@ def _deal(nodes: DataFrame, count: int, radius: int) -> DataFrame:
 def _longs(column: pa.Array) -> list[np.ndarray]:
     """Arrays of longs of a list column, one for each row."""
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
-    ends = np.cumsum(pa.compute.list_value_length(column).to_numpy(zero_copy_only=False))
+    ends = np.cumsum(pc.list_value_length(column).to_numpy(zero_copy_only=False))
     return np.split(flat, ends[:-1]) if len(ends) else []
 
 
