@@ -3,8 +3,8 @@
 Documents are read once into forward rows: number of terms, and which of the items' terms they
 hold how often. Tasks take the rows in shards of bounded size. In a shard each term has a
 posting list, clustered by the likeness of its documents and cut into blocks; a block's summary
-is the largest score part of each term over its documents. The sum of an item's terms in a
-summary bounds every document of the block from above, so a block whose sum is below the lowest
+is the largest score part over its documents, for each term that some item asks together with
+the list's term (no other is ever looked up). The sum of an item's terms in a summary bounds every document of the block from above, so a block whose sum is below the lowest
 score that still counts is skipped, and all others are scored in full: nothing is lost.
 
 All items start with the score of their k-th document among one in `SAMPLE` documents, a lower
@@ -27,13 +27,13 @@ from placaflow.llm.common import drop_folder, give_back, in_small_batches, store
 
 SEED = 23
 #: Bytes of item texts that are searched for together; more items take more rounds.
-ITEM_BYTES = 4 << 20
+ITEM_BYTES = 128 << 10
 #: One in so many documents sets the score from which blocks are skipped.
 SAMPLE = 64
 #: Documents of a shard, and the sum of squares of their numbers of terms.
 SHARD_DOCS, SHARD_CELLS = 2048, 8 << 20
 #: Documents of a block, blocks scored together, numbers of a document's sketch.
-BLOCK, TOGETHER, SKETCH = 64, 32, 32
+BLOCK, TOGETHER, SKETCH = 8, 64, 32
 #: Cells of a dense part of the summaries while they are made.
 _DENSE = 4 << 20
 #: A-Z in lower case, other ASCII characters but letters and digits as spaces.
@@ -60,15 +60,19 @@ def length_marks(n: np.ndarray, documents: int, terms: int) -> np.ndarray:
 class Shard:
     """Forward rows of some documents, and blocked posting lists over them."""
 
-    def __init__(self, ends: np.ndarray, term: np.ndarray, part: np.ndarray, terms: int) -> None:
-        """`term` and `part`: the documents' terms and their score parts, one document after another."""
+    def __init__(self, ends: np.ndarray, term: np.ndarray, part: np.ndarray, together: np.ndarray) -> None:
+        """`term` and `part`: the documents' terms and their score parts, one document after another.
+
+        `together` marks the pairs of terms that some item asks.
+        """
+        terms = len(together)
         docs = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
         some = part > 0
         self.term, self.part, doc, self.terms = term[some], part[some], docs[some], terms
         self.ends = np.searchsorted(doc, np.arange(len(ends)), "right")
         self.starts = np.concatenate([[0], self.ends[:-1]]).astype(np.int64)
         self._block(doc)
-        self._summarise()
+        self._summarise(together)
 
     def _sketches(self, doc: np.ndarray) -> np.ndarray:
         """Short vectors whose products stand for the likeness of documents."""
@@ -102,16 +106,16 @@ class Shard:
             elif len(members):
                 blocks.append(members)
                 owners.append(t)
-        self.blocks = blocks
-        self.of_term = np.searchsorted(np.array(owners, dtype=np.int64), np.arange(self.terms + 1))
+        self.blocks, self.owners = blocks, np.array(owners, dtype=np.int64)
+        self.of_term = np.searchsorted(self.owners, np.arange(self.terms + 1))
 
     def _cells(self, docs: np.ndarray) -> np.ndarray:
         """Positions of the documents' terms, one document after another."""
         many = self.ends[docs] - self.starts[docs]
         return np.arange(many.sum()) + np.repeat(self.starts[docs] - (np.cumsum(many) - many), many)
 
-    def _summarise(self) -> None:
-        """By term, the blocks that hold it and its largest part there."""
+    def _summarise(self, together: np.ndarray) -> None:
+        """By term, the blocks where it can be asked for, and its largest part there."""
         step = max(1, _DENSE // self.terms)
         keys, tops = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for at in range(0, len(self.blocks), step):
@@ -120,6 +124,8 @@ class Shard:
             cells = self._cells(docs)
             held = np.repeat(np.arange(len(some)), [len(b) for b in some])
             held = np.repeat(held, self.ends[docs] - self.starts[docs])
+            asked = together[self.owners[at + held], self.term[cells]]
+            held, cells = held[asked], cells[asked]
             dense = np.zeros(len(some) * self.terms, dtype=np.int64)
             np.maximum.at(dense, held * self.terms + self.term[cells], self.part[cells])
             there = np.flatnonzero(dense)
@@ -246,10 +252,13 @@ def _ranked(forward: DataFrame, sent, k: int) -> DataFrame:
         least = list(least)
         none = np.zeros(0, dtype=np.int64)
         best = [(none, none, none)] * len(asked)  # ids, null marks, scores
+        together = np.zeros((len(weight), len(weight)), dtype=bool)
+        for own in asked:
+            together[np.ix_(own, own)] = True
         for ids, nulls, n, ends, terms, counts in _shards(batches):
             marks = np.repeat(length_marks(n, documents, total), np.diff(ends, prepend=0))
             parts = weight[terms] * (1_000_000_000 * counts // (1000 * counts + 20 * marks))
-            shard = Shard(ends, terms, parts, len(weight))
+            shard = Shard(ends, terms, parts, together)
             order = np.empty(len(ids), dtype=np.int64)
             order[np.lexsort((ids, nulls))] = np.arange(len(ids))
             for item, own in enumerate(asked):
