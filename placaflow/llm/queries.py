@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from placaflow.llm import (
     bytebpe,
     fingerprints,
+    hardneg,
     jaccard,
     langid,
     lexical,
@@ -126,11 +127,17 @@ def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END")
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label"))
+    return hardneg.mine(vectors, "vec_id", "label", "embedding", F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_shard, op2_warc, op3_mix, op4_fingerprint, op5_jaccard,
         op6_token_files, op7_byte_bpe, op8_lm_score, op9_language, op10_neighbours,
-        op11_lexical, op12_simhash,
+        op11_lexical, op12_simhash, op13_hard_negatives,
     )
 }
