@@ -37,23 +37,39 @@ from placaflow.plans.base import (
 from placaflow.plans.detail import EVENT, LATEST, latest_registration, plate_events
 from placaflow.session import materialise
 from placaflow.sources.lazy import LazyTables
+from placaflow.sources.manifest import found_pairs
 
 
-#: Tables without which a brand cannot be counted on a day.
+#: Tables that every backfill reads, and those that choose contracts by unit.
+CHAIN_TABLES = (
+    "insurance_registration", "insurance_reg_set", "insurance_reg_set_coverage",
+    "insurance_reg_set_cov_trailer", "insurance_vehicle", "insurance_trailer", "insurance_status",
+)
+UNIT_TABLES = ("representante", "catalogo")
+#: Tables whose rows show that a day is there, where no manifest says what has landed.
 COUNTED_TABLES = ("insurance_registration", "insurance_reg_set", "insurance_reg_set_coverage")
 
 
-def found_tables(tables: Tables, brands: Iterable[C.BrandSpec] = C.BRANDS) -> tuple[DataFrame, int]:
-    """Per snapshot day, how many of the brands' counted tables have rows; and how many should.
+def found_tables(
+    tables: Tables, brands: Iterable[C.BrandSpec] = C.BRANDS, reads: Iterable[str] = CHAIN_TABLES
+) -> tuple[DataFrame, int]:
+    """Per snapshot day, how many of the brands' tables are there; and how many should.
 
-    Tables without a day hold for all days. Only brand and day are read, which on landed
-    files are the folder names.
+    With a manifest, a table is there if it has files of that day and brand: all tables that
+    the report reads count, and no table is scanned. Frames without one are taken by their
+    rows in `COUNTED_TABLES`; those without a day are there whenever others are.
     """
+    brands = list(brands)
+    manifest = getattr(tables, "manifest", None)
+    if manifest is not None:
+        reads = list(reads)
+        return found_pairs(manifest(), brands, reads), len(reads) * len(brands)
     labels = [brand.label for brand in brands]
     dated = [tables[name] for name in COUNTED_TABLES if DAY in tables[name].columns]
     pairs = [df.where(F.col(BRAND).isin(labels)).select(DAY, BRAND).distinct() for df in dated]
-    found = union_by_name(pairs).groupBy(DAY).agg(F.count("*").alias("found"))
-    return found, len(dated) * len(labels)
+    always = (len(COUNTED_TABLES) - len(dated)) * len(labels)
+    found = union_by_name(pairs).groupBy(DAY).agg((F.count("*") + always).alias("found"))
+    return found, len(COUNTED_TABLES) * len(labels)
 
 
 def per_snapshot_day(
@@ -63,11 +79,12 @@ def per_snapshot_day(
     start: dt.date,
     end: dt.date,
     brands: Iterable[C.BrandSpec] = C.BRANDS,
+    reads: Iterable[str] = CHAIN_TABLES,
 ) -> DataFrame:
     """One row per calendar day: the count (0 where none), whether the snapshot is complete
     and how many tables of how many brands it lacks."""
     spark = counts.sparkSession
-    found, wanted = found_tables(tables, brands)
+    found, wanted = found_tables(tables, brands, reads)
     spine = K.date_spine(spark, start, end, DAY)
     missing = F.lit(wanted).cast("long") - F.coalesce(F.col("found"), F.lit(0))
     return (
@@ -90,7 +107,13 @@ def _between(tables: Tables, start: dt.date, end: dt.date) -> Tables:
             return df
         return df.where(F.col(DAY).between(F.lit(start), F.lit(end)))
 
-    return LazyTables({name: lambda name=name: cut(tables[name]) for name in tables})
+    manifest = getattr(tables, "manifest", None)
+    return LazyTables({name: lambda name=name: cut(tables[name]) for name in tables}, manifest)
+
+
+def _reads(units: Iterable[str] | None) -> tuple[str, ...]:
+    """The tables a count reads: names of units only where units are chosen."""
+    return CHAIN_TABLES if units is None else (*CHAIN_TABLES, *UNIT_TABLES)
 
 
 def snapshot_distinct_chassis(rows: DataFrame, out: str) -> DataFrame:
@@ -170,7 +193,7 @@ def backfill_activated(
         sets = _units(sets, tables, units)
     rows = _plates(_active_references(tables, sets), tables, ["chassi"])
     counts = snapshot_period_count(rows, "inicio_vig", "total_ativados", mode)
-    return per_snapshot_day(tables, counts, "total_ativados", start, end, brands)
+    return per_snapshot_day(tables, counts, "total_ativados", start, end, brands, _reads(units))
 
 
 def backfill_cancelled(
@@ -198,7 +221,7 @@ def backfill_cancelled(
         )
     )
     counts = snapshot_period_count(rows, "fim_vig", "total_cancelados", mode)
-    return per_snapshot_day(tables, counts, "total_cancelados", start, end, brands)
+    return per_snapshot_day(tables, counts, "total_cancelados", start, end, brands, _reads(units))
 
 
 def backfill_cancellations(

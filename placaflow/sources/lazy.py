@@ -8,11 +8,19 @@ from pyspark.sql import DataFrame
 
 
 class LazyTables(Mapping[str, DataFrame]):
-    """Logical table name -> DataFrame, each opened once, when first asked for."""
+    """Logical table name -> DataFrame, each opened once, when first asked for.
 
-    def __init__(self, openers: Mapping[str, Callable[[], DataFrame]]) -> None:
+    `manifest` makes the list of what has landed, where the tables are landed snapshots.
+    """
+
+    def __init__(
+        self,
+        openers: Mapping[str, Callable[[], DataFrame]],
+        manifest: Callable[[], DataFrame] | None = None,
+    ) -> None:
         self._openers = dict(openers)
         self._open: dict[str, DataFrame] = {}
+        self.manifest = manifest
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._open:
@@ -27,4 +35,4 @@ class LazyTables(Mapping[str, DataFrame]):
 
     def map(self, change: Callable[[DataFrame], DataFrame]) -> LazyTables:
         """The same tables, each changed when opened."""
-        return LazyTables({name: lambda name=name: change(self[name]) for name in self})
+        return LazyTables({name: lambda name=name: change(self[name]) for name in self}, self.manifest)

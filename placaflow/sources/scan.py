@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 import os
-import re
 from collections.abc import Iterable, Mapping
 from functools import partial
 
@@ -20,14 +19,19 @@ from placaflow.operators.joins import BRAND, DAY
 from placaflow.operators.sets import constant_rows, union_by_name
 from placaflow.schemas import INVOICES_SCHEMA, OPTIONAL_COLUMNS, SOURCE_SCHEMAS
 from placaflow.sources.lazy import LazyTables
+from placaflow.sources.manifest import (
+    SchemaRecords,
+    day_folders,
+    files_by_day,
+    landing_manifest,
+    table_folder,
+)
 
 _NOTHING_THERE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 _TYPES_DISAGREE = ("CANNOT_MERGE_SCHEMAS", "CANNOT_MERGE_INCOMPATIBLE_DATA_TYPE")
 
 
-def resolve(root: str, brand: BrandSpec, table: str) -> str:
-    """Physical folder of a brand's table."""
-    return f"{root.rstrip('/')}/{brand.folder}/{table}"
+resolve = table_folder
 
 
 class MissingColumns(ValueError):
@@ -65,16 +69,6 @@ def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return constant_rows(spark, schema, [])
 
 
-def _read(spark: SparkSession, path: str, merge: bool = False) -> DataFrame | None:
-    """The files under a path, or None where there are none. Other errors surface."""
-    try:
-        return spark.read.option("mergeSchema", merge).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in _NOTHING_THERE:
-            return None
-        raise
-
-
 def scan_brand_table(
     spark: SparkSession, root: str, brand: BrandSpec, table: str, schema: T.StructType | None = None
 ) -> DataFrame:
@@ -94,23 +88,19 @@ def scan_snapshot(
     schema: T.StructType | None = None,
     evolve: bool = True,
     optional: Iterable[str] = OPTIONAL_COLUMNS,
+    records: SchemaRecords | None = None,
 ) -> DataFrame:
-    """Daily snapshots of one brand's table between two days (partition pruning).
+    """Daily snapshots of one brand's table between two days.
 
-    A brand without snapshots of the table has no rows. Columns that some files lack are
-    united by name (`evolve`; without it one file's columns stand for all); a column that no
-    file has is an error unless it is `optional`. A day whose file types differ from the
-    others' cannot be merged: see `scan_snapshot_by_day`.
+    Only the folders of these days are listed and opened, however long the history is; with
+    `records`, the footers of a day are opened once and then known. A brand without snapshots
+    of the table has no rows. Columns that some files lack are united by name (`evolve`;
+    without it one file's columns stand for all); a column that no file has is an error unless
+    it is `optional`. Days whose file types differ are read by a scan of their own.
     """
-    schema = schema or SOURCE_SCHEMAS[table]
-    dated = T.StructType([T.StructField(DAY, T.DateType()), *schema.fields])
-    df = _read(spark, resolve(root, brand, table), merge=evolve)
-    if df is None or DAY not in df.columns:
-        return empty_table(spark, dated)
-    if df.schema[DAY].dataType != T.DateType():
-        df = df.withColumn(DAY, F.col(DAY).try_cast("date"))
-    df = df.where(F.col(DAY).between(F.lit(start), F.lit(end)))
-    return normalise(df, schema, keep=[DAY], optional=optional)
+    folder = resolve(root, brand, table)
+    days = day_folders(spark, folder, start, end)
+    return _snapshots(spark, folder, days, schema or SOURCE_SCHEMAS[table], evolve, optional, records)
 
 
 def scan_snapshot_by_day(
@@ -120,49 +110,99 @@ def scan_snapshot_by_day(
     table: str,
     days: Iterable[dt.date],
     schema: T.StructType | None = None,
+    records: SchemaRecords | None = None,
 ) -> DataFrame:
-    """Snapshots whose column types change between days: one scan per file schema, united.
-
-    Columns that a day lacks are null on that day.
-    """
+    """Snapshots of single days whose columns may change: what a day lacks is null on that day."""
     schema = schema or SOURCE_SCHEMAS[table]
+    folder, days = resolve(root, brand, table), set(days)
+    there = day_folders(spark, folder, min(days, default=None), max(days, default=None))
+    wanted = {d: path for d, path in there.items() if d in days}
+    return _snapshots(spark, folder, wanted, schema, True, schema.fieldNames(), records)
+
+
+def _snapshots(
+    spark: SparkSession,
+    folder: str,
+    days: Mapping[dt.date, str],
+    schema: T.StructType,
+    evolve: bool,
+    optional: Iterable[str],
+    records: SchemaRecords | None,
+) -> DataFrame:
+    """One scan for all days whose file schemas can be united; normally there is one."""
     dated = T.StructType([T.StructField(DAY, T.DateType()), *schema.fields])
-    folder = resolve(root, brand, table)
-    there = _day_folders(spark, folder)
-    frames = [empty_table(spark, dated)]
-    for found, paths in _by_schema(spark, folder, [there[d] for d in days if d in there]):
+    optional, frames, lacking = list(optional), [], []
+    groups = _by_schema(spark, folder, days, records) if evolve else _as_first(spark, folder, list(days.values()))
+    for found, paths in groups:
         df = spark.read.option("basePath", folder).schema(found).parquet(*paths)
-        df = df.withColumn(DAY, F.col(DAY).cast("date"))
+        df = df.withColumn(DAY, F.col(DAY).cast("date")) if df.schema[DAY].dataType != T.DateType() else df
+        df = df.where(F.col(DAY).between(F.lit(min(days)), F.lit(max(days))))
+        lacking.append({n for n in schema.fieldNames() if n.lower() not in {c.lower() for c in df.columns}})
         frames.append(normalise(df, schema, keep=[DAY], optional=schema.fieldNames()))
-    return union_by_name(frames)
+    nowhere = set.intersection(*lacking) - set(optional) if lacking else set()
+    if nowhere:
+        raise MissingColumns(f"columns {', '.join(sorted(nowhere))} are not in the table's files")
+    return union_by_name(frames) if frames else empty_table(spark, dated)
 
 
-def _day_folders(spark: SparkSession, folder: str) -> dict[dt.date, str]:
-    """Folders of the snapshot days that are there, from one listing."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(path):
-        return {}
-    names = [status.getPath().getName() for status in files.listStatus(path)]
-    days = [re.fullmatch(rf"{DAY}=(\d{{4}}-\d\d-\d\d)", name) for name in names]
-    return {dt.date.fromisoformat(d[1]): f"{folder}/{d[0]}" for d in days if d}
+def _as_first(spark: SparkSession, folder: str, paths: list[str]) -> list[tuple[T.StructType, list[str]]]:
+    """All day folders under the schema of one of their files."""
+    try:
+        return [(spark.read.option("basePath", folder).parquet(*paths).schema, paths)] if paths else []
+    except AnalysisException as error:
+        if error.getCondition() in _NOTHING_THERE:
+            return []
+        raise
 
 
 def _by_schema(
-    spark: SparkSession, folder: str, paths: list[str]
+    spark: SparkSession, folder: str, days: Mapping[dt.date, str], records: SchemaRecords | None = None
 ) -> list[tuple[T.StructType, list[str]]]:
     """Day folders in groups of one united file schema.
 
-    Spark unites the footers of all folders in one job. Where types disagree, the folders are
-    halved and tried again; groups that end up with equal schemas are put together.
+    Days on record are not opened. The footers of the others are united by Spark in one job.
+    """
+    files = files_by_day(spark, days) if records is not None else {}
+    known = records.known(folder, files) if records is not None else {}
+    new = _opened(spark, folder, {d: path for d, path in days.items() if d not in known})
+    if records is not None:
+        records.add(folder, files, {d: found for found, some in new for d in some if d in files})
+    for day, found in known.items():
+        new.append((found, [day]))
+    groups: list[tuple[T.StructType, list[dt.date]]] = []
+    for found, some in new:
+        for n, (before, own) in enumerate(groups):
+            united = _united(before, found)
+            if united is not None:
+                groups[n] = (united, [*own, *some])
+                break
+        else:
+            groups.append((found, list(some)))
+    return [(found, [days[d] for d in sorted(own)]) for found, own in groups]
+
+
+def _united(a: T.StructType, b: T.StructType) -> T.StructType | None:
+    """The columns of both, by name in any letter case; None where types disagree."""
+    names = {f.name.lower(): f.dataType for f in a.fields}
+    if any(names.get(f.name.lower(), f.dataType) != f.dataType for f in b.fields):
+        return None
+    return T.StructType([*a.fields, *[f for f in b.fields if f.name.lower() not in names]])
+
+
+def _opened(
+    spark: SparkSession, folder: str, days: Mapping[dt.date, str]
+) -> list[tuple[T.StructType, list[dt.date]]]:
+    """Days in groups of one file schema, from their footers.
+
+    Where types disagree, the days are halved and tried again.
     """
-    groups: dict[str, tuple[T.StructType, list[str]]] = {}
-    tries = [paths] if paths else []
+    groups: list[tuple[T.StructType, list[dt.date]]] = []
+    tries = [list(days)] if days else []
     while tries:
         some = tries.pop()
         reader = spark.read.option("basePath", folder).option("mergeSchema", True)
         try:
-            found = reader.parquet(*some).schema
+            groups.append((reader.parquet(*[days[d] for d in some]).schema, some))
         except AnalysisException as error:
             if error.getCondition() in _NOTHING_THERE:
                 continue
@@ -171,9 +211,7 @@ def _by_schema(
             if not any(c in str(error.java_exception) for c in _TYPES_DISAGREE) or len(some) == 1:
                 raise
             tries += [some[: len(some) // 2], some[len(some) // 2 :]]
-            continue
-        groups.setdefault(found.json(), (found, []))[1].extend(some)
-    return list(groups.values())
+    return groups
 
 
 def _with_brand(df: DataFrame, brand: BrandSpec) -> DataFrame:
@@ -206,22 +244,26 @@ def load_snapshots(
     tables: Iterable[str] = tuple(SOURCE_SCHEMAS),
     evolve: bool = True,
     by_day: bool = False,
+    records: SchemaRecords | None = None,
 ) -> LazyTables:
-    """Every logical table over all brands and days, with brand and day columns.
+    """Every logical table over all brands and days, with brand and day columns, and the
+    manifest of what has landed.
 
-    `evolve`: some days may lack columns. `by_day`: column types change between days.
+    `evolve`: some days may lack columns. `by_day`: a day may lack any column. `records` keep
+    file schemas from run to run.
     """
-    brands = list(brands)
+    brands, tables = list(brands), list(tables)
 
     def scanned(brand: BrandSpec, table: str) -> DataFrame:
         if by_day:
-            return scan_snapshot_by_day(spark, root, brand, table, days_between(start, end))
-        return scan_snapshot(spark, root, brand, table, start, end, evolve=evolve)
+            return scan_snapshot_by_day(spark, root, brand, table, days_between(start, end), records=records)
+        return scan_snapshot(spark, root, brand, table, start, end, evolve=evolve, records=records)
 
     def opened(table: str) -> DataFrame:
         return union_by_name(_with_brand(scanned(brand, table), brand) for brand in brands)
 
-    return LazyTables({table: partial(opened, table) for table in tables})
+    manifest = partial(landing_manifest, spark, root, start, end, brands, tables)
+    return LazyTables({table: partial(opened, table) for table in tables}, manifest)
 
 
 def load_invoices(spark: SparkSession, path: str) -> DataFrame:

@@ -414,11 +414,12 @@ def benefit_catalogue(s: Source) -> DataFrame:
 _ON_DAY = "JOIN snaps n ON CAST(c.reg_ts AS DATE) <= n.day"
 
 
-def _per_day(body: str, measure: str) -> str:
-    """One row per calendar day around counts `n` per snapshot day."""
+def _per_day(body: str, measure: str, tables: int = 7) -> str:
+    """One row per calendar day around counts `n` per snapshot day; on the missing day all
+    tables that the report reads are missing, of four brands."""
     return f"""SELECT d.day AS data, coalesce(x.n, 0) AS {measure},
     d.day <> DATE '2001-07-25' AS has_snapshot,
-    CAST(CASE WHEN d.day = DATE '2001-07-25' THEN 8 ELSE 0 END AS BIGINT) AS missing_tables
+    CAST(CASE WHEN d.day = DATE '2001-07-25' THEN {4 * tables} ELSE 0 END AS BIGINT) AS missing_tables
     FROM snap_days d LEFT JOIN ({body}) x ON x.day = d.day"""
 
 
@@ -434,12 +435,13 @@ def backfill_active(s: Source) -> DataFrame:
     return backfill.backfill_active(s.snapshots, S.SNAPSHOT_START, S.SNAPSHOT_END)
 
 
-def _windowed(where: str, date: str, measure: str) -> str:
+def _windowed(where: str, date: str, measure: str, tables: int = 7) -> str:
     return _per_day(
         f"""SELECT l.day, count(*) FILTER (WHERE l.latest BETWEEN w.w0 AND w.w1) AS n FROM (
         SELECT n.day, c.chassi, max({date}) AS latest FROM chain c {_ON_DAY}
         WHERE {where} GROUP BY 1, 2) l JOIN snap_windows w ON w.day = l.day GROUP BY 1""",
         measure,
+        tables,
     )
 
 
@@ -457,6 +459,7 @@ def backfill_activated(s: Source) -> DataFrame:
         f"c.sid = 7 AND c.ben_status = 'ATIVO' AND c.unidade IN ({_UNITS_SQL})",
         "c.start_day",
         "total_ativados",
+        tables=9,
     ),
 )
 def backfill_activated_by_unit(s: Source) -> DataFrame:
@@ -482,6 +485,7 @@ def backfill_cancelled(s: Source) -> DataFrame:
         f"{_CANCELLED_SETS} AND c.unidade IN ({_UNITS_SQL})",
         "CAST(c.eff_to AS DATE)",
         "total_cancelados",
+        tables=9,
     ),
 )
 def backfill_cancelled_by_unit(s: Source) -> DataFrame:

@@ -13,10 +13,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placaflow import config as C
+from placaflow.functions.calendar import date_spine
 from placaflow.operators.joins import BRAND, DAY
 from placaflow.operators.sets import constant_rows
 from placaflow.schemas import SOURCE_SCHEMAS
 from placaflow.sources.lazy import LazyTables
+from placaflow.sources.manifest import TABLE
 
 # Status rows of the stand-in.
 STATUSES = ((7, "ATIVO"), (2, "CANCELADO"), (3, "FINALIZADO"), (4, "RENOVACAO"), (5, "NAO RENOVADO"))
@@ -223,4 +225,12 @@ def snapshot_tables(
             return dated(name, F.lit(start))
         return tables[name]
 
-    return LazyTables({name: partial(opened, name) for name in tables})
+    def manifest() -> DataFrame:
+        """Every brand lands every table every day but the missing one."""
+        spine = date_spine(spark, start, end, DAY).where(F.col(DAY) != F.lit(missing))
+        labels = F.array(*[F.lit(brand.label) for brand in C.BRANDS])
+        names = F.array(*[F.lit(name) for name in tables])
+        rows = spine.select(DAY, F.explode(labels).alias(BRAND)).select("*", F.explode(names).alias(TABLE))
+        return rows.withColumns({"files": F.lit(1), "bytes": F.lit(1)})
+
+    return LazyTables({name: partial(opened, name) for name in tables}, manifest)
