@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +53,15 @@ def days_between(start: dt.date, end: dt.date) -> list[dt.date]:
     return [start + n * ONE_DAY for n in range((end - start).days + 1)]
 
 
+def days_of(spark: SparkSession, days: Iterable[dt.date], name: str = "landing_date") -> DataFrame:
+    """One row for each of some days, which are in order; a plain range takes no list of them."""
+    days = list(days)
+    if days and days == days_between(days[0], days[-1]):
+        return date_spine(spark, days[0], days[-1], name)
+    listed = F.array(*[F.lit(day) for day in days]).cast("array<date>")
+    return spark.range(0, 1, 1, 1).select(F.explode(listed).alias(name))
+
+
 def date_spine(
     spark: SparkSession, start: dt.date, end: dt.date, name: str = "landing_date"
 ) -> DataFrame:

@@ -1,8 +1,10 @@
 """Snapshot backfills: all days in one job.
 
-The scope of every table includes the snapshot day, so each join, choice and count is
-per day without a loop. Where only counts are asked, the choice per chassis is a
-distinct or a maximum, which Spark combines before the shuffle.
+Counts over many days first turn the snapshots into spans (`operators.spans`): a row stands once
+for all days on which it is the same, so the contract chain is joined once on what changed, not
+once a day, and counts are sums of changes. Where only counts are asked, the choice per chassis
+is a distinct or a maximum, which Spark combines before the shuffle. A single day
+(`active_on_day`) is read as it is: the scope of its tables includes the snapshot day.
 """
 
 from __future__ import annotations
@@ -18,8 +20,14 @@ from placaflow.functions import calendar as K
 from placaflow.functions import expressions as X
 from placaflow.functions import predicates as P
 from placaflow.operators.dedupe import keep_first
-from placaflow.operators.joins import BRAND, DAY, scope_of
+from placaflow.operators.joins import BRAND, DAY, SPAN, scope_of
 from placaflow.operators.sets import union_by_name
+from placaflow.operators.spans import (
+    count_distinct_by_day,
+    count_latest_within,
+    first_by_day,
+    spans_of,
+)
 from placaflow.plans.base import (
     NAME_COLUMNS,
     PLATE_REFERENCE,
@@ -34,7 +42,8 @@ from placaflow.plans.base import (
     unit_lookup,
     vehicle_or_trailer,
 )
-from placaflow.plans.detail import EVENT, LATEST, latest_registration, plate_events
+from placaflow.plans.detail import EVENT, LATEST, latest_order, plate_events
+from placaflow.schemas import SOURCE_SCHEMAS
 from placaflow.session import materialise
 from placaflow.sources.lazy import LazyTables
 from placaflow.sources.manifest import found_pairs
@@ -116,21 +125,56 @@ def _reads(units: Iterable[str] | None) -> tuple[str, ...]:
     return CHAIN_TABLES if units is None else (*CHAIN_TABLES, *UNIT_TABLES)
 
 
-def snapshot_distinct_chassis(rows: DataFrame, out: str) -> DataFrame:
-    """Rows left per day after keeping one per chassis (a null chassis counts as one)."""
-    return (
-        rows.select("chassi", DAY).distinct().groupBy(DAY).agg(F.count("*").alias(out))
-    )
+#: Columns of the tables that change most which the counts read; no other change ends a span.
+COUNTED_COLUMNS = {
+    "insurance_reg_set": (
+        "id", "parent", "id_status", "id_unity", "data_registration", "date_inital_effect",
+        "date_final_effect", "date_cancellation",
+    ),
+    "insurance_reg_set_coverage": ("id", "parent", "id_vehicle", "id_trailer", "id_status"),
+}
 
 
-def snapshot_period_count(
-    rows: DataFrame, date: str, out: str, mode: str = "weekend_rollup"
-) -> DataFrame:
-    """Chassis whose latest date falls into the reporting window of their snapshot day."""
-    start, end = K.reporting_window_columns(F.col(DAY), mode)
-    latest = rows.groupBy("chassi", DAY).agg(F.max(date).alias("latest"))
-    inside = F.col("latest").between(start, end)
-    return latest.groupBy(DAY).agg(F.count_if(inside).alias(out))
+def landed_days(tables: Tables, start: dt.date, end: dt.date) -> list[dt.date]:
+    """Days between the two on which some table landed, in order (collected: one row a day)."""
+    manifest = getattr(tables, "manifest", None)
+    if manifest is not None:
+        found = manifest().select(DAY)
+    else:
+        dated = [tables[name] for name in COUNTED_TABLES if DAY in tables[name].columns]
+        found = union_by_name(df.select(DAY) for df in dated)
+    between = found.where(F.col(DAY).between(F.lit(start), F.lit(end))).distinct()
+    return sorted(row[DAY] for row in between.collect())
+
+
+def span_tables(
+    tables: Tables, start: dt.date, end: dt.date, more: Iterable[str] = ()
+) -> tuple[LazyTables, list[dt.date]]:
+    """Snapshots between two days as spans, and the days that landed.
+
+    Each dated table is written once as spans; `more` names columns of coverages that the report
+    reads besides `COUNTED_COLUMNS`. Columns that are left out are null.
+    """
+    days = landed_days(tables, start, end)
+    read = dict(COUNTED_COLUMNS)
+    read["insurance_reg_set_coverage"] = (*read["insurance_reg_set_coverage"], *more)
+
+    def opened(name: str) -> DataFrame:
+        df = tables[name]
+        if DAY not in df.columns:
+            return df
+        fields = [f for f in SOURCE_SCHEMAS[name].fields if f.name in df.columns]
+        wanted = [f.name for f in fields if f.name in read.get(name, (f.name,))]
+        brand = [c for c in (BRAND,) if c in df.columns]
+        spans = materialise(spans_of(df.select(DAY, *brand, *wanted), days), f"spans-{name}")
+        empty = {f.name: F.lit(None).cast(f.dataType) for f in fields if f.name not in wanted}
+        return spans.withColumns(empty) if empty else spans
+
+    return LazyTables({name: lambda name=name: opened(name) for name in tables}), days
+
+
+def _windows(days: list[dt.date], mode: str) -> list[tuple[dt.date, dt.date, dt.date]]:
+    return [(day, *K.reporting_window(day, mode)) for day in days]
 
 
 def backfill_active(
@@ -140,10 +184,10 @@ def backfill_active(
     brands: Iterable[C.BrandSpec] = C.BRANDS,
 ) -> DataFrame:
     """Active chassis per snapshot day."""
-    tables = _between(tables, start, end)
-    rows = _plates(_active_references(tables), tables, ["board", "chassi"])
+    spans, days = span_tables(tables, start, end)
+    rows = _plates(_active_references(spans), spans, ["board", "chassi"])
     rows = rows.where(P.identity_not_null(F.col("placa"), F.col("chassi")))
-    counts = snapshot_distinct_chassis(rows, "ativos")
+    counts = count_distinct_by_day(rows, "chassi", days, "ativos")
     return per_snapshot_day(tables, counts, "ativos", start, end, brands)
 
 
@@ -187,12 +231,12 @@ def backfill_activated(
     With `units`, only their contracts count, and they are selected before the choice
     per chassis.
     """
-    tables = _between(tables, start, end)
-    sets = contract_sets(tables, P.set_is_active(F.col("status_id")))
+    spans, days = span_tables(tables, start, end)
+    sets = contract_sets(spans, P.set_is_active(F.col("status_id")))
     if units is not None:
-        sets = _units(sets, tables, units)
-    rows = _plates(_active_references(tables, sets), tables, ["chassi"])
-    counts = snapshot_period_count(rows, "inicio_vig", "total_ativados", mode)
+        sets = _units(sets, spans, units)
+    rows = _plates(_active_references(spans, sets), spans, ["chassi"])
+    counts = count_latest_within(rows, "chassi", "inicio_vig", _windows(days, mode), "total_ativados")
     return per_snapshot_day(tables, counts, "total_ativados", start, end, brands, _reads(units))
 
 
@@ -209,18 +253,16 @@ def backfill_cancelled(
 
     Sets without a coverage share the null chassis.
     """
-    tables = _between(tables, start, end)
-    sets = contract_sets(tables, P.set_status_equals(F.col("status"), statuses))
+    spans, days = span_tables(tables, start, end)
+    sets = contract_sets(spans, P.set_status_equals(F.col("status"), statuses))
     if units is not None:
-        sets = _units(sets, tables, units)
-    rows = bridged_trailers(sets_with_coverages(sets, coverages(tables)), tables)
-    rows = _plates(_latest_per_reference(rows, "fim_vig"), tables, ["chassi"])
-    rows = rows.select("chassi", DAY, "fim_vig").unionByName(
-        uncovered_sets(sets, tables).select(
-            F.lit(None).cast("string").alias("chassi"), DAY, "fim_vig"
-        )
-    )
-    counts = snapshot_period_count(rows, "fim_vig", "total_cancelados", mode)
+        sets = _units(sets, spans, units)
+    rows = bridged_trailers(sets_with_coverages(sets, coverages(spans)), spans)
+    rows = _plates(_latest_per_reference(rows, "fim_vig"), spans, ["chassi"])
+    bare = uncovered_sets(sets, spans).withColumn("chassi", F.lit(None).cast("string"))
+    columns = ["chassi", *[c for c in SPAN if c in rows.columns], "fim_vig"]
+    rows = rows.select(*columns).unionByName(bare.select(*columns))
+    counts = count_latest_within(rows, "chassi", "fim_vig", _windows(days, mode), "total_cancelados")
     return per_snapshot_day(tables, counts, "total_cancelados", start, end, brands, _reads(units))
 
 
@@ -233,18 +275,18 @@ def backfill_cancellations(
 ) -> DataFrame:
     """Distinct cancelled chassis per snapshot day: full (any status) or partial (any
     benefit that is not active); active chassis are not excluded."""
-    tables = _between(tables, start, end)
+    spans, days = span_tables(tables, start, end, more=["updated_at"])
     events = plate_events(
-        tables, (C.FULL, C.PARTIAL), floor, statuses=None, closed_only=False, with_names=False
+        spans, (C.FULL, C.PARTIAL), floor, statuses=None, closed_only=False, with_names=False
     )
-    columns = (DAY, EVENT, BRAND, "chassi", "data_cancelamento", *[c for c, _ in LATEST])
+    columns = (EVENT, BRAND, *SPAN, "chassi", "data_cancelamento", *[c for c, _ in LATEST])
     events = materialise(events.select(*dict.fromkeys(columns)), "cancelled-events", EVENT)
-    full = latest_registration(events.where(F.col(EVENT) == C.FULL)).where(
-        P.date_floor(F.col("data_cancelamento"), floor)
-    )
+    full = events.where(F.col(EVENT) == C.FULL)
+    full = first_by_day(full, ["chassi", BRAND], latest_order(), len(days))
+    full = full.where(P.date_floor(F.col("data_cancelamento"), floor))
     partial = events.where(F.col(EVENT) == C.PARTIAL)
-    rows = full.select(DAY, "chassi").unionByName(partial.select(DAY, "chassi"))
-    counts = snapshot_distinct_chassis(rows, "cancelados")
+    rows = full.select("chassi", *SPAN).unionByName(partial.select("chassi", *SPAN))
+    counts = count_distinct_by_day(rows, "chassi", days, "cancelados")
     return per_snapshot_day(tables, counts, "cancelados", start, end, brands)
 
 

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from placaflow.functions import expressions as X
 from placaflow.functions import predicates as P
 from placaflow.operators.dedupe import keep_first
-from placaflow.operators.joins import BRAND, DAY, exclude_keys, lookup, scope_of, shared_scope
+from placaflow.operators.joins import exclude_keys, lookup, scope_of, shared_scope
 from placaflow.operators.ordering import OrderSpec
 from placaflow.operators.sets import union_by_name
 
@@ -106,7 +106,7 @@ def coverages(tables: Tables, where: Column | None = None) -> DataFrame:
 
 def sets_with_coverages(sets: DataFrame, rows: DataFrame) -> DataFrame:
     """One row per coverage of a set (a set that holds most coverages is split)."""
-    take = {c: c for c in rows.columns if c not in (DAY, BRAND, "set_id")}
+    take = {c: c for c in rows.columns if c not in (*scope_of(rows), "set_id")}
     return lookup(sets, rows, {"conjunto": "set_id"}, take, how="inner")
 
 

@@ -52,13 +52,16 @@ def run_daily(
     guard: bool = False,
     sheets: bool = False,
 ) -> dict[str, str]:
-    """Write the detail sets, the report, the history and the archive under `out`.
+    """Write the detail sets, the report, the history and the archive as one run under `out`.
 
     The reports are computed from the detail sets just written, so they agree with them.
+    History and archive carry on those of the published run. The run is published when all of
+    it is written (`sinks.published_run` finds it); its paths are returned.
     `sheets` adds the detail sets as CSV for people: no empty cells, dates as text.
     """
     window = reporting_window(run_date, mode, days)
-    paths = {name: f"{out.rstrip('/')}/{name}" for name in OUTPUTS}
+    run = sinks.new_run(out)
+    paths = {name: f"{run}/{name}" for name in OUTPUTS}
     events = stored_events(tables, floor, with_names=True)
     active = detail.active_plates(events, run_date)
     sinks.write_detail(active, paths["ativos"])
@@ -67,6 +70,7 @@ def run_daily(
     sinks.write_detail(cancelled, paths["cancelamentos"])
 
     spark = active.sparkSession
+    before = sinks.published_run(spark, out)
     active = spark.read.parquet(paths["ativos"])
     cancelled = spark.read.parquet(paths["cancelamentos"])
     of_period = detail.period_cancellations(cancelled, *window)
@@ -78,6 +82,9 @@ def run_daily(
     report = kpi.report_summary(active, cancelled, window)
     sinks.write_report(report, paths["relatorio"])
     history = kpi.daily_history(active, cancelled, window)
+    sinks.carry_on(spark, before and f"{before}/base", paths["base"], sinks.HISTORY_DAY)
+    sinks.carry_on(spark, before and f"{before}/arquivo/history", f"{paths['arquivo']}/history", "run_date")
     sinks.write_history(history, paths["base"], first_day=window[0], guard=guard)
     sinks.write_archive(spark.read.parquet(paths["relatorio"]), paths["arquivo"], window[1])
+    sinks.publish(spark, out, run)
     return paths

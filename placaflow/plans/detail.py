@@ -34,6 +34,7 @@ from placaflow.plans.base import (
     sets_with_coverages,
     vehicle_or_trailer,
 )
+from placaflow.session import materialise
 
 EVENT = "evento"
 
@@ -184,6 +185,7 @@ def _columns(
     return out
 
 
+# The columns of the detail sets, in order.
 _ACTIVE_COLUMNS = (
     DAY, "placa", "chassi", "id_placa", "id_veiculo", "id_carroceria", "matricula", "conjunto",
     "conjunto_renovado", "unidade", "consultor", ("status", "status_conjunto"), "cliente",
@@ -252,6 +254,28 @@ def _partial_columns(rows: DataFrame, run_date: dt.date) -> DataFrame:
     return rows
 
 
+def active_and_ended(
+    tables: Tables,
+    floor: dt.date = C.DATE_FLOOR,
+    statuses: Iterable[str] | None = C.PARTIAL_BENEFIT_STATUSES,
+) -> DataFrame:
+    """Every ended benefit of an active set, and one active row per plate reference.
+
+    One pass over the coverages (and one for those without an id): both kinds hang on active sets. Of active rows, which only say
+    that a plate is active, one per reference is left in every map task.
+    """
+    rules = _event_rules(floor, statuses, True)
+    (set_rule, active), (_, ended) = rules[C.ACTIVE], rules[C.PARTIAL]
+    sets = contract_sets(tables, set_rule)
+    rows = bridged_trailers(sets_with_coverages(sets, coverages(tables, active | ended)), tables)
+    kinds = [F.when(active, F.lit(C.ACTIVE)), F.when(ended, F.lit(C.PARTIAL))]
+    rows = rows.withColumn(EVENT, F.explode(F.array_compact(F.array(*kinds))))
+    own = f"if({EVENT} = '{C.PARTIAL}', struct({', '.join(c for c in rows.columns if c != EVENT)}), NULL)"
+    rows = reduce_plates(rows, [("coverage_id", "asc"), ("conjunto", "asc")], also=[EVENT, own])
+    rows = vehicle_or_trailer(rows, tables)
+    return rows.where(P.identity_not_null(F.col("placa"), F.col("chassi")))
+
+
 def partial_cancellations(
     tables: Tables,
     run_date: dt.date,
@@ -262,14 +286,16 @@ def partial_cancellations(
 ) -> DataFrame:
     """Every ended benefit of an active set, unless its chassis is still active anywhere.
 
-    Active chassis are left out before names are looked up.
+    Active and ended rows come from one pass, written once; active chassis are left out by an
+    anti-join, which Spark can split where one chassis has most rows, before names are looked up.
     """
-    set_rule, coverage_rule = _event_rules(floor, statuses, True)[C.PARTIAL]
-    rows = contract_base(tables, set_where=set_rule, coverage_where=coverage_rule)
     if exclude_active:
-        active = active_chassis(plate_events(tables, [C.ACTIVE], with_names=False))
-        rows = rows.withColumn("chassi", F.upper("chassi"))
-        rows = exclude_keys(rows, active, ["chassi", *days_of(rows)])
+        both = materialise(active_and_ended(tables, floor, statuses), "active-and-ended", EVENT)
+        rows = _event(both, C.PARTIAL).drop(EVENT).withColumn("chassi", F.upper("chassi"))
+        rows = exclude_keys(rows, active_chassis(both), ["chassi", *days_of(rows)])
+    else:
+        set_rule, coverage_rule = _event_rules(floor, statuses, True)[C.PARTIAL]
+        rows = contract_base(tables, set_where=set_rule, coverage_where=coverage_rule)
     if with_names:
         rows = names(rows, tables, benefit=True)
     return X.upper_all_strings(_partial_columns(rows, run_date).distinct())

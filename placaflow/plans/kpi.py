@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as RunningOrder
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -73,23 +74,21 @@ def first_start_per_chassis(active: DataFrame, column: str = "inicio_vig") -> Da
 def active_as_of(
     active: DataFrame, days: Iterable[dt.date], column: str = "inicio_vig"
 ) -> DataFrame:
-    """Distinct chassis active as of each day: one pass, one counter per day."""
-    days = list(days)
-    counts = first_start_per_chassis(active, column).agg(
-        *count_where({f"d{n}": P.as_of_mask(F.col("inicio"), day) for n, day in enumerate(days)})
-    )
-    return _unpivot(counts, days, "qtd_ativos")
-
+    """Distinct chassis active as of each day: how many began on a day, summed up to each day.
 
-def _unpivot(counts: DataFrame, days: list[dt.date], name: str) -> DataFrame:
-    """One row of counters d0, d1, ... to one row per day."""
-    pairs = F.array(
-        *[
-            F.struct(F.lit(day).alias("data"), F.col(f"d{n}").alias(name))
-            for n, day in enumerate(days)
-        ]
+    The plan is the same for one day and for many. Chassis are counted by their first day before
+    anything is summed, so the running sum has at most a row for each day of the calendar.
+    """
+    days = sorted(set(days))
+    began = first_start_per_chassis(active, column).where("inicio IS NOT NULL")
+    began = began.groupBy(F.col("inicio").cast("date").alias("data")).agg(F.count("*").alias("n"))
+    asked = K.days_of(active.sparkSession, days, "data")
+    both = asked.withColumn("n", F.lit(0)).withColumn("asked", F.lit(True)).unionByName(
+        began.withColumn("asked", F.lit(False))
     )
-    return counts.select(F.inline(pairs))
+    upto = RunningOrder.orderBy("data").rangeBetween(RunningOrder.unboundedPreceding, RunningOrder.currentRow)
+    totals = both.withColumn("qtd_ativos", F.sum("n").over(upto)).where("asked")
+    return totals.select("data", F.col("qtd_ativos").cast("long").alias("qtd_ativos"))
 
 
 def per_day_counts(active: DataFrame, cancellations: DataFrame, window: Window) -> DataFrame:

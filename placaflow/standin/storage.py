@@ -237,6 +237,7 @@ def run_daily(s: Source) -> DataFrame:
     """The daily job with all its sinks: rows that each of them holds afterwards."""
     out = _folder(s, "dia")
     daily.run_daily(s.tables, s.invoices, RUN_DATE, out, FLOOR, sheets=True)
+    out = sinks.published_run(s.spark, out)
     details = ("ativos", "cancelamentos", "cancelamentos_periodo")
     written = {name: s.spark.read.parquet(f"{out}/{name}") for name in (*details, "relatorio", "base")}
     written["arquivo/latest"] = s.spark.read.parquet(f"{out}/arquivo/latest")

@@ -109,3 +109,29 @@ def test_backfill_prunes_days_at_the_scan(spark, tmp_path):
     whole = backfill.backfill_active(tables, S.SNAPSHOT_START, S.SNAPSHOT_END)
     derived = backfill.backfill_active(S.snapshot_tables(spark, DATA), S.SNAPSHOT_START, S.SNAPSHOT_END)
     assert sorted(whole.collect()) == sorted(derived.collect())
+
+
+def test_partial_cancellations_read_the_coverages_once(spark, landed):
+    rows = detail.active_and_ended(scan.load_tables(spark, landed))
+    rows.collect()
+    final = plan_of(rows).split("Initial Plan")[0]  # shuffles that are used again are told once
+    scans = [line for line in final.splitlines() if re.search(r"FileScan parquet \[[^\]]*id_vehicle#", line)]
+    # one scan of each brand, and one that looks for coverages without an id, which have no bridge
+    assert "ReusedExchange" in final and len(scans) == 2 * len(C.BRANDS)
+
+
+def test_running_totals_have_plans_of_one_size(spark):
+    import datetime as dt
+
+    from placaflow.plans import kpi
+
+    rows = [("a", dt.date(2024, 1, 5)), ("a", dt.date(2024, 3, 1)), ("b", dt.date(2025, 1, 1)), ("c", None), (None, dt.date(2024, 2, 1))]
+    active = spark.createDataFrame(rows, "chassi string, inicio_vig date")
+    days = [dt.date(2024, 1, 1) + dt.timedelta(days=n) for n in range(400)]
+    found = kpi.active_as_of(active, days)
+    assert len(plan_of(found)) < 1.2 * len(plan_of(kpi.active_as_of(active, days[:2])))
+    first = {"a": days[4], "b": days[366], None: days[31]}
+    counts = [(d, sum(start <= d for start in first.values())) for d in days]
+    assert sorted(map(tuple, found.collect())) == counts
+    some = [days[50], days[3], days[399]]
+    assert sorted(map(tuple, kpi.active_as_of(active, some).collect())) == [c for c in counts if c[0] in some]
