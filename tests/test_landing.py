@@ -115,19 +115,32 @@ def two_days(spark, tmp_path_factory):
     return root, days
 
 
-@pytest.mark.parametrize(
-    "name", ["insurance_status", "insurance_vehicle", "insurance_trailer", "insurance_reg_set_cov_trailer", "insurance_reg_set"]
-)
+def flags(spark, root, days, brands=C.BRANDS, reads=backfill.CHAIN_TABLES):
+    """(complete, missing tables) of each day, as every backfill adds them to its counts."""
+    counts = spark.createDataFrame([], "landing_date date, n long")
+    tables = scan.load_snapshots(spark, root, *days, brands)
+    rows = backfill.per_snapshot_day(tables, counts, "n", *days, brands, reads)
+    return [(r.has_snapshot, r.missing_tables) for r in rows.orderBy("data").collect()]
+
+
+@pytest.mark.parametrize("name", backfill.CHAIN_TABLES)
 def test_a_day_without_any_table_of_the_report_is_not_complete(spark, two_days, tmp_path, name):
     root = str(tmp_path / "copy")
     shutil.copytree(two_days[0], root)
     days = two_days[1]
     shutil.rmtree(f"{scan.resolve(root, TAG, name)}/landing_date={days[1]}")
-    rows = backfill.backfill_active(scan.load_snapshots(spark, root, *days), *days)
-    assert [(r.has_snapshot, r.missing_tables) for r in rows.orderBy("data").collect()] == [(True, 0), (False, 1)]
-    # other brands are complete
-    rows = backfill.backfill_active(scan.load_snapshots(spark, root, *days, C.BRANDS[:3]), *days, C.BRANDS[:3])
-    assert [r.has_snapshot for r in rows.collect()] == [True, True]
+    assert flags(spark, root, days) == [(True, 0), (False, 1)]
+    assert flags(spark, root, days, C.BRANDS[:3]) == [(True, 0), (True, 0)]  # other brands are complete
+
+
+def test_a_report_without_statuses_is_zero_and_marked(spark, two_days, tmp_path):
+    root = str(tmp_path / "copy")
+    shutil.copytree(two_days[0], root)
+    days = two_days[1]
+    for brand in C.BRANDS:
+        shutil.rmtree(f"{scan.resolve(root, brand, 'insurance_status')}/landing_date={days[1]}")
+    rows = backfill.backfill_active(scan.load_snapshots(spark, root, *days), *days).orderBy("data").collect()
+    assert [(r.ativos > 0, r.has_snapshot, r.missing_tables) for r in rows] == [(True, True, 0), (False, False, 4)]
 
 
 def test_only_tables_of_the_report_count(spark, two_days, tmp_path):
@@ -136,10 +149,9 @@ def test_only_tables_of_the_report_count(spark, two_days, tmp_path):
     days = two_days[1]
     for brand in C.BRANDS[:2]:
         shutil.rmtree(f"{scan.resolve(root, brand, 'representante')}/landing_date={days[0]}")
-    tables = scan.load_snapshots(spark, root, *days)
-    assert {r.missing_tables for r in backfill.backfill_cancelled(tables, *days).collect()} == {0}
-    by_unit = backfill.backfill_cancelled(tables, *days, units=["x"]).orderBy("data").collect()
-    assert [(r.has_snapshot, r.missing_tables) for r in by_unit] == [(False, 2), (True, 0)]
+    assert flags(spark, root, days) == [(True, 0), (True, 0)]
+    by_unit = (*backfill.CHAIN_TABLES, *backfill.UNIT_TABLES)
+    assert flags(spark, root, days, reads=by_unit) == [(False, 2), (True, 0)]
 
 
 def test_the_flag_scans_no_table(spark, two_days):

@@ -32,6 +32,8 @@ def seen(spark, out):
 def test_a_failing_run_leaves_the_one_before(inputs, spark, tmp_path, monkeypatch):
     tables, bills = inputs
     out = str(tmp_path / "out")
+    events = daily.stored_events(tables, with_names=True)
+    monkeypatch.setattr(daily, "stored_events", lambda *args, **options: events)
     assert sinks.published_run(spark, out) is None
     daily.run_daily(tables, bills, MONDAY, out)
     first = seen(spark, out)
@@ -52,9 +54,11 @@ def test_a_failing_run_leaves_the_one_before(inputs, spark, tmp_path, monkeypatc
     assert seen(spark, out) == first
 
 
-def test_runs_carry_on_history_and_archive(inputs, spark, tmp_path):
+def test_runs_carry_on_history_and_archive(inputs, spark, tmp_path, monkeypatch):
     tables, bills = inputs
     out = str(tmp_path / "out")
+    events = daily.stored_events(tables, with_names=True)
+    monkeypatch.setattr(daily, "stored_events", lambda *args, **options: events)
     first = daily.run_daily(tables, bills, MONDAY, out, guard=True)
     second = daily.run_daily(tables, bills, TUESDAY, out, guard=True)
     days = lambda paths: [r.data.day for r in spark.read.parquet(paths["base"]).orderBy("data").collect()]
