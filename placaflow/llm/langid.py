@@ -163,6 +163,10 @@ def train(texts: Sequence[str], langs: Sequence[str], seed: int = SEED) -> Model
     return model
 
 
+class NothingLabelled(ValueError):
+    """There is no labelled text to learn from."""
+
+
 def train_on(df: DataFrame, text: str, lang: str, key: Column, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
     """Train on a sample of the rows whose text has letters and whose label is not null.
 
@@ -177,7 +181,7 @@ def train_on(df: DataFrame, text: str, lang: str, key: Column, per_language: int
     # Half as many again as needed on average: hashes are uniform, the limit below is exact.
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
-        raise ValueError("no labelled text to learn from")
+        raise NothingLabelled("no labelled text to learn from")
     near = F.lit(False)
     for name, n in counts.items():
         share = min(1.0, 1.5 * per_language / n + 50 / n)
@@ -202,14 +206,25 @@ def train_on(df: DataFrame, text: str, lang: str, key: Column, per_language: int
     return Model.load(bytes(sample.repartition(1).mapInArrow(fit, "model binary").first()["model"]))
 
 
-def identify(df: DataFrame, text: str, model: Model) -> DataFrame:
+def train_if_labelled(df: DataFrame, text: str, lang: str, key: Column) -> Model | None:
+    """As `train_on`; None where there is no labelled row, as in an empty table."""
+    try:
+        return train_on(df, text, lang, key)
+    except NothingLabelled:
+        return None
+
+
+def identify(df: DataFrame, text: str, model: Model | None) -> DataFrame:
     """Adds `lang_pred`, `score` (its calibrated probability) and `rejected`.
 
     Whole texts are read, nothing else. Null texts and texts without a letter are `und`, 0, true;
     a text whose confidence or share of known n-grams is below the calibrated limits is rejected
-    too, but keeps its label. Input columns of these names get the suffix `_in`.
+    too, but keeps its label. Without a model every text is `und`. Repeated rows stay, an empty
+    table gives none. Input columns of these names get the suffix `_in`.
     """
     df = keep_clear(in_small_batches(df), ["lang_pred", "score", "rejected"])
+    if model is None:
+        return df.select("*", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected"))
     saved = model.save()
     schema = df.selectExpr("*", "'' AS lang_pred", "0D AS score", "true AS rejected").schema
 

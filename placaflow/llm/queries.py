@@ -107,7 +107,7 @@ def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(remainder("doc_id", 4) == 2, F.lit(False))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", held_out.alias("held_out"))
-    model = langid.train_on(docs.where("NOT held_out"), "text", "lang", F.col("doc_id"))
+    model = langid.train_if_labelled(docs.where("NOT held_out"), "text", "lang", F.col("doc_id"))
     found = langid.identify(docs.select("doc_id", "held_out", "text"), "text", model)
     return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
 
