@@ -21,25 +21,39 @@ SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language the classifier does not reject; it learns from the labelled part."""
+    """Documents whose language the classifier does not reject; it learns from the labelled part.
+
+    Null and empty texts and those without a letter go; repeated rows stay; without any labelled
+    text nothing can be told, and all go. Other columns than those of documents are left out.
+    """
     learn = docs.where(F.coalesce(remainder("doc_id", 4) != 2, F.lit(True)))
-    model = langid.train_on(learn, "text", "lang", F.col("doc_id"))
+    model = langid.train_if_labelled(learn, "text", "lang", F.col("doc_id"))
     return langid.identify(docs.select(*COLUMNS), "text", model).where("NOT rejected").select(*COLUMNS)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, with the smallest id, of each group of near copies."""
+    """One document, with the smallest id, of each group of near copies.
+
+    Of equal rows one stays, of null and empty texts too. An empty table gives none.
+    """
     return jaccard.one_of_each(docs.select(*COLUMNS), "doc_id", "text", SHINGLE_WORDS, SIMILAR_PERCENT)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of the sources takes them, in the order of the shuffled shards."""
+    """Documents as often as the mix of the sources takes them, in the order of the shuffled shards.
+
+    A null source is a source; texts without words, null and empty ones too, are not taken.
+    Repeated rows are taken one by one. An empty table gives none.
+    """
     plan = mixing.mix_plan(docs.select(*COLUMNS), "doc_id", "source", words(F.col("text")))
     return mixing.mix(plan).select(*COLUMNS, *PLACE)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte-level BPE ids of every row of the mix, and whether they decode to its text."""
+    """Byte-level BPE ids of every row of the mix, and whether they decode to its text.
+
+    A null text counts as an empty one, which has no ids. An empty table gives no rows.
+    """
     path, pattern = vocabularies.path(RANKS), vocabularies.PATTERN
     digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
     own = ["doc_id", "source", *(c for c in PLACE if c in docs.columns)]
