@@ -26,8 +26,14 @@ _BITS = 62
 
 
 def spans_of(df: DataFrame, days: Sequence[dt.date]) -> DataFrame:
-    """Snapshot rows of the landed `days` as spans; equal rows of one day count once."""
+    """Snapshot rows of the landed `days` as spans; equal rows of several days become one.
+
+    Rows of a single day are taken as they are, without a shuffle.
+    """
     columns = [c for c in df.columns if c != DAY]
+    if len(days) == 1:
+        ends = {FIRST: F.lit(0), LAST: F.lit(OPEN)}
+        return df.where(F.col(DAY) == F.lit(days[0])).select(*columns).withColumns(ends)
     number = (F.array_position(F.array(*[F.lit(d) for d in days]), F.col(DAY)) - 1).cast("int")
     numbered = df.where(F.col(DAY).isin(list(days))).select(*columns, number.alias(_NUMBER)) if days else None
     if numbered is None:

@@ -152,7 +152,7 @@ def span_tables(
 ) -> tuple[LazyTables, list[dt.date]]:
     """Snapshots between two days as spans, and the days that landed.
 
-    Each dated table is written once as spans; `more` names columns of coverages that the report
+    Each dated table is written once as spans (a single day is read as it is); `more` names columns of coverages that the report
     reads besides `COUNTED_COLUMNS`. Columns that are left out are null.
     """
     days = landed_days(tables, start, end)
@@ -166,7 +166,9 @@ def span_tables(
         fields = [f for f in SOURCE_SCHEMAS[name].fields if f.name in df.columns]
         wanted = [f.name for f in fields if f.name in read.get(name, (f.name,))]
         brand = [c for c in (BRAND,) if c in df.columns]
-        spans = materialise(spans_of(df.select(DAY, *brand, *wanted), days), f"spans-{name}")
+        spans = spans_of(df.select(DAY, *brand, *wanted), days)
+        if len(days) > 1:
+            spans = materialise(spans, f"spans-{name}")
         empty = {f.name: F.lit(None).cast(f.dataType) for f in fields if f.name not in wanted}
         return spans.withColumns(empty) if empty else spans
 
