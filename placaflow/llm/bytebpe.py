@@ -23,7 +23,7 @@ from placaflow.llm.chunks import ChunkEncoder
 from placaflow.llm.common import give_back, in_small_batches, keep_clear
 
 #: Chunks whose ids a worker keeps.
-CACHE_CHUNKS = 250_000
+CACHE_BYTES = 20 << 20
 #: Pre-tokens encoded in one call, and the letter between them, which no piece has.
 ROW, BETWEEN = 256, "\ufffc"
 #: Bytes become the letters from here on, none of which has a meaning in sentencepiece.
@@ -84,7 +84,7 @@ class ByteBpe:
     def __init__(self, proto: bytes, pattern: str) -> None:
         self.model = sentencepiece.SentencePieceProcessor(model_proto=proto)
         self.pattern = regex.compile(pattern)
-        self.encode = ChunkEncoder(self._encode, CACHE_CHUNKS)
+        self.encode = ChunkEncoder(self._encode, CACHE_BYTES)
         size = self.model.get_piece_size() - 1
         self.bytes = inverse([self.model.id_to_piece(i) for i in range(size)])
 

@@ -2,7 +2,7 @@
 
 The split patterns of byte-level BPE begin a new pre-token at every single space between two
 characters that are no white space, so the chunks between such places can be encoded one by
-one. Equal chunks are encoded once per worker and kept in a bounded cache.
+one, or many together. Equal chunks are encoded once per worker and kept in a bounded cache.
 """
 
 from __future__ import annotations
@@ -13,10 +13,11 @@ from collections.abc import Callable, Iterable, Sequence
 
 import numpy as np
 
-#: Chunks kept per worker process; the cache starts anew beyond it.
-CACHE_CHUNKS = 800_000
-#: Marks of chunks met before, and texts encoded together.
-MET, GROUP = 1 << 23, 256
+#: Bytes of one of the two generations of chunks that a worker process keeps, and those of an entry
+#: beside its chunk and ids.
+KEPT_BYTES, ENTRY_BYTES = 48 << 20, 150
+#: Texts encoded together, and chunks put together into one string for the library.
+GROUP, ROW = 256, 256
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 
 
@@ -38,46 +39,92 @@ def chunks(text: str) -> list[str]:
     return [first, *[" " + w for w in rest]]
 
 
+class Generations:
+    """Ids of chunks in two generations, so that what is not met again goes and nothing else does.
+
+    When the young one is full it becomes the old one, whose chunks are taken over when met.
+    """
+
+    def __init__(self, kept: int) -> None:
+        self.kept, self.bytes = kept, 0
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def put(self, chunk: str, ids: bytes) -> None:
+        self.young[chunk] = ids
+        self.bytes += len(chunk) + len(ids) + ENTRY_BYTES
+
+    def missing(self, chunks: Iterable[str]) -> list[str]:
+        """Take over those of the chunks, none of them young, that are old; the rest."""
+        left = []
+        for chunk in chunks:
+            ids = self.old.pop(chunk, None)
+            if ids is None:
+                left.append(chunk)
+            else:
+                self.put(chunk, ids)
+        return left
+
+    def age(self) -> None:
+        if self.bytes > self.kept:
+            self.old, self.young, self.bytes = self.young, {}, 0
+
+
 class ChunkEncoder:
     """Encodes texts through a function that encodes a list of strings.
 
-    Ids of a chunk are kept from the second time on that it is new in a group of texts, so that
-    the many chunks that occur once do not fill the memory. Texts that hold one of the `marks`
-    (a tokenizer's added tokens, at which it cuts a text first) are encoded whole.
+    Texts that hold one of the `marks` (a tokenizer's added tokens, at which it cuts a text first)
+    are encoded whole. `leads` says of each id whether its token begins with a space. Where it is
+    given, and no mark holds a space, new chunks without white space are encoded many in a row, each
+    after a space, and the ids are cut before the tokens that begin with one.
     """
 
     def __init__(
-        self, encode: Callable[[list[str]], Iterable[Sequence[int]]], kept: int = CACHE_CHUNKS, marks: Sequence[str] = ()
+        self,
+        encode: Callable[[list[str]], Iterable[Sequence[int]]],
+        kept: int = KEPT_BYTES,
+        marks: Sequence[str] = (),
+        leads: np.ndarray | None = None,
     ) -> None:
-        self.encode, self.kept, self.marks = encode, kept, marks
-        #: Ids of chunks with their leading space left out, and of chunks as they are.
-        self.spaced: dict[str, bytes] = {}
-        self.whole: dict[str, bytes] = {}
-        self.met = bytearray(MET)
-
-    def _learn(self, known: dict[str, bytes], new: list[str], lead: str) -> list[str]:
-        """Put the ids of new chunks among the known ones; those that are not to stay."""
-        once = []
+        self.encode, self.marks = encode, marks
+        self.leads = None if any(" " in mark for mark in marks) else leads
+        #: Chunks with their leading space left out, and chunks as they are.
+        self.spaced, self.whole = Generations(kept), Generations(kept)
+
+    def _one_by_one(self, known: Generations, new: list[str], lead: str) -> None:
         for chunk, ids in zip(new, self.encode([lead + c for c in new]) if new else ()):
-            known[chunk] = array("I", ids).tobytes()
-            mark = hash(chunk) % MET
-            if not self.met[mark]:
-                self.met[mark] = 1
-                once.append(chunk)
-        return once
+            known.put(chunk, array("I", ids).tobytes())
+
+    def _learn_spaced(self, new: list[str]) -> None:
+        """Ids of new chunks that follow a space."""
+        if self.leads is None:
+            return self._one_by_one(self.spaced, new, " ")
+        own = [c for c in new if "\n" in c]  # the only white space that plain texts have inside a chunk
+        new = [c for c in new if "\n" not in c] if own else new
+        rows = [new[at : at + ROW] for at in range(0, len(new), ROW)]
+        for row, ids in zip(rows, self.encode([" " + " ".join(r) for r in rows]) if rows else ()):
+            both = np.array(ids, dtype=np.uint32)
+            cuts = np.flatnonzero(self.leads[both])
+            if len(cuts) != len(row):
+                own += row
+                continue
+            data, places = both.tobytes(), [*(4 * cuts).tolist(), 4 * len(both)]
+            for chunk, start, end in zip(row, places, places[1:]):
+                self.spaced.put(chunk, data[start:end])
+        self._one_by_one(self.spaced, own, " ")
 
     def __call__(self, texts: Sequence[str]) -> list[np.ndarray]:
         """Ids of each text, as unsigned 32-bit integers."""
         return [ids for at in range(0, len(texts), GROUP) for ids in self._group(texts[at : at + GROUP])]
 
     def _group(self, texts: Sequence[str]) -> list[np.ndarray]:
-        if len(self.spaced) + len(self.whole) > self.kept:
-            self.spaced.clear()
-            self.whole.clear()
+        self.spaced.age()
+        self.whole.age()
         out: list[bytes | None] = []
         open_texts: list[tuple[int, list[str], list[str]]] = []
         new_whole: set[str] = set()
         new_spaced: set[str] = set()
+        young_whole, young_spaced = self.whole.young, self.spaced.young
         for text in texts:
             if any(mark in text for mark in self.marks):
                 (ids,) = self.encode([text])
@@ -89,18 +136,16 @@ class ChunkEncoder:
             else:
                 whole, rest = (_CUT.split(text), []) if text else ([], [])
             # A text is its whole chunks, then its chunks after a space.
-            found = [*map(self.whole.get, whole), *map(self.spaced.get, rest)]
+            found = [*map(young_whole.get, whole), *map(young_spaced.get, rest)]
             if None in found:
-                new_whole.update(c for c in whole if c not in self.whole)
+                new_whole.update(c for c, ids in zip(whole, found) if ids is None)
                 new_spaced.update(c for c, ids in zip(rest, found[len(whole) :]) if ids is None)
                 open_texts.append((len(out), whole, rest))
                 out.append(None)
             else:
                 out.append(b"".join(found))
-        passing = (self._learn(self.whole, list(new_whole), ""), self._learn(self.spaced, list(new_spaced), " "))
+        self._one_by_one(self.whole, self.whole.missing(new_whole), "")
+        self._learn_spaced(self.spaced.missing(new_spaced))
         for at, whole, rest in open_texts:
-            out[at] = b"".join([*map(self.whole.__getitem__, whole), *map(self.spaced.__getitem__, rest)])
-        for known, once in zip((self.whole, self.spaced), passing):
-            for chunk in once:
-                del known[chunk]
+            out[at] = b"".join([*map(young_whole.__getitem__, whole), *map(young_spaced.__getitem__, rest)])
         return [np.frombuffer(ids, dtype=np.uint32) for ids in out]

@@ -39,6 +39,8 @@ FILE_IDS = 4 << 20
 RUN_BLOCKS = 4
 #: The id that ends every document.
 END = 0
+#: Fixed value: the sign for a space in the vocabulary of byte-level tokenizers.
+BYTE_LEVEL_SPACE = "\u0120"
 
 
 @lru_cache(maxsize=2)
@@ -52,10 +54,23 @@ def tokenizer(definition: str) -> ChunkEncoder:
     own = Tokenizer.from_str(definition)
     marks = [t.content for t in own.get_added_tokens_decoder().values()]
     return ChunkEncoder(
-        lambda texts: [e.ids for e in own.encode_batch_fast(texts, add_special_tokens=False)], marks=marks
+        lambda texts: [e.ids for e in own.encode_batch_fast(texts, add_special_tokens=False)],
+        marks=marks,
+        leads=_space_led(json.loads(definition)),
     )
 
 
+def _space_led(definition: dict) -> np.ndarray | None:
+    """Which ids are tokens that begin with a space; none unless tokens are the bytes of the text."""
+    before = definition.get("pre_tokenizer") or {}
+    if definition.get("normalizer") or before.get("type") != "ByteLevel" or before.get("add_prefix_space"):
+        return None
+    vocabulary = definition["model"]["vocab"]
+    leads = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+    leads[[i for token, i in vocabulary.items() if token.startswith(BYTE_LEVEL_SPACE)]] = True
+    return leads
+
+
 def pack(keys: list[int | None], docs: list[np.ndarray], symbols: int) -> bytes:
     """The bytes of one file."""
     counts = np.zeros(symbols, dtype=np.int64)

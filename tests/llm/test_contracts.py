@@ -68,7 +68,6 @@ def test_token_files_give_the_tokenizers_ids(spark, docs):
     from tokenizers import Tokenizer
 
     own = Tokenizer.from_file(vocabularies.path(queries.TOKENIZER))
-    own.encode_special_tokens = True
     ids = [own.encode(t, add_special_tokens=False).ids + [0] for t in docs.text]
     rows = run(spark, "op6_token_files").sort_values("doc_id")
     lengths = np.array([len(x) for x in ids])
