@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame
 from placaflow.llm.chunks import ChunkEncoder
 from placaflow.llm.common import give_back, in_small_batches, keep_clear
 
-#: Chunks whose ids a worker keeps.
-CACHE_BYTES = 20 << 20
+#: Bytes of a generation of the chunks whose ids a worker keeps.
+CACHE_BYTES = 48 << 20
 #: Pre-tokens encoded in one call, and the letter between them, which no piece has.
 ROW, BETWEEN = 256, "\ufffc"
 #: Bytes become the letters from here on, none of which has a meaning in sentencepiece.

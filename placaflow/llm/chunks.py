@@ -15,7 +15,7 @@ import numpy as np
 
 #: Bytes of one of the two generations of chunks that a worker process keeps, and those of an entry
 #: beside its chunk and ids.
-KEPT_BYTES, ENTRY_BYTES = 48 << 20, 150
+KEPT_BYTES, ENTRY_BYTES = 112 << 20, 150
 #: Texts encoded together, and chunks put together into one string for the library.
 GROUP, ROW = 256, 256
 _CUT = re.compile(r"(?<=\S)(?= \S)")

@@ -21,8 +21,6 @@ BLOCKS_PER_SHARD = 64
 MOST = 3
 #: Rows of one stretch of a source's order; a source has as many stretches as it needs.
 STRETCH_ROWS = 20_000
-#: Times that documents which still fit are taken past one that is too long.
-FILL_ROUNDS = 8
 OWN = ["source_size", "target", "size", "copies", "placements"]
 _MIX = ["_salt", "_rows", "_stretch", "_before"]
 
@@ -142,19 +140,20 @@ def _block_shards(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
     return permuted.join(places, ["rank", "place"]).select("rank", "block", "shard")
 
 
-def _filled(narrow: DataFrame, gaps: DataFrame, sources: int, rounds: int) -> tuple[DataFrame, DataFrame]:
+def _filled(narrow: DataFrame, gaps: DataFrame, sources: int) -> tuple[DataFrame, DataFrame]:
     """What is taken past the first document too long for a source's gap, and the gaps left then.
 
     Rows (rank, end, at), `at` being where the document's middle lies in its source's last round,
     and rows (rank, need, gap). Each round takes, in the seeded order, the documents no longer
-    than the gap until one does not fit what is left of it.
+    than the gap until one does not fit what is left of it; rounds go on while any document fits,
+    which in the end takes every document, in order, that fits what is left when its turn comes.
     """
     gaps = durable(gaps.select("rank", "need", (F.col("need") - F.col("full")).alias("gap")))
     taken = narrow.where("false").select("rank", "end", F.col("need").alias("at"))
     rest = narrow.where("end > need AND size > 0").select("rank", "stretch", "size", "end")
     inside = Window.partitionBy("rank", "stretch").orderBy("end").rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy("rank").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
-    for _ in range(rounds):
+    while True:
         fit = rest.join(small(gaps, sources, 40), "rank").where("size <= gap")
         summed = durable(fit.withColumn("upto", F.sum("size").over(inside)))
         sums = summed.groupBy("rank", "stretch").agg(F.max("upto").alias("words"))
@@ -186,15 +185,13 @@ def mix_plan(
     shards: int = SHARDS,
     blocks_per_shard: int = BLOCKS_PER_SHARD,
     seed: int = SEED,
-    fill_rounds: int = FILL_ROUNDS,
 ) -> DataFrame:
     """Every row with its source's size and target and the places its copies take in the mix.
 
     Adds `size`, `source_size`, `target` and `placements`: an array of (copy, shard), empty for
     a row that the mix leaves out, `MOST` entries at most. A source is taken whole as often as
     its target allows; the rest of the target is filled in a seeded order up to the first
-    document too long for it, then `fill_rounds` times with the documents that still fit, and
-    the gap that is left goes to the document nearest in size.
+    document too long for it, then with every later document that still fits, and the gap that is left goes to the document nearest in size.
     Input columns of the added names get the suffix `_in`. Null sources are a source of their
     own, the last; rows with no words are never taken; rows that repeat a key are rows in their
     own right. An empty frame gives an empty frame. Reruns agree: order depends on the keys.
@@ -237,7 +234,7 @@ def mix_plan(
     narrow = placed.select("rank", "stretch", "size", "end", need.alias("need"))
     full = F.max(F.when((F.col("end") <= F.col("need")) & (F.col("size") > 0), F.col("end")))
     gaps = narrow.groupBy("rank", "need").agg(F.coalesce(full, F.lit(0)).alias("full"))
-    taken, gaps = _filled(narrow, gaps, known["n"], fill_rounds)
+    taken, gaps = _filled(narrow, gaps, known["n"])
     n_taken = taken.count()
     off = F.abs(F.col("size") - F.col("gap"))
     fillers = (

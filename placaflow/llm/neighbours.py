@@ -122,7 +122,8 @@ def search(
         rows.where(F.size("v") == top["d"]).groupBy("id").agg(F.min("v").alias("v"), F.max("query").alias("query"))
     )
     size = single.agg(F.count(F.lit(1)).alias("n"), F.count_if("query").alias("q")).first()
-    sampled = single.orderBy(F.xxhash64(F.lit(SEED), "id"), "id").limit(PIVOT_SAMPLE).select("v").collect()
+    # Written first: cut to the sample inside Spark, so that the driver does not get one from each task.
+    sampled = durable(single.orderBy(F.xxhash64(F.lit(SEED), "id"), "id").limit(PIVOT_SAMPLE)).select("v").collect()
     distinct = list(dict.fromkeys(tuple(r["v"]) for r in sampled))[:PIVOTS]
     pivots = units(scaled(np.array(distinct, dtype=np.float64)))
     vector_blocks = max(1, -(-size["n"] // vector_block))

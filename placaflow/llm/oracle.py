@@ -19,7 +19,7 @@ FROM bodies LEFT JOIN last ON bodies.n >= 1000 AND bodies.body = last.body
 """
 
 OP3 = f"""
-WITH sized AS (
+WITH RECURSIVE sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{WORDS}')), 0) AS size,
     md5('{mixing.SEED}' || coalesce('|' || doc_id, '')) AS perm
   FROM documents
@@ -48,15 +48,28 @@ WITH sized AS (
   SELECT *, need - coalesce(max(CASE WHEN upto <= need AND size > 0 THEN upto END)
     OVER (PARTITION BY source), 0) AS gap
   FROM needed
+), later AS (SELECT source, size, upto FROM gaps WHERE upto > need AND size > 0
+), fitted AS (
+  SELECT DISTINCT source, gap AS rest, CAST(need AS DOUBLE) AS upto FROM gaps
+  UNION ALL
+  SELECT f.source, f.rest - arg_min(later.size, later.upto), CAST(min(later.upto) AS DOUBLE)
+  FROM fitted AS f JOIN later ON f.source IS NOT DISTINCT FROM later.source
+    AND later.upto > f.upto AND later.size <= f.rest
+  GROUP BY f.source, f.rest, f.upto
+), rests AS (SELECT source, min(rest) AS rest FROM fitted GROUP BY source
+), closed AS (
+  SELECT gaps.*, fitted.upto IS NOT NULL AND gaps.upto > need AS fits, rests.rest
+  FROM gaps JOIN rests ON gaps.source IS NOT DISTINCT FROM rests.source
+  LEFT JOIN fitted ON gaps.source IS NOT DISTINCT FROM fitted.source AND gaps.upto = fitted.upto AND gaps.size > 0
 ), fillers AS (
-  SELECT *, CASE WHEN upto > need AND size > 0 AND abs(size - gap) < gap THEN
-    row_number() OVER (PARTITION BY source, upto > need AND size > 0 AND abs(size - gap) < gap
-      ORDER BY abs(size - gap), upto) END AS place
-  FROM gaps
+  SELECT *, CASE WHEN upto > need AND NOT fits AND size > 0 AND abs(size - rest) < rest THEN
+    row_number() OVER (PARTITION BY source, upto > need AND NOT fits AND size > 0 AND abs(size - rest) < rest
+      ORDER BY abs(size - rest), upto) END AS place
+  FROM closed
 )
 SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
   CAST(CASE WHEN size = 0 THEN 0 ELSE size * (rounds
-    + CASE WHEN upto <= need OR place = 1 THEN 1 ELSE 0 END) END AS BIGINT) AS taken
+    + CASE WHEN upto <= need OR fits OR place = 1 THEN 1 ELSE 0 END) END AS BIGINT) AS taken
 FROM fillers
 """
 

@@ -138,6 +138,10 @@ def write_warc(df: DataFrame, key: str, uri: str, payload: str, folder: str | No
     return durable(rows.mapInArrow(write, "path string, bytes long, records long"))
 
 
+class Damaged(ValueError):
+    """An archive whose members do not follow one another up to its end."""
+
+
 class _Window:
     """Bytes of a file from a start on, read on demand."""
 
@@ -206,17 +210,28 @@ def read_range(path: str, start: int, end: int, size: int) -> Iterator[tuple]:
     """The records whose gzip members start in [start, end).
 
     The first candidate of a range may lie inside another member (an archive stored in an
-    archive); it counts only if another member or the end of the file follows it.
+    archive); it counts only if another member or the end of the file follows it. After it, each
+    member must begin where the one before it ends, and the one after a range's last must be whole
+    too, so that a damaged or cut member raises `Damaged` in whichever range it lies, for any
+    split; so does a file of another size than its manifest says.
     """
     files, name = open_folder(path)
     with files.open_input_file(name) as file:
+        if file.size() != size:
+            raise Damaged(f"{path} has {file.size()} bytes, not {size}")
         window = _Window(file, start, end - start + len(MAGIC) - 1, size)
-        at, aligned = 0, False
-        while 0 <= (at := window.data.find(MAGIC, at)) < end - start:
+        at, aligned = 0, start == 0
+        while start + at < size:
+            if not aligned and not 0 <= (at := window.data.find(MAGIC, at)) < end - start:
+                return
             found = _member(window, at)
+            if found is None and aligned:
+                raise Damaged(f"{path} has no whole record at byte {start + at}")
             if found is None:
-                at, aligned = at + 1, False
+                at += 1
                 continue
+            if at >= end - start:  # the next range's first, which is whole
+                return
             record, after = found
             while after + len(MAGIC) > len(window.data) and window.more():
                 pass
