@@ -9,7 +9,10 @@ from __future__ import annotations
 
 import re
 from array import array
+from bisect import bisect_left
 from collections.abc import Callable, Iterable, Sequence
+from itertools import compress, repeat
+from operator import is_
 
 import numpy as np
 
@@ -19,6 +22,10 @@ KEPT_BYTES, ENTRY_BYTES = 112 << 20, 150
 #: Texts encoded together, and chunks put together into one string for the library.
 GROUP, ROW = 256, 256
 _CUT = re.compile(r"(?<=\S)(?= \S)")
+#: A word of letters and the stops after it, which byte-level patterns take as two pre-tokens.
+_TAILED = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?]+)")
+#: A line feed that these patterns take as a pre-token of its own.
+_LINE = re.compile(r"(?<=\S)\n(?=\S)")
 
 
 def plain(text: str) -> bool:
@@ -39,6 +46,17 @@ def chunks(text: str) -> list[str]:
     return [first, *[" " + w for w in rest]]
 
 
+def pieces(chunk: str) -> list[str]:
+    """Parts of a chunk that byte-level patterns never put into one pre-token, in order."""
+    out: list[str] = []
+    for line in _LINE.split(chunk) if "\n" in chunk else (chunk,):
+        if out:
+            out.append("\n")
+        tailed = _TAILED.fullmatch(line)
+        out += tailed.groups() if tailed else (line,)
+    return out
+
+
 class Generations:
     """Ids of chunks in two generations, so that what is not met again goes and nothing else does.
 
@@ -50,19 +68,20 @@ class Generations:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def put(self, chunk: str, ids: bytes) -> None:
-        self.young[chunk] = ids
-        self.bytes += len(chunk) + len(ids) + ENTRY_BYTES
+    def put(self, chunks: Sequence[str], ids: Sequence[bytes]) -> None:
+        """Keep new chunks, each once, with their ids."""
+        self.young.update(zip(chunks, ids))
+        self.bytes += sum(map(len, chunks)) + sum(map(len, ids)) + ENTRY_BYTES * len(chunks)
 
     def missing(self, chunks: Iterable[str]) -> list[str]:
         """Take over those of the chunks, none of them young, that are old; the rest."""
-        left = []
-        for chunk in chunks:
-            ids = self.old.pop(chunk, None)
-            if ids is None:
-                left.append(chunk)
-            else:
-                self.put(chunk, ids)
+        if not self.old:
+            return list(chunks)
+        found = {c: self.old.pop(c, None) for c in chunks}
+        left = [c for c, ids in found.items() if ids is None]
+        for c in left:
+            del found[c]
+        self.put(list(found), list(found.values()))
         return left
 
     def age(self) -> None:
@@ -74,9 +93,10 @@ class ChunkEncoder:
     """Encodes texts through a function that encodes a list of strings.
 
     Texts that hold one of the `marks` (a tokenizer's added tokens, at which it cuts a text first)
-    are encoded whole. `leads` says of each id whether its token begins with a space. Where it is
-    given, and no mark holds a space, new chunks without white space are encoded many in a row, each
-    after a space, and the ids are cut before the tokens that begin with one.
+    are encoded whole. `leads` says of each id of a byte-level tokenizer whether its token begins
+    with a space. Where it is given, and no mark holds a space, new chunks are put together from
+    their pieces, and new pieces without white space are encoded many in a row: after a space each,
+    their ids cut before the tokens that begin with one, or with line feeds between them.
     """
 
     def __init__(
@@ -92,26 +112,54 @@ class ChunkEncoder:
         self.spaced, self.whole = Generations(kept), Generations(kept)
 
     def _one_by_one(self, known: Generations, new: list[str], lead: str) -> None:
-        for chunk, ids in zip(new, self.encode([lead + c for c in new]) if new else ()):
-            known.put(chunk, array("I", ids).tobytes())
-
-    def _learn_spaced(self, new: list[str]) -> None:
-        """Ids of new chunks that follow a space."""
-        if self.leads is None:
-            return self._one_by_one(self.spaced, new, " ")
-        own = [c for c in new if "\n" in c]  # the only white space that plain texts have inside a chunk
-        new = [c for c in new if "\n" not in c] if own else new
+        if new:
+            known.put(new, [array("I", ids).tobytes() for ids in self.encode([lead + c for c in new])])
+
+    def _in_rows(self, known: Generations, new: list[str], lead: str) -> None:
+        """Ids of new pieces, each after a space (`lead`) or after a line feed."""
+        # After a space come chunks of plain texts, whose only white space is the line feed.
+        own = [c for c in new if "\n" in c] if lead else [c for c in new if "\n" in c or " " in c or not plain(c)]
+        if own:
+            new = list(set(new).difference(own))
+        if not lead and new:
+            ((feed, *more),) = self.encode(["\n"])
+            if more:
+                own, new = own + new, []
         rows = [new[at : at + ROW] for at in range(0, len(new), ROW)]
-        for row, ids in zip(rows, self.encode([" " + " ".join(r) for r in rows]) if rows else ()):
+        between = " " if lead else "\n"
+        for row, ids in zip(rows, self.encode([lead + between.join(r) for r in rows]) if rows else ()):
             both = np.array(ids, dtype=np.uint32)
-            cuts = np.flatnonzero(self.leads[both])
-            if len(cuts) != len(row):
+            if lead:
+                starts = 4 * np.flatnonzero(self.leads[both])
+                ends = [*starts[1:].tolist(), 4 * len(both)]
+            else:
+                feeds = 4 * np.flatnonzero(both == feed)
+                starts, ends = np.append(0, feeds + 4), [*feeds.tolist(), 4 * len(both)]
+            if len(starts) != len(row):
                 own += row
                 continue
-            data, places = both.tobytes(), [*(4 * cuts).tolist(), 4 * len(both)]
-            for chunk, start, end in zip(row, places, places[1:]):
-                self.spaced.put(chunk, data[start:end])
-        self._one_by_one(self.spaced, own, " ")
+            data = both.tobytes()
+            known.put(row, [data[start:end] for start, end in zip(starts.tolist(), ends)])
+        self._one_by_one(known, own, lead)
+
+    def _learn(self, new_whole: set[str], new_spaced: set[str]) -> None:
+        """Ids of chunks that are not young, as they are and after a space."""
+        both = ((self.whole, self.whole.missing(new_whole), ""), (self.spaced, self.spaced.missing(new_spaced), " "))
+        if self.leads is None:
+            for known, new, lead in both:
+                self._one_by_one(known, new, lead)
+            return
+        made = [{c: p for c in new if not c.isalpha() and len(p := pieces(c)) > 1} for _, new, _ in both]
+        inner = {piece for parts in made for p in parts.values() for piece in p[1:]}
+        for (known, new, lead), parts, more in zip(both, made, (inner, ())):
+            wanted = {c for c in new if c not in parts} if parts else set(new)
+            old = {p[0] for p in parts.values()}.union(more).difference(known.young, wanted)
+            self._in_rows(known, [*wanted, *known.missing(old)], lead)
+        tail = self.whole.young
+        for (known, _, _), parts in zip(both, made):
+            head = known.young
+            left = [c for c in parts if c not in head]
+            known.put(left, [head[parts[c][0]] + b"".join([tail[piece] for piece in parts[c][1:]]) for c in left])
 
     def __call__(self, texts: Sequence[str]) -> list[np.ndarray]:
         """Ids of each text, as unsigned 32-bit integers."""
@@ -121,7 +169,7 @@ class ChunkEncoder:
         self.spaced.age()
         self.whole.age()
         out: list[bytes | None] = []
-        open_texts: list[tuple[int, list[str], list[str]]] = []
+        open_texts: list[tuple[int, list[bytes | None], list[int], int, list[str]]] = []
         new_whole: set[str] = set()
         new_spaced: set[str] = set()
         young_whole, young_spaced = self.whole.young, self.spaced.young
@@ -138,14 +186,19 @@ class ChunkEncoder:
             # A text is its whole chunks, then its chunks after a space.
             found = [*map(young_whole.get, whole), *map(young_spaced.get, rest)]
             if None in found:
-                new_whole.update(c for c, ids in zip(whole, found) if ids is None)
-                new_spaced.update(c for c, ids in zip(rest, found[len(whole) :]) if ids is None)
-                open_texts.append((len(out), whole, rest))
+                places = list(compress(range(len(found)), map(is_, found, repeat(None))))
+                first = bisect_left(places, len(whole))  # of those after a space
+                names = [whole[i] for i in places[:first]] + [rest[i - len(whole)] for i in places[first:]]
+                new_whole.update(names[:first])
+                new_spaced.update(names[first:])
+                open_texts.append((len(out), found, places, first, names))
                 out.append(None)
             else:
                 out.append(b"".join(found))
-        self._one_by_one(self.whole, self.whole.missing(new_whole), "")
-        self._learn_spaced(self.spaced.missing(new_spaced))
-        for at, whole, rest in open_texts:
-            out[at] = b"".join([*map(young_whole.__getitem__, whole), *map(young_spaced.__getitem__, rest)])
+        self._learn(new_whole, new_spaced)
+        for at, found, places, first, names in open_texts:
+            ids = [*map(young_whole.__getitem__, names[:first]), *map(young_spaced.__getitem__, names[first:])]
+            for i, own in zip(places, ids):
+                found[i] = own
+            out[at] = b"".join(found)
         return [np.frombuffer(ids, dtype=np.uint32) for ids in out]

@@ -36,7 +36,7 @@ _TAIL = struct.Struct("<QQQQI")
 BLOCK_IDS = 1 << 18
 #: Ids of one file, and of one run of blocks that a reading task decodes.
 FILE_IDS = 4 << 20
-RUN_BLOCKS = 4
+RUN_BLOCKS = 16
 #: The id that ends every document.
 END = 0
 #: Fixed value: the sign for a space in the vocabulary of byte-level tokenizers.
@@ -73,10 +73,7 @@ def _space_led(definition: dict) -> np.ndarray | None:
 
 def pack(keys: list[int | None], docs: list[np.ndarray], symbols: int) -> bytes:
     """The bytes of one file."""
-    counts = np.zeros(symbols, dtype=np.int64)
-    for ids in docs:
-        counts += np.bincount(ids, minlength=symbols)
-    table = frequencies(counts)
+    table = frequencies(np.bincount(np.concatenate(docs), minlength=symbols))
     coder = Coder(table)
     used = np.flatnonzero(table)
     packed = zlib.compress(used.astype("<u4").tobytes() + table[used].astype("<u4").tobytes())
@@ -116,13 +113,14 @@ def write_tokens(
     `definition` is the tokenizer as JSON, `files` the number of tasks that write (each starts a
     new file after `FILE_IDS` ids). The manifest has path, bytes, blocks, `part`, `run` (their
     order is the order of the documents), docs and ids. Null or empty texts have only the end id.
-    Null keys come first; rows of one key stay together, in the order of a hash of their text.
+    Null keys come first; rows of one key follow one another in the order of a hash of their text,
+    in more than one task where they are many. An empty table gives no files.
     Each task attempt writes files of its own, so that a repeated task does no harm.
     """
     folder = folder or new_folder(df.sparkSession, "tokens")
     tie = F.xxhash64(F.col(text))
     rows = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"), tie.alias("tie"))
-    ordered = rows.repartitionByRange(files, "key").sortWithinPartitions("key", "tie")
+    ordered = rows.repartitionByRange(files, "key", "tie").sortWithinPartitions("key", "tie")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokenizer(definition)
@@ -138,9 +136,9 @@ def write_tokens(
             nonlocal size
             name = f"{base}/part-{part:06d}-{len(done):05d}-{attempt}.rans"
             data = pack(keys, docs, symbols)
+            head = json.loads(zlib.decompress(data[_index_at(data)[0] : _index_at(data)[1]]))
             with system.open_output_stream(name, compression=None) as out:
                 out.write(data)
-            head = json.loads(zlib.decompress(data[_index_at(data)[0] : _index_at(data)[1]]))
             done.append((f"{folder}/{name.rpartition('/')[2]}", len(data), len(head["blocks"]), part, len(done), len(keys), size))
             keys.clear()
             docs.clear()
