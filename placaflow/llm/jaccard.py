@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placaflow.llm.common import drop_folder, durable, give_back, in_small_batches, keep_clear, small, stored
@@ -37,6 +37,8 @@ LIST_BLOCK = 2048
 HUB_BLOCK = 512
 #: Bytes of sets that a task sends on together.
 SENT_BYTES = 2 << 20
+#: Groups that one row of a set's targets names.
+TARGETS = 256
 CACHE_WORDS = 250_000
 _MIX = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
@@ -224,12 +226,41 @@ def _starts(table: pa.Table, keys: int) -> np.ndarray:
     return np.append(np.flatnonzero(new), table.num_rows)
 
 
+def _ahead(starts: np.ndarray, ca: np.ndarray, cb: np.ndarray, crowd: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each row the first row and the number of rows that it is compared with.
+
+    In a cell of outsiders these are the rows behind it; where outsiders meet a block of the crowd
+    (`cb` below 0, outsiders first), an outsider's are the crowd's and those of the crowd have none.
+    """
+    sizes = np.diff(starts)
+    end = np.repeat(starts[1:], sizes)
+    meets = cb < 0
+    members = np.add.reduceat(crowd.astype(np.int64), starts[:-1])
+    first = np.where(meets, end - np.repeat(members, sizes), np.arange(len(ca)) + 1)
+    return first, np.where(meets & crowd, 0, end - first)
+
+
+def _expanded(first: np.ndarray, count: np.ndarray, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs (row, compared row), some `limit` at a time."""
+    rows = np.flatnonzero(count)
+    total = np.cumsum(count[rows])
+    at = 0
+    while at < len(rows):
+        before = total[at - 1] if at else 0
+        upto = max(at + 1, int(np.searchsorted(total, before + limit, "right")))
+        own = rows[at:upto]
+        i = np.repeat(own, count[own])
+        place = np.arange(len(i)) - np.repeat(total[at:upto] - count[own] - before, count[own])
+        yield i, first[i] + place
+        at = upto
+
+
 def _open_pairs(rows: DataFrame, t: int) -> DataFrame:
     """Pairs (a, b) of sets in one list, not yet connected, that pass all filters.
 
-    `rows` has token, ca, cb (the blocks of its list that a group compares), block, k, pos, size,
-    comp and ranges. The positional filter is right for the first n-gram that two sets share,
-    and every pair meets in that one's list.
+    `rows` has token, ca, cb (the blocks of its list that a group compares), crowd, block, k, pos,
+    size, comp and ranges, ordered by the first four. The positional filter is right for the first
+    n-gram that two sets share, and every pair meets in that one's list.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,33 +268,66 @@ def _open_pairs(rows: DataFrame, t: int) -> DataFrame:
             ca, cb, block, k, pos, size, comp = (
                 table.column(c).to_numpy().astype(np.int64) for c in ("ca", "cb", "block", "k", "pos", "size", "comp")
             )
+            crowd = table.column("crowd").to_numpy().astype(bool)
             ranges = np.frombuffer(b"".join(table.column("ranges").to_pylist()), "<u4").reshape(-1, RANGES).astype(np.int64)
-            starts = _starts(table, 3)
-            left = np.repeat(starts[1:], np.diff(starts)) - np.arange(table.num_rows)  # rows to the group's end
-            at = np.flatnonzero(left > 1)
-            shift = 1
-            while len(at):
-                i, j = at, at + shift
+            for i, j in _expanded(*_ahead(_starts(table, 3), ca, cb, crowd), 1 << 16):
                 need = least_overlap(size[i], size[j], t)
-                ok = (comp[i] != comp[j]) & ((ca[i] == cb[i]) | (block[i] != block[j]))
+                ok = (comp[i] != comp[j]) & ((cb[i] < 0) | (ca[i] == cb[i]) | (block[i] != block[j]))
                 ok &= np.minimum(size[i], size[j]) >= need
                 ok &= np.minimum(size[i] - pos[i], size[j] - pos[j]) >= need
-                i, j, need = i[ok], j[ok], need[ok]
-                for cut in range(0, len(i), 1 << 16):
-                    a, b = i[cut : cut + (1 << 16)], j[cut : cut + (1 << 16)]
-                    close = np.minimum(ranges[a], ranges[b]).sum(axis=1) >= need[cut : cut + (1 << 16)]
-                    if close.any():
-                        x, y = k[a[close]], k[b[close]]
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"]
-                        )
-                shift += 1
-                at = at[left[at] > shift]
+                a, b = i[ok], j[ok]
+                close = np.minimum(ranges[a], ranges[b]).sum(axis=1) >= need[ok]
+                if close.any():
+                    x, y = k[a[close]], k[b[close]]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"]
+                    )
         give_back()
 
     return rows.mapInArrow(work, "a long, b long")
 
 
+def _open_cells(marked: DataFrame) -> DataFrame:
+    """Rows of lists that hold several components, once for each cell of blocks that compares them.
+
+    The largest component of a list is its crowd, whose sets are not compared with each other: all
+    others, the outsiders, meet each other and the crowd. A list with few outsiders costs as many
+    comparisons as it has sets for each of them.
+    """
+    sizes = marked.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("n"))
+    lists = sizes.groupBy("token").agg(
+        F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("comps")
+    )
+
+    def blocks(n: Column) -> Column:
+        return F.ceil(n / LIST_BLOCK).cast("int")
+
+    # Written, so that the join below is one of two plain shuffles and a long list can be split.
+    open_lists = durable(
+        lists.where("comps > 1").select(
+            "token", F.col("top.comp").alias("main"), blocks(F.col("top.n")).alias("inside"), blocks(F.col("n") - F.col("top.n")).alias("outside")
+        )
+    )
+    crowd = F.col("comp") == F.col("main")
+    block = F.pmod(F.xxhash64("k"), F.when(crowd, F.col("inside")).otherwise(F.col("outside"))).cast("int")
+    placed = marked.join(open_lists, "token").withColumn("crowd", crowd.cast("int")).withColumn("block", block)
+
+    def numbers(n: str) -> Column:
+        return F.sequence(F.lit(0), F.col(n) - 1)
+
+    def cell(ca: Column, cb: Column) -> Column:
+        return F.struct(ca.cast("int").alias("ca"), cb.cast("int").alias("cb"))
+
+    own = F.col("block")
+    of_crowd = F.transform(numbers("outside"), lambda o: cell(o, -1 - own))
+    of_others = F.concat(
+        F.transform(numbers("inside"), lambda i: cell(own, -1 - i)),
+        F.transform(numbers("outside"), lambda o: cell(F.least(own, o), F.greatest(own, o))),
+    )
+    cells = placed.withColumn("cell", F.explode(F.when(F.col("crowd") == 1, of_crowd).otherwise(of_others)))
+    return cells.select("token", "cell.ca", "cell.cb", "crowd", "block", "k", "pos", "size", "comp")
+
+
 def _verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, n: int, t: int) -> DataFrame:
     """Those of the pairs (x, hub), all different, whose sets are similar enough.
 
@@ -271,14 +335,19 @@ def _verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, n: int, t: int
     it. A hub with many pairs is sent to several groups.
     """
     pairs = durable(pairs)
-    loads = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / HUB_BLOCK).cast("int").alias("groups"))
+    loads = durable(pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / HUB_BLOCK).cast("int").alias("groups")))
     member = pairs.join(loads, "hub").select(
         F.col("x").alias("k"), "hub", F.pmod(F.xxhash64("x"), F.col("groups")).cast("int").alias("salt"), F.lit(1).alias("member")
     )
     head = loads.select(F.col("hub").alias("k"), "hub", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("salt"), F.lit(0).alias("member"))
-    targets = member.union(head).groupBy("k").agg(F.collect_list(F.struct("hub", "salt", "member")).alias("to"))
-    wanted = durable(targets.join(reps, "k").select("tag", "k", "to"))
-    rows = docs.select("tag", "text").join(small(wanted, wanted.count(), 128), "tag").dropDuplicates(["tag"])
+    # Each set's targets, in lists of some `TARGETS`.
+    sends = durable(member.union(head))
+    lists = durable(sends.groupBy("k").agg(F.ceil(F.count(F.lit(1)) / TARGETS).cast("int").alias("lists")))
+    part = F.pmod(F.xxhash64("hub", "salt"), F.col("lists")).cast("int")
+    targets = sends.join(lists, "k").groupBy("k", part.alias("part")).agg(F.collect_list(F.struct("hub", "salt", "member")).alias("to"))
+    wanted = durable(targets.join(reps, "k").select("tag", "k", "part", "to"))
+    data = wanted.agg(F.coalesce(F.sum(40 + 32 * F.size("to")), F.lit(0))).first()[0]
+    rows = docs.select("tag", "text").join(small(wanted, 1, data + 60 * wanted.count()), "tag").dropDuplicates(["tag", "part"])
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = Sets(n)
@@ -352,7 +421,8 @@ def near_classes(df: DataFrame, key: str, text: str, n: int = 3, percent: int =
     rows = described.where("part IS NULL").select("id", "tag", "n_shingles", "k", "ranges")
     reps = rows.where("k IS NOT NULL").groupBy("k").agg(F.min("tag").alias("tag"))
 
-    hubs = shared.groupBy("token").agg(F.min(F.struct("pos", "size", "k")).alias("hub"))
+    # Written, so that the join below is one of two plain shuffles and a long list can be split.
+    hubs = durable(shared.groupBy("token").agg(F.min(F.struct("pos", "size", "k")).alias("hub")))
     both = F.col("size") + F.col("hub.size")
     need = F.ceil(F.lit(percent) * both / (100 + percent))
     fits = (F.least("size", "hub.size") >= need) & (
@@ -367,17 +437,9 @@ def near_classes(df: DataFrame, key: str, text: str, n: int = 3, percent: int =
 
     roots = known.select(F.col("a").alias("k"), F.col("b").alias("root"))
     marked = shared.join(small(roots, roots.count(), 48), "k", "left").withColumn("comp", F.coalesce("root", "k")).drop("root")
-    open_lists = durable(
-        marked.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("n"))
-        .where("lo < hi").select("token", F.ceil(F.col("n") / LIST_BLOCK).cast("int").alias("blocks"))
-    )
-    blocked = marked.join(open_lists, "token").withColumn("block", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int"))
-    cells = blocked.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "token", F.least("block", "other").alias("ca"), F.greatest("block", "other").alias("cb"), "block", "k", "pos", "size", "comp"
-    )
     ranges = rows.where("k IS NOT NULL").groupBy("k").agg(F.min("ranges").alias("ranges"))
-    full = cells.join(ranges, "k").repartition("token", "ca", "cb").sortWithinPartitions("token", "ca", "cb")
-    full = full.select("token", "ca", "cb", "block", "k", "pos", "size", "comp", "ranges")
+    placed = _open_cells(marked).join(ranges, "k").repartition("token", "ca", "cb")
+    full = placed.sortWithinPartitions("token", "ca", "cb", "crowd").select("token", "ca", "cb", "crowd", "block", "k", "pos", "size", "comp", "ranges")
     open_pairs = _open_pairs(full, percent).distinct().select(F.col("a").alias("x"), F.col("b").alias("hub"))
     second = _verified(docs, reps, open_pairs, n, percent)
     linked = components(known.union(second))
