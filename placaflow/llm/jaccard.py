@@ -229,14 +229,15 @@ def _starts(table: pa.Table, keys: int) -> np.ndarray:
 def _ahead(starts: np.ndarray, ca: np.ndarray, cb: np.ndarray, crowd: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each row the first row and the number of rows that it is compared with.
 
-    In a cell of outsiders these are the rows behind it; where outsiders meet a block of the crowd
-    (`cb` below 0, outsiders first), an outsider's are the crowd's and those of the crowd have none.
+    In a cell of two blocks of outsiders these are the rows behind it. Where a block of outsiders
+    meets one of the crowd (`cb` below 0, outsiders first), an outsider's are the crowd's, in the first
+    block of the crowd (-1) the outsiders behind it too; those of the crowd have none.
     """
     sizes = np.diff(starts)
     end = np.repeat(starts[1:], sizes)
     meets = cb < 0
     members = np.add.reduceat(crowd.astype(np.int64), starts[:-1])
-    first = np.where(meets, end - np.repeat(members, sizes), np.arange(len(ca)) + 1)
+    first = np.where(cb < -1, end - np.repeat(members, sizes), np.arange(len(ca)) + 1)
     return first, np.where(meets & crowd, 0, end - first)
 
 
@@ -272,7 +273,7 @@ def _open_pairs(rows: DataFrame, t: int) -> DataFrame:
             ranges = np.frombuffer(b"".join(table.column("ranges").to_pylist()), "<u4").reshape(-1, RANGES).astype(np.int64)
             for i, j in _expanded(*_ahead(_starts(table, 3), ca, cb, crowd), 1 << 16):
                 need = least_overlap(size[i], size[j], t)
-                ok = (comp[i] != comp[j]) & ((cb[i] < 0) | (ca[i] == cb[i]) | (block[i] != block[j]))
+                ok = (comp[i] != comp[j]) & ((cb[i] < 0) | (block[i] != block[j]))
                 ok &= np.minimum(size[i], size[j]) >= need
                 ok &= np.minimum(size[i] - pos[i], size[j] - pos[j]) >= need
                 a, b = i[ok], j[ok]
@@ -322,7 +323,7 @@ def _open_cells(marked: DataFrame) -> DataFrame:
     of_crowd = F.transform(numbers("outside"), lambda o: cell(o, -1 - own))
     of_others = F.concat(
         F.transform(numbers("inside"), lambda i: cell(own, -1 - i)),
-        F.transform(numbers("outside"), lambda o: cell(F.least(own, o), F.greatest(own, o))),
+        F.transform(F.filter(numbers("outside"), lambda o: o != own), lambda o: cell(F.least(own, o), F.greatest(own, o))),
     )
     cells = placed.withColumn("cell", F.explode(F.when(F.col("crowd") == 1, of_crowd).otherwise(of_others)))
     return cells.select("token", "cell.ca", "cell.cb", "crowd", "block", "k", "pos", "size", "comp")

@@ -72,10 +72,11 @@ def test_cells_compare_each_open_pair_once(spark, monkeypatch):
     cells = jaccard._open_cells(marked).orderBy("token", "ca", "cb", "crowd").toPandas()
     assert set(cells.token) == {5}  # a list of one component is not looked at
     starts = np.append(np.flatnonzero(~cells.duplicated(["token", "ca", "cb"])), len(cells))
+    assert len(cells[cells.crowd == 1]) == 30 * 3  # a row of the crowd goes to each block of outsiders alone
     ca, cb, k, block = (cells[c].to_numpy() for c in ("ca", "cb", "k", "block"))
     met = []
     for i, j in jaccard._expanded(*jaccard._ahead(starts, ca, cb, cells.crowd.to_numpy().astype(bool)), 7):
-        ok = (cb[i] < 0) | (ca[i] == cb[i]) | (block[i] != block[j])
+        ok = (cb[i] < 0) | (block[i] != block[j])
         met += [tuple(sorted(p)) for p in zip(k[i[ok]], k[j[ok]])]
     assert len(met) == len(set(met))
     assert set(met) == {(a, b) for a in range(40) for b in range(a + 1, 40) if comps[a] or comps[b]}
