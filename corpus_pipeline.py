@@ -57,8 +57,7 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path, pattern = vocabularies.path(RANKS), vocabularies.PATTERN
     digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
     own = ["doc_id", "source", *(c for c in PLACE if c in docs.columns)]
-    encoded = bytebpe.encode(docs.select(*own, digest.alias("digest"), "text"), "text", path, pattern)
-    decoded = bytebpe.decode(encoded.drop("text"), "ids", path)  # the text need not pass a second worker
+    decoded = bytebpe.round_trip(docs.select(*own, digest.alias("digest"), "text"), "text", path, pattern)
     same = F.sha2("decoded", 256) == F.col("digest")
     return decoded.select(*own, F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("decodes"))
 

@@ -11,7 +11,6 @@ from __future__ import annotations
 import base64
 import struct
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +19,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 
 from placaflow.llm.chunks import ChunkEncoder
-from placaflow.llm.common import give_back, in_small_batches, keep_clear
+from placaflow.llm.common import give_back, in_small_batches, keep_clear, kept
 
 #: Bytes of a generation of the chunks whose ids a worker keeps.
 CACHE_BYTES = 48 << 20
@@ -121,10 +120,30 @@ def sliced(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
             yield batch.slice(at, rows)
 
 
-@lru_cache(maxsize=2)
+#: Workers keep the coder of this name between the tasks of these operators.
+CODER = "byte-bpe"
+
+
 def coder(proto: bytes, pattern: str) -> ByteBpe:
     """One coder, with its cache, per worker process."""
-    return ByteBpe(proto, pattern)
+    return kept(CODER, (proto, pattern), lambda: ByteBpe(proto, pattern))
+
+
+def _ids(bpe: ByteBpe, texts: pa.Array) -> pa.ListArray:
+    found = bpe.encode([t or "" for t in texts.to_pylist()])
+    ends = np.cumsum([0] + [len(x) for x in found]).astype(np.int32)
+    flat = np.concatenate([*found, np.zeros(0, "<u4")]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+
+
+def _decoded(table: list[bytes], lists: pa.ListArray) -> pa.Array:
+    flat = lists.flatten().to_numpy(zero_copy_only=False)
+    ends = np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+    out, at = [], 0
+    for end, there in zip(ends.tolist(), lists.is_valid().to_pylist()):
+        out.append(joined(table, flat[at:end]) if there else None)
+        at = end
+    return pa.array(out, pa.binary())
 
 
 def encode(df: DataFrame, text: str, ranks_path: str, pattern: str) -> DataFrame:
@@ -140,12 +159,8 @@ def encode(df: DataFrame, text: str, ranks_path: str, pattern: str) -> DataFrame
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = coder(proto, pattern)
         for batch in sliced(batches):
-            found = bpe.encode([t or "" for t in batch.column(text).to_pylist()])
-            ends = np.cumsum([0] + [len(x) for x in found]).astype(np.int32)
-            flat = np.concatenate([*found, np.zeros(0, "<u4")]).astype(np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
-            yield batch.append_column("ids", ids)
-        give_back()
+            yield batch.append_column("ids", _ids(bpe, batch.column(text)))
+        give_back(CODER)
 
     return df.mapInArrow(add, schema)
 
@@ -159,15 +174,27 @@ def decode(df: DataFrame, ids: str, ranks_path: str) -> DataFrame:
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = inverse(pieces)
         for batch in sliced(batches):
-            lists = batch.column(ids)
-            flat = lists.flatten().to_numpy(zero_copy_only=False)
-            ends = np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
-            valid = lists.is_valid().to_pylist()
-            out, at = [], 0
-            for end, there in zip(ends.tolist(), valid):
-                out.append(joined(own, flat[at:end]) if there else None)
-                at = end
-            yield batch.append_column("decoded", pa.array(out, pa.binary()))
-        give_back()
+            yield batch.append_column("decoded", _decoded(own, batch.column(ids)))
+        give_back(CODER)
+
+    return df.mapInArrow(add, schema)
+
+
+def round_trip(df: DataFrame, text: str, ranks_path: str, pattern: str) -> DataFrame:
+    """Puts `ids` (see `encode`) and `decoded`, their bytes (see `decode`), in place of the text.
+
+    One worker makes both, so that a task has one worker and not two that each come to hold a coder.
+    """
+    df = keep_clear(in_small_batches(df), ["ids", "decoded"])
+    proto = model_proto(read_ranks(ranks_path))
+    schema = df.drop(text).selectExpr("*", "array(0) AS ids", "CAST('' AS BINARY) AS decoded").schema
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = coder(proto, pattern)
+        for batch in sliced(batches):
+            ids = _ids(bpe, batch.column(text))
+            rest = batch.drop_columns([text])
+            yield rest.append_column("ids", ids).append_column("decoded", _decoded(bpe.bytes, ids))
+        give_back(CODER)
 
     return df.mapInArrow(add, schema)
