@@ -9,12 +9,12 @@ distance to the centre bounds the inner products of all points below from both s
 Rows are dealt by a hash to forests of bounded size, with a tree for each label in them. An
 anchor descends a forest best bound first, leaves out nodes that no longer matter (below its
 k-th best score, or outside all windows that are still open), and computes the products of the
-points it reaches in whole numbers. Anchors go to the forests in blocks of bounded size.
+points it reaches in whole numbers. Anchors descend together, so that those that reach the same
+node share one product of matrices. They go to the forests in blocks of bounded size.
 """
 
 from __future__ import annotations
 
-import heapq
 from collections import deque
 from collections.abc import Iterable, Iterator
 
@@ -35,6 +35,8 @@ _TASKS = 4096
 #: Squared norms below have products that doubles hold exactly; up to the other, 64-bit numbers.
 _EXACT, _MOST = float(1 << 52), 9.2e18
 SCALE = 256
+#: Below all scores. Anchors that go through a forest together.
+_NONE, TOGETHER = np.iinfo(np.int64).min + 1, 1024
 
 
 def usable(vector: Column) -> Column:
@@ -112,46 +114,57 @@ class Forest:
             at = at + int(rest) if left[at + rest] else len(members)
         return groups
 
-    def products(self, anchor: np.ndarray, points: np.ndarray) -> np.ndarray:
-        """Inner products in whole numbers."""
-        if max(float(anchor @ anchor), self.most) < _EXACT:
-            return (self.vectors[points] @ anchor).astype(np.int64)
-        return self.vectors[points].astype(np.int64) @ anchor.astype(np.int64)
+    def products(self, anchors: np.ndarray, points: np.ndarray) -> np.ndarray:
+        """Inner products in whole numbers, a row for each anchor."""
+        if max(float((anchors * anchors).sum(axis=1).max(initial=0)), self.most) < _EXACT:
+            return (anchors @ self.vectors[points].T).astype(np.int64)
+        return anchors.astype(np.int64) @ self.vectors[points].astype(np.int64).T
 
-    def bounds(self, anchor: np.ndarray, square: float, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Least and greatest inner product that points below the nodes can have."""
+    def bounds(self, anchor: np.ndarray, square: float | np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Least and greatest inner product that points below the nodes can have.
+
+        Of one anchor, or of several in rows, their squares in a column.
+        """
         total = square + self.most
-        away = np.sqrt(np.maximum(total - 2 * (self.vectors[self.centre[nodes]] @ anchor), 0))
+        away = np.sqrt(np.maximum(total - 2 * (anchor @ self.vectors[self.centre[nodes]].T), 0))
         radius = self.radius[nodes]
         slack = 1 + 1e-6 * total
         return (total - (away + radius) ** 2) / 2 - slack, (total - np.maximum(away - radius, 0) ** 2) / 2 + slack
 
-    def descend(self, anchor: np.ndarray, wanted, needed, verify) -> int:
-        """Visit points best bound first; the number of points verified.
+    def descend(self, anchors: np.ndarray, wanted, needed, verify) -> int:
+        """Visit points best bound first; the number of points verified, of all anchors.
+
+        In each round every anchor takes its best node; anchors that take the same one go on together.
 
-        `wanted(low, high)`: whether nodes with labels between these can matter.
-        `needed(least, greatest)`: whether nodes whose products lie between these still matter.
-        `verify(points)`: takes numbers of reached points.
+        `wanted(who, low, high)`: whether nodes with labels between these can matter to the anchors `who`.
+        `needed(who, least, greatest)`: whether nodes whose products lie between these still matter.
+        `verify(who, points)`: takes numbers of points that these anchors reached.
         """
-        square = float((anchor * anchor).sum())
-        heap: list[tuple[float, float, int]] = [(-np.inf, -np.inf, 0)]
+        squares = (anchors * anchors).sum(axis=1)
+        who, node = np.arange(len(anchors)), np.zeros(len(anchors), dtype=np.int64)
+        least, most = np.full(len(anchors), -np.inf), np.full(len(anchors), np.inf)
         reached = 0
-        while heap:
-            above, least, node = heapq.heappop(heap)
-            if node and not needed(np.array([least]), np.array([-above]))[0]:
-                continue
-            start, end = self.span[node]
-            if end > start:
-                verify(self.points[start:end])
-                reached += int(end - start)
-            below = np.arange(*self.kids[node])
-            below = below[wanted(self.low[below], self.high[below])]
-            if not len(below):
-                continue
-            least, most = self.bounds(anchor, square, below)
-            keep = needed(least, most)
-            for item in zip((-most[keep]).tolist(), least[keep].tolist(), below[keep].tolist()):
-                heapq.heappush(heap, item)
+        while len(who):
+            keep = (node == 0) | needed(who, least, most)
+            who, node, least, most = who[keep], node[keep], least[keep], most[keep]
+            by = np.lexsort((node, least, -most, who))
+            best = np.diff(who[by], prepend=-1) != 0
+            now, later = by[best], by[~best]
+            now = now[np.argsort(node[now], kind="stable")]
+            open_ = [(who[later], node[later], least[later], most[later])]
+            for group in np.split(now, np.flatnonzero(np.diff(node[now])) + 1) if len(now) else ():
+                own, at = who[group], node[group[0]]
+                start, end = self.span[at]
+                if end > start:
+                    verify(own, self.points[start:end])
+                    reached += int(end - start) * len(own)
+                below = np.arange(*self.kids[at])
+                if len(below):
+                    low, high = self.bounds(anchors[own], squares[own][:, None], below)
+                    ok = wanted(own[:, None], self.low[below], self.high[below]) & needed(own[:, None], low, high)
+                    row, kid = np.nonzero(ok)
+                    open_.append((own[row], below[kid], low[row, kid], high[row, kid]))
+            who, node, least, most = (np.concatenate(parts) for parts in zip(*open_))
         return reached
 
 
@@ -161,60 +174,124 @@ class Best:
     def __init__(self, k: int) -> None:
         self.k, self.rows = k, []
 
-    def add(self, scores: np.ndarray, ids: np.ndarray) -> None:
-        """Rows in order of falling score, then id."""
-        new = [(-s, i) for s, i in zip(scores[: self.k].tolist(), ids[: self.k].tolist())]
-        self.rows = sorted([*self.rows, *new])[: self.k]
 
-    def least(self, floor: float = -np.inf) -> float:
-        """The score that a row must reach to count."""
-        return max(floor, -self.rows[-1][0]) if len(self.rows) == self.k else floor
+class Tops:
+    """The k best rows of many searches, by falling score, then id, none below `floor`."""
+
+    def __init__(self, k: int, floor: np.ndarray) -> None:
+        self.k, self.least = k, floor.astype(np.int64)
+        self.found = np.zeros(len(floor), dtype=np.int64)
+        self.scores = np.zeros((len(floor), k), dtype=np.int64)
+        self.ids = np.zeros((len(floor), k), dtype=np.int64)
+
+    def rows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers of searches, scores and ids, the best first."""
+        there = np.arange(self.k) < self.found[:, None]
+        return np.nonzero(there)[0], self.scores[there], self.ids[there]
+
+    def offer(self, which: np.ndarray, scores: np.ndarray, ids: np.ndarray, fits: np.ndarray) -> None:
+        """Rows `ids` for the searches `which`, each once: their scores there, and which of them count."""
+        fits = fits & (scores >= self.least[which][:, None])
+        if scores.shape[1] > self.k and np.count_nonzero(fits) > 2 * self.k * len(which):
+            # What is below a search's k best of these is not sorted.
+            place = scores.shape[1] - self.k
+            fits &= scores >= np.partition(np.where(fits, scores, _NONE), place, axis=1)[:, place, None]
+        row, column = np.nonzero(fits)
+        if len(row):
+            self.add(which[row], scores[row, column], ids[column])
+
+    def add(self, which: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
+        touched = np.unique(which)
+        there = np.arange(self.k) < self.found[touched][:, None]
+        which = np.concatenate([touched[np.nonzero(there)[0]], which])
+        scores = np.concatenate([self.scores[touched][there], scores])
+        ids = np.concatenate([self.ids[touched][there], ids])
+        by = np.lexsort((ids, -scores, which))
+        which, scores, ids = which[by], scores[by], ids[by]
+        first = np.searchsorted(which, touched)
+        rank = np.arange(len(which)) - np.repeat(first, np.diff(np.append(first, len(which))))
+        kept = rank < self.k
+        self.scores[which[kept], rank[kept]] = scores[kept]
+        self.ids[which[kept], rank[kept]] = ids[kept]
+        self.found[touched] = np.minimum(self.k, np.bincount(np.searchsorted(touched, which), minlength=len(touched)))
+        full = touched[self.found[touched] == self.k]
+        if self.k:
+            self.least[full] = np.maximum(self.least[full], self.scores[full, -1])
+
+
+def search_positives(forest: Forest, own: np.ndarray, labels: np.ndarray, anchors: np.ndarray, tops: Tops) -> int:
+    """Rows of the anchors' labels but themselves; a search for each anchor."""
+
+    def verify(who: np.ndarray, points: np.ndarray) -> None:
+        fits = (forest.labels[points] == labels[who][:, None]) & (forest.ids[points] != own[who][:, None])
+        tops.offer(who, forest.products(anchors[who], points), forest.ids[points], fits)
 
+    return forest.descend(
+        anchors, lambda who, low, high: (low <= labels[who]) & (labels[who] <= high),
+        lambda who, _, most: most >= tops.least[who], verify,
+    )
 
-def _sorted(scores: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    by = np.lexsort((ids, -scores))
-    return scores[by], ids[by]
 
+def search_negatives(forest: Forest, labels: np.ndarray, anchors: np.ndarray, high: np.ndarray, tops: Tops) -> int:
+    """Rows of other labels, for each anchor's windows of scores: `high` has their upper ends, a row
+    for each anchor, and `tops` a search for each window, whose floor is the lower end (both included).
+    """
+    windows = high.shape[1]
 
-def add_positives(forest: Forest, own: int, label: int, anchor: np.ndarray, best: Best) -> int:
-    """Rows of the anchor's label but itself."""
+    def needed(who: np.ndarray, least: np.ndarray, most: np.ndarray) -> np.ndarray:
+        found = np.zeros(least.shape, dtype=bool)
+        for w in range(windows):
+            found |= (most >= tops.least[who * windows + w]) & (least <= high[who, w])
+        return found
 
-    def verify(points: np.ndarray) -> None:
-        points = points[(forest.labels[points] == label) & (forest.ids[points] != own)]
-        if len(points):
-            best.add(*_sorted(forest.products(anchor, points), forest.ids[points]))
+    def verify(who: np.ndarray, points: np.ndarray) -> None:
+        scores = forest.products(anchors[who], points)
+        other = forest.labels[points] != labels[who][:, None]
+        for w in range(windows):
+            tops.offer(who * windows + w, scores, forest.ids[points], other & (scores <= high[who, w][:, None]))
 
-    return forest.descend(
-        anchor, lambda low, high: (low <= label) & (label <= high), lambda _, most: most >= best.least(), verify
-    )
+    return forest.descend(anchors, lambda who, low, high: (low != labels[who]) | (high != labels[who]), needed, verify)
 
 
-def add_negatives(forest: Forest, label: int, anchor: np.ndarray, windows: list[tuple[int, int]], best: list[Best]) -> int:
-    """Rows of other labels, for each window of scores (both ends included)."""
-    spans = list(zip(windows, best))
+def _ends(windows: list[list[tuple[int, int]]]) -> tuple[np.ndarray, np.ndarray]:
+    """Lower and upper ends of windows, a row for each anchor; windows that hold no score are never open."""
+    width = max(map(len, windows), default=0)
+    shut = (-_NONE, _NONE)
+    rows = [[w if w[0] <= w[1] else shut for w in own] + [shut] * (width - len(own)) for own in windows]
+    ends = np.array([[(max(a, _NONE), min(b, -_NONE)) for a, b in own] for own in rows], dtype=np.int64)
+    ends = ends.reshape(len(windows), width, 2)
+    return ends[:, :, 0], ends[:, :, 1]
 
-    def needed(least: np.ndarray, most: np.ndarray) -> np.ndarray:
-        found = np.zeros(len(most), dtype=bool)
-        for (low, high), own in spans:
-            found |= (most >= own.least(low)) & (least <= high)
-        return found
 
-    def verify(points: np.ndarray) -> None:
-        points = points[forest.labels[points] != label]
-        if not len(points):
-            return
-        scores = forest.products(anchor, points)
-        inside = (scores >= min(low for low, _ in windows)) & (scores <= max(high for _, high in windows))
-        if not inside.any():
-            return
-        scores, ids = _sorted(scores[inside], forest.ids[points[inside]])
-        for (low, high), own in spans:
-            first = int((scores > high).sum())
-            some = slice(first, first + own.k)
-            fits = scores[some] >= low
-            own.add(scores[some][fits], ids[some][fits])
+def _give(tops: Tops, best: list[Best]) -> None:
+    which, scores, ids = tops.rows()
+    for n, found in enumerate(best):
+        found.rows = [(-s, i) for s, i in zip(scores[which == n].tolist(), ids[which == n].tolist())]
+
+
+def _taken(best: list[Best], floor: np.ndarray) -> Tops:
+    tops = Tops(best[0].k, floor)
+    rows = [(n, -s, i) for n, found in enumerate(best) for s, i in found.rows]
+    if rows:
+        tops.add(*np.array(rows, dtype=np.int64).T)
+    return tops
+
 
-    return forest.descend(anchor, lambda low, high: (low != label) | (high != label), needed, verify)
+def add_positives(forest: Forest, own: int, label: int, anchor: np.ndarray, best: Best) -> int:
+    """As `search_positives`, for one anchor."""
+    tops = _taken([best], np.array([_NONE]))
+    reached = search_positives(forest, np.array([own]), np.array([label]), anchor[None, :], tops)
+    _give(tops, [best])
+    return reached
+
+
+def add_negatives(forest: Forest, label: int, anchor: np.ndarray, windows: list[tuple[int, int]], best: list[Best]) -> int:
+    """As `search_negatives`, for one anchor."""
+    low, high = _ends([windows])
+    tops = _taken(best, low.ravel())
+    reached = search_negatives(forest, np.array([label]), anchor[None, :], high, tops)
+    _give(tops, best)
+    return reached
 
 
 # Spark -------------------------------------------------------------------------------
@@ -252,13 +329,15 @@ def _forests(batches: Iterable[pa.RecordBatch]) -> Iterator[Forest]:
 def _positives(forests: DataFrame, sent, k: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, labels, vectors = sent.value
-        best = [Best(k) for _ in ids]
+        parts = [slice(at, at + TOGETHER) for at in range(0, len(ids), TOGETHER)]
+        tops = [Tops(k, np.full(len(ids[part]), _NONE)) for part in parts]
         for forest in _forests(batches):
-            for own, label, anchor, found in zip(ids.tolist(), labels.tolist(), vectors, best):
-                add_positives(forest, own, label, anchor, found)
-        rows = [(n, i, -s) for n, found in enumerate(best) for s, i in found.rows]
-        columns = [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64())]
-        yield pa.RecordBatch.from_arrays(columns, names=["anchor", "id", "score"])
+            for part, found in zip(parts, tops):
+                search_positives(forest, ids[part], labels[part], vectors[part], found)
+        for part, found in zip(parts, tops):
+            which, scores, near = found.rows()
+            columns = [pa.array((which + part.start).astype(np.int32)), pa.array(near), pa.array(scores)]
+            yield pa.RecordBatch.from_arrays(columns, names=["anchor", "id", "score"])
         give_back()
 
     rows = forests.mapInArrow(work, "anchor int, id long, score long")
@@ -271,17 +350,22 @@ def _negatives(forests: DataFrame, sent, k: int, low: int, high: int) -> DataFra
         (ids, labels, vectors), positives = sent.value
         # Whole scores from low to high per cent of the positive's.
         windows = [[(-(-low * s // 100), high * s // 100) for _, s in own] for own in positives]
-        best = [[Best(k) for _ in own] for own in windows]
-        open_ = [n for n, own in enumerate(windows) if any(a <= b for a, b in own)]
+        open_ = np.array([n for n, own in enumerate(windows) if any(a <= b for a, b in own)], dtype=np.int64)
+        parts = [open_[at : at + TOGETHER] for at in range(0, len(open_), TOGETHER)]
+        ends = [_ends([windows[n] for n in part.tolist()]) for part in parts]
+        tops = [Tops(k, least.ravel()) for least, _ in ends]
         for forest in _forests(batches):
-            for n in open_:
-                add_negatives(forest, int(labels[n]), vectors[n], windows[n], best[n])
-        own_ids = ids.tolist()
-        rows = [
-            (own_ids[n], i, s, j, -t) for n in open_ for (i, s), found in zip(positives[n], best[n]) for t, j in found.rows
-        ]
-        columns = [pa.array([r[c] for r in rows], pa.int64()) for c in range(5)]
-        yield pa.RecordBatch.from_arrays(columns, names=["anchor_id", "positive_id", "positive_score", "negative_id", "negative_score"])
+            for part, (_, most), found in zip(parts, ends, tops):
+                search_negatives(forest, labels[part], vectors[part], most, found)
+        for part, (least, _), found in zip(parts, ends, tops):
+            which, scores, negatives = found.rows()
+            anchor, place = part[which // least.shape[1]], which % least.shape[1]
+            near = [positives[n][w] for n, w in zip(anchor.tolist(), place.tolist())]
+            columns = [
+                pa.array(ids[anchor]), pa.array([i for i, _ in near], pa.int64()), pa.array([s for _, s in near], pa.int64()),
+                pa.array(negatives), pa.array(scores),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["anchor_id", "positive_id", "positive_score", "negative_id", "negative_score"])
         give_back()
 
     schema = "anchor_id long, positive_id long, positive_score long, negative_id long, negative_score long"

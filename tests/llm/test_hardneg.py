@@ -122,3 +122,30 @@ def test_scores_beyond_doubles(spark):
             fits = [(s, j) for s, j, c in scored if c != label and 50 * -p <= 100 * -s <= 100 * -p][:2]
             want += [(own, i, n, j, -p, -s) for n, (s, j) in enumerate(fits, 1)]
     assert found == sorted(want) and max(r[4] for r in found) > 1 << 60
+
+
+def test_anchors_descend_together(monkeypatch):
+    """On vectors of nearly equal distances a forest's nodes cost one product of matrices, not one for each anchor."""
+    rng = np.random.default_rng(1)
+    vectors = rng.normal(0, 1, (700, 64))
+    vectors = np.floor(256 * vectors / np.sqrt((vectors * vectors).sum(axis=1, keepdims=True)))
+    vectors[300:320] = vectors[0]
+    ids, label = rng.permutation(700), rng.integers(0, 4, 700)
+    forest = hardneg.Forest.build(ids, label, vectors)
+    calls = []
+    products = hardneg.Forest.products
+    monkeypatch.setattr(hardneg.Forest, "products", lambda self, a, points: calls.append(1) or products(self, a, points))
+    which = np.flatnonzero(ids % 5 == 0)
+    tops = hardneg.Tops(5, np.full(len(which), hardneg._NONE))
+    hardneg.search_positives(forest, ids[which], label[which], vectors[which], tops)
+    near = [[(i, s) for s, i in zip(tops.scores[n].tolist(), tops.ids[n].tolist())] for n in range(len(which))]
+    least, most = hardneg._ends([[(-(-50 * s // 100), 95 * s // 100) for _, s in own] for own in near])
+    negatives = hardneg.Tops(3, least.ravel())
+    hardneg.search_negatives(forest, label[which], vectors[which], most, negatives)
+    found = []
+    for q, s, j in zip(*(x.tolist() for x in negatives.rows())):
+        i, t = near[q // 5][q % 5]
+        found.append((int(ids[which[q // 5]]), i, j, t, s))
+    rows = [(int(i), int(c), [int(x) for x in v], i % 5 == 0) for i, c, v in zip(ids, label, vectors)]
+    assert sorted(found) == sorted((own, i, j, t, s) for own, i, _, j, t, s in brute(rows))
+    assert len(calls) < len(which)  # 140 anchors, each of which reaches several nodes
