@@ -8,7 +8,8 @@ keeps lists short). Lists of sets by prefix n-gram are then joined in two steps:
 * every set is compared with one set of each of its lists, the one with the fewest n-grams that
   no other list holds, which links most copies of a text without comparing them all;
 * pairs that share a list but are not connected yet pass length, positional and suffix filters
-  (the last compares how many n-grams two sets have in each of 64 ranges of hashes).
+  (the last compares how many n-grams two sets have in each of 256 ranges of hashes; it gets only
+  the sets that have a partner by the others).
 
 Each remaining pair is verified once, on the whole sets. Long lists are cut into blocks.
 """
@@ -30,7 +31,7 @@ from placaflow.llm.lm import Words
 #: Counters of the order of n-grams; fixed, so that the table sent to tasks is bounded.
 COUNTERS = 1 << 20
 _COUNT_PART = 1 << 14
-RANGES = 64
+RANGES = 256
 #: Sets of one list compared in one group; longer lists are cut into blocks of this size.
 LIST_BLOCK = 2048
 #: Sets compared with one common set in one group.
@@ -39,6 +40,8 @@ HUB_BLOCK = 512
 SENT_BYTES = 2 << 20
 #: Groups that one row of a set's targets names.
 TARGETS = 256
+#: Pairs whose ranges are compared at once.
+_TOGETHER = 1 << 14
 CACHE_WORDS = 250_000
 _MIX = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
@@ -88,6 +91,22 @@ def _key(own: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(own.tobytes()) - (1 << 63)
 
 
+def _range_counts(own: np.ndarray) -> bytes:
+    """How many n-grams of a set lie in each range of hashes, in as few bytes a number as hold them."""
+    counts = np.bincount((own >> np.uint64(56)).astype(np.int64), minlength=RANGES)
+    return counts.astype("<u" + str(next(w for w in (1, 2, 4, 8) if counts.max() < 1 << 8 * w))).tobytes()
+
+
+def _range_matrix(column: list[bytes]) -> np.ndarray:
+    """The numbers of `_range_counts`, a row for each set."""
+    widths = [len(data) // RANGES for data in column]
+    out = np.zeros((len(column), RANGES), dtype=f"<u{max(widths)}")
+    for width in set(widths):
+        which = [n for n, w in enumerate(widths) if w == width]
+        out[which] = np.frombuffer(b"".join([column[n] for n in which]), f"<u{width}").reshape(-1, RANGES)
+    return out
+
+
 def least_overlap(a: np.ndarray, b: np.ndarray, t: int) -> np.ndarray:
     """The least intersection of sets of given sizes at a similarity of t hundredths."""
     return -(-t * (a + b) // (100 + t))
@@ -110,7 +129,7 @@ def _describe(df: DataFrame, n: int) -> DataFrame:
                     (np.concatenate(own) & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS
                 )
                 any_rows = True
-                ranges = [np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=RANGES).astype("<u4").tobytes() for s in own]
+                ranges = [_range_counts(s) for s in own]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("id"), part.column("tag"), pa.array([len(s) for s in own], pa.int64()),
@@ -256,33 +275,58 @@ def _expanded(first: np.ndarray, count: np.ndarray, limit: int) -> Iterator[tupl
         at = upto
 
 
+def _near_pairs(table: pa.Table, t: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs of rows of whole groups, not yet connected, that pass the length and positional filters,
+    and the overlap that each needs.
+
+    The positional filter is right for the first n-gram that two sets share, and every pair meets in
+    that one's list.
+    """
+    ca, cb, block, pos, size, comp = (table.column(c).to_numpy().astype(np.int64) for c in ("ca", "cb", "block", "pos", "size", "comp"))
+    crowd = table.column("crowd").to_numpy().astype(bool)
+    for i, j in _expanded(*_ahead(_starts(table, 3), ca, cb, crowd), 1 << 16):
+        need = least_overlap(size[i], size[j], t)
+        ok = (comp[i] != comp[j]) & ((cb[i] < 0) | (block[i] != block[j]))
+        ok &= np.minimum(size[i], size[j]) >= need
+        ok &= np.minimum(size[i] - pos[i], size[j] - pos[j]) >= need
+        if ok.any():
+            yield i[ok], j[ok], need[ok]
+
+
+def _paired(rows: DataFrame, t: int) -> DataFrame:
+    """Those of the rows (see `_open_pairs`, without ranges) that are in one of the `_near_pairs`."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _groups(batches, 3):
+            met = np.zeros(table.num_rows, dtype=bool)
+            for a, b, _ in _near_pairs(table, t):
+                met[a] = met[b] = True
+            if met.any():
+                yield from table.filter(pa.array(met)).to_batches()
+        give_back()
+
+    return rows.mapInArrow(work, rows.schema)
+
+
 def _open_pairs(rows: DataFrame, t: int) -> DataFrame:
     """Pairs (a, b) of sets in one list, not yet connected, that pass all filters.
 
     `rows` has token, ca, cb (the blocks of its list that a group compares), crowd, block, k, pos,
-    size, comp and ranges, ordered by the first four. The positional filter is right for the first
-    n-gram that two sets share, and every pair meets in that one's list.
+    size, comp and ranges, ordered by the first four.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _groups(batches, 3):
-            ca, cb, block, k, pos, size, comp = (
-                table.column(c).to_numpy().astype(np.int64) for c in ("ca", "cb", "block", "k", "pos", "size", "comp")
-            )
-            crowd = table.column("crowd").to_numpy().astype(bool)
-            ranges = np.frombuffer(b"".join(table.column("ranges").to_pylist()), "<u4").reshape(-1, RANGES).astype(np.int64)
-            for i, j in _expanded(*_ahead(_starts(table, 3), ca, cb, crowd), 1 << 16):
-                need = least_overlap(size[i], size[j], t)
-                ok = (comp[i] != comp[j]) & ((cb[i] < 0) | (block[i] != block[j]))
-                ok &= np.minimum(size[i], size[j]) >= need
-                ok &= np.minimum(size[i] - pos[i], size[j] - pos[j]) >= need
-                a, b = i[ok], j[ok]
-                close = np.minimum(ranges[a], ranges[b]).sum(axis=1) >= need[ok]
-                if close.any():
-                    x, y = k[a[close]], k[b[close]]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"]
-                    )
+            k, ranges = table.column("k").to_numpy(), _range_matrix(table.column("ranges").to_pylist())
+            for i, j, need in _near_pairs(table, t):
+                for at in range(0, len(i), _TOGETHER):
+                    a, b = i[at : at + _TOGETHER], j[at : at + _TOGETHER]
+                    close = np.minimum(ranges[a], ranges[b]).sum(axis=1, dtype=np.int64) >= need[at : at + _TOGETHER]
+                    if close.any():
+                        x, y = k[a[close]], k[b[close]]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"]
+                        )
         give_back()
 
     return rows.mapInArrow(work, "a long, b long")
@@ -329,6 +373,11 @@ def _open_cells(marked: DataFrame) -> DataFrame:
     return cells.select("token", "cell.ca", "cell.cb", "crowd", "block", "k", "pos", "size", "comp")
 
 
+def _in_cells(rows: DataFrame) -> DataFrame:
+    """The rows of each cell together, its crowd last."""
+    return rows.repartition("token", "ca", "cb").sortWithinPartitions("token", "ca", "cb", "crowd")
+
+
 def _verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, n: int, t: int) -> DataFrame:
     """Those of the pairs (x, hub), all different, whose sets are similar enough.
 
@@ -438,10 +487,11 @@ def near_classes(df: DataFrame, key: str, text: str, n: int = 3, percent: int =
 
     roots = known.select(F.col("a").alias("k"), F.col("b").alias("root"))
     marked = shared.join(small(roots, roots.count(), 48), "k", "left").withColumn("comp", F.coalesce("root", "k")).drop("root")
-    ranges = rows.where("k IS NOT NULL").groupBy("k").agg(F.min("ranges").alias("ranges"))
-    placed = _open_cells(marked).join(ranges, "k").repartition("token", "ca", "cb")
-    full = placed.sortWithinPartitions("token", "ca", "cb", "crowd").select("token", "ca", "cb", "crowd", "block", "k", "pos", "size", "comp", "ranges")
-    open_pairs = _open_pairs(full, percent).distinct().select(F.col("a").alias("x"), F.col("b").alias("hub"))
+    # Most rows of short lists have no partner of like length and position: ranges are sent with the others.
+    paired = durable(_paired(_in_cells(_open_cells(marked)), percent))
+    used = durable(paired.select("k").distinct())
+    ranges = rows.where("k IS NOT NULL").join(small(used, used.count(), 24), "k", "left_semi").groupBy("k").agg(F.min("ranges").alias("ranges"))
+    open_pairs = _open_pairs(_in_cells(paired.join(ranges, "k").select(*paired.columns, "ranges")), percent).distinct().select(F.col("a").alias("x"), F.col("b").alias("hub"))
     second = _verified(docs, reps, open_pairs, n, percent)
     linked = components(known.union(second))
     kept = durable(rows.drop("ranges"))
