@@ -16,11 +16,15 @@ from operator import is_
 
 import numpy as np
 
+from placaflow.llm.lm import SHORT, first_bytes, hashes
+
 #: Bytes of one of the two generations of chunks that a worker process keeps, and those of an entry
 #: beside its chunk and ids.
 KEPT_BYTES, ENTRY_BYTES = 112 << 20, 150
 #: Texts encoded together, and chunks put together into one string for the library.
 GROUP, ROW = 256, 256
+#: Texts whose equal chunks are found at once, and letters after which no more are taken.
+JOINED, JOINED_LETTERS = 512, 2 << 20
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 #: A word of letters and the stops after it, which byte-level patterns take as two pre-tokens.
 _TAILED = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?]+)")
@@ -202,3 +206,120 @@ class ChunkEncoder:
                 found[i] = own
             out[at] = b"".join(found)
         return [np.frombuffer(ids, dtype=np.uint32) for ids in out]
+
+    def joined(self, texts: Sequence[str]) -> list[np.ndarray]:
+        """The same ids; each different chunk of many plain texts, or piece of one, is looked up once."""
+        out: list[np.ndarray | None] = [None] * len(texts)
+        places: list[int] = []
+        letters = 0
+        others: list[int] = []
+        for i, text in enumerate(texts):
+            if not text or any(mark in text for mark in self.marks) or not plain(text):
+                others.append(i)
+                continue
+            places.append(i)
+            letters += len(text)
+            if len(places) == JOINED or letters >= JOINED_LETTERS:
+                self._joined(texts, places, out)
+                places, letters = [], 0
+        if places:
+            self._joined(texts, places, out)
+        for i, ids in zip(others, self([texts[i] for i in others])):
+            out[i] = ids
+        return out
+
+    def _joined(self, texts: Sequence[str], places: list[int], out: list[np.ndarray | None]) -> None:
+        own = [texts[i].encode() for i in places]
+        data = b" ".join(own)
+        letters = np.frombuffer(data + b" " + bytes(8), np.uint8)
+        starts = cuts(letters[: len(data) + 1], self.leads is not None)
+        ends = np.append(starts[1:], len(data) + 1)
+        ends -= letters[ends - 1] == _SPACE
+        sizes = np.array([len(text) + 1 for text in own])
+        firsts = np.searchsorted(starts, np.cumsum(sizes) - sizes)
+        spaced = letters[starts - 1] == _SPACE
+        spaced[firsts] = False
+        self.spaced.age()
+        self.whole.age()
+        row = np.empty(len(starts), np.int64)
+        named: list[list[str]] = []
+        found: list[list[bytes | None]] = []
+        for known, here in ((self.whole, ~spaced), (self.spaced, spaced)):
+            begin, size = starts[here], (ends - starts)[here]
+            which, number = alike(letters, begin, size)
+            row[here] = number + sum(map(len, named))
+            named.append([data[a:b].decode() for a, b in zip(begin[which].tolist(), (begin + size)[which].tolist())])
+            found.append([*map(known.young.get, named[-1])])
+        lost = [list(compress(range(len(f)), map(is_, f, repeat(None)))) for f in found]
+        self._learn(*({names[i] for i in at} for names, at in zip(named, lost)))
+        for known, names, ids, at in zip((self.whole, self.spaced), named, found, lost):
+            for i in at:
+                ids[i] = known.young[names[i]]
+        # Rows of ids, one for each different piece, and the row of each place of the texts.
+        rows = found[0] + found[1]
+        flat = np.frombuffer(b"".join(rows), np.uint32)
+        lengths = np.fromiter(map(len, rows), np.int64, len(rows)) // 4
+        n = lengths[row]
+        upto = np.cumsum(n)
+        source = np.repeat((np.cumsum(lengths) - lengths)[row] - (upto - n), n)
+        source += np.arange(len(source))
+        for i, ids in zip(places, np.split(flat[source], upto[firsts[1:] - 1])):
+            out[i] = ids
+
+
+_SPACE, _FEED = 0x20, 0x0A
+_ASCII = np.array([bytes([b]).isalpha() for b in range(256)])
+_STOP = np.array([b in b".,;:!?" for b in range(256)])
+
+
+def cuts(letters: np.ndarray, by_pieces: bool) -> np.ndarray:
+    """Where the chunks, or their `pieces`, begin in the UTF-8 of plain texts that has a space after each text."""
+    space = letters == _SPACE
+    begins = np.append(True, space[:-1])
+    if not by_pieces:
+        return np.flatnonzero(begins)
+    white = space | (letters == _FEED)
+    feeds = np.flatnonzero(letters[1:-1] == _FEED) + 1
+    feeds = feeds[~(white[feeds - 1] | white[feeds + 1])]
+    begins[feeds + 1] = True
+    lines = np.flatnonzero(begins)
+    begins[feeds] = True
+    # The letters of a word with stops after it; those of two bytes are U+00C0 to U+024F but for two signs.
+    word, stop = _ASCII[letters], _STOP[letters]
+    two = np.flatnonzero((letters >= 0xC3) & (letters <= 0xC9))
+    second = letters[two + 1]
+    sign = (letters[two] == 0xC3) & ((second == 0x97) | (second == 0xB7)) | (letters[two] == 0xC9) & (second > 0x8F)
+    two = two[~sign]
+    word[two] = word[two + 1] = True
+    other = ~(word | stop)
+    other[:-1] |= stop[:-1] & word[1:]
+    other[space] = other[feeds] = False
+    tailed = word[lines] & ~np.logical_or.reduceat(other, lines)
+    turns = np.flatnonzero(word[:-1] & stop[1:]) + 1
+    begins[turns[tailed[np.searchsorted(lines, turns, "right") - 1]]] = True
+    return np.flatnonzero(begins)
+
+
+def alike(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One place of each different chunk, and for every chunk the number of its place.
+
+    Chunks are found by their hashes and then compared; long ones, and all whose hash another
+    chunk has, stay places of their own.
+    """
+    h = hashes(data, starts, sizes)
+    order = np.argsort(h)
+    new = np.ones(len(h), bool)
+    new[1:] = h[order[1:]] != h[order[:-1]]
+    which = order[new]
+    number = np.empty(len(h), np.int64)
+    number[order] = np.cumsum(new) - 1
+    same = which[number]
+    differ = (sizes != sizes[same]) | (sizes > SHORT)
+    at, done = np.flatnonzero(~differ & (same != np.arange(len(h)))), 0
+    while len(at):
+        left = sizes[at] - done
+        differ[at] |= first_bytes(data, starts[at] + done, left) != first_bytes(data, starts[same[at]] + done, left)
+        at, done = at[left > 8], done + 8
+    alone = np.flatnonzero(differ)
+    number[alone] = len(which) + np.arange(len(alone))
+    return np.append(which, alone), number

@@ -123,7 +123,7 @@ def write_tokens(
     ordered = rows.repartitionByRange(files, "key", "tie").sortWithinPartitions("key", "tie")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokenizer(definition)
+        encode = tokenizer(definition).joined
         system, base = open_folder(folder)
         part, attempt = TaskContext.get().partitionId(), uuid.uuid4().hex
         done: list[tuple] = []
