@@ -29,9 +29,10 @@ from pyspark.sql import functions as F
 from placaflow.functions import expressions as X
 from placaflow.functions import predicates as P
 from placaflow.operators.dedupe import keep_first
-from placaflow.operators.joins import exclude_keys, lookup, scope_of, shared_scope
+from placaflow.operators.joins import SPAN, exclude_keys, has_span, lookup, scope_of, shared_scope
 from placaflow.operators.ordering import OrderSpec
 from placaflow.operators.sets import union_by_name
+from placaflow.session import Steps
 
 Tables = Mapping[str, DataFrame]
 
@@ -145,8 +146,11 @@ def bridged_trailers(rows: DataFrame, tables: Tables) -> DataFrame:
     """
     bridge = tables["insurance_reg_set_cov_trailer"]
     entries = bridge.select("parent", "id_trailer", *scope_of(bridge)).distinct()
-    # Said of both joins, so that they ask for one and the same shuffle of the rows.
-    named = rows.where("coverage_id IS NOT NULL")
+    # Said of both joins, so that they ask for one and the same shuffle of the rows. The test that
+    # is always true keeps Spark from moving the anti-join below other joins and projections.
+    keys = ["coverage_id", *shared_scope(rows, entries), *(SPAN if has_span(rows, entries) else ())]
+    present = " AND ".join(f"`{c}` IS NOT NULL" for c in keys)
+    named = rows.where(present).where(F.spark_partition_id() >= 0)
     with_entry = lookup(
         named, entries, {"coverage_id": "parent"}, {"id_trailer": "id_carroceria"}, how="inner"
     )
@@ -154,11 +158,34 @@ def bridged_trailers(rows: DataFrame, tables: Tables) -> DataFrame:
         "coverage_id IS NOT NULL"
     )
     without = exclude_keys(named, known, ["coverage_id", *scope_of(known)])
-    without = without.unionByName(rows.where("coverage_id IS NULL"))
+    without = without.unionByName(rows.where(f"NOT ({present})"))
     kind = entries.schema["id_trailer"].dataType
     return with_entry.unionByName(without.withColumn("id_carroceria", F.lit(None).cast(kind)))
 
 
+def steps_over(tables: Tables, reads: Iterable[str] | None = None) -> Steps:
+    """Steps for plans over the coverages, the largest table."""
+    return Steps(tables["insurance_reg_set_coverage"], reads)
+
+
+def contract_rows(
+    sets: DataFrame, tables: Tables, where: Column | None, steps: Steps
+) -> DataFrame:
+    """Coverages of the sets with their bridged trailers.
+
+    In steps the trailers come first, onto the narrow rows of the coverages: what the sets add to
+    a row then passes one shuffle less.
+    """
+    if not steps.on:
+        return bridged_trailers(sets_with_coverages(sets, coverages(tables, where)), tables)
+    return steps.cut(sets_with_coverages(sets, bridged_coverages(tables, where, steps)), "contracts")
+
+
+def bridged_coverages(tables: Tables, where: Column | None, steps: Steps) -> DataFrame:
+    """Coverages with their bridged trailers, one step."""
+    return steps.cut(bridged_trailers(coverages(tables, where), tables), "bridged")
+
+
 def reduce_plates(df: DataFrame, order: OrderSpec, also: Iterable[str] = ()) -> DataFrame:
     """First row per plate reference (see the module text).
 
@@ -175,10 +202,12 @@ def vehicle_or_trailer(
     fields: Iterable[str] = ("board", "chassi", "id"),
     direct: bool = True,
     by: Iterable[str] = ROW_ID,
+    steps: Steps | None = None,
 ) -> DataFrame:
     """Plate, chassis and id: of the vehicle, else the bridged, else the direct trailer.
 
-    `by` names columns that tell the rows apart (missing ids are spread by them).
+    `by` names columns that tell the rows apart (missing ids are spread by them). `steps` cuts
+    between the joins, where the rows are not reduced to one a plate.
     """
     fields = list(fields)
     joined = lookup(
@@ -188,6 +217,7 @@ def vehicle_or_trailer(
         take={f: f"veh_{f}" for f in fields},
         spread_nulls_by=by,
     )
+    joined = steps.cut(joined, "vehicles") if steps else joined
     joined = lookup(
         joined,
         tables["insurance_trailer"],
@@ -197,6 +227,7 @@ def vehicle_or_trailer(
     )
     origins = ["veh", "bri"]
     if direct:
+        joined = steps.cut(joined, "trailers") if steps else joined
         joined = lookup(
             joined,
             tables["insurance_trailer"],
@@ -304,9 +335,8 @@ def support_users(tables: Tables) -> DataFrame:
     return pairs.drop("id_user_support").distinct()
 
 
-def benefit_lookup(df: DataFrame, tables: Tables) -> DataFrame:
+def benefit_lookup(df: DataFrame, tables: Tables, by: Iterable[str] = ROW_ID) -> DataFrame:
     """Price list, type category, category, benefit."""
-    by = ROW_ID
     df = lookup(
         df,
         tables["price_list_benefits"],
@@ -338,11 +368,13 @@ def benefit_lookup(df: DataFrame, tables: Tables) -> DataFrame:
     return df.drop("id_type_category", "id_category", "id_benefits")
 
 
-def names(df: DataFrame, tables: Tables, benefit: bool = False) -> DataFrame:
+def names(
+    df: DataFrame, tables: Tables, benefit: bool = False, steps: Steps | None = None
+) -> DataFrame:
     """Customer, unit, consultant and support user; optionally the benefit."""
     df = customer_lookup(df, tables)
-    df = unit_lookup(df, tables)
-    df = consultant_lookup(df, tables)
+    df = unit_lookup(steps.cut(df, "customers") if steps else df, tables)
+    df = consultant_lookup(steps.cut(df, "units") if steps else df, tables)
     df = support_user_lookup(df, tables)
     return benefit_lookup(df, tables) if benefit else df
 

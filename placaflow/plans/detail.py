@@ -24,14 +24,17 @@ from placaflow.operators.ordering import order_rows
 from placaflow.operators.sets import union_by_name
 from placaflow.plans.base import (
     NAME_COLUMNS,
+    PLATE_REFERENCE,
     Tables,
     bridged_trailers,
     contract_base,
+    contract_rows,
     contract_sets,
     coverages,
     names,
     reduce_plates,
     sets_with_coverages,
+    steps_over,
     vehicle_or_trailer,
 )
 from placaflow.session import materialise
@@ -46,6 +49,10 @@ LATEST = (
     ("id_carroceria", "asc"),
     ("id_placa", "asc"),
 )
+#: Columns that the events are made by, and that are none of theirs.
+_READ_ON_THE_WAY = (
+    EVENT, *[c for c, _ in LATEST], *PLATE_REFERENCE, "set_id", "updated_at", "status_beneficio", "placa", "chassi",
+)
 _TICK_DAY = f"div(updated_at - {C.TICKS_AT_1900}, {C.TICKS_PER_DAY})"
 
 # All that the counts read.
@@ -104,12 +111,15 @@ def plate_events(
     statuses: Iterable[str] | None = C.PARTIAL_BENEFIT_STATUSES,
     closed_only: bool = True,
     with_names: bool = True,
+    only: Iterable[str] | None = None,
+    stored: str | None = None,
 ) -> DataFrame:
     """One row per plate reference, brand and event: the one any report could choose.
 
     `floor` concerns partial events only; full ones are cut after the choice per
     chassis. `statuses=None`: every benefit that is not active counts as ended.
     `closed_only` leaves out cancelled sets whose status is still open (or unknown).
+    `only` names the columns that are read, `stored` a folder that the events are written to.
     """
     events = list(events)
     rules = {e: r for e, r in _event_rules(floor, statuses, closed_only).items() if e in events}
@@ -120,7 +130,9 @@ def plate_events(
     sets = contract_sets(tables, _any(on_set), flags if len(rules) > 1 else None)
     # An event without a coverage rule needs every coverage.
     wanted = _any(on_coverage) if len(on_coverage) == len(rules) else None
-    rows = bridged_trailers(sets_with_coverages(sets, coverages(tables, wanted)), tables)
+    only = None if only is None else list(only)
+    steps = steps_over(tables, only and {*only, *flags, *_READ_ON_THE_WAY, *scope_of(sets)})
+    rows = contract_rows(sets, tables, wanted, steps)
     if len(rules) == 1:
         rows = rows.withColumn(EVENT, F.lit(events[0]))
     else:
@@ -144,11 +156,13 @@ def plate_events(
         ],
         also=[EVENT],
     )
-    rows = vehicle_or_trailer(rows, tables)
+    rows = vehicle_or_trailer(steps.cut(rows, "references"), tables)
     rows = rows.where(P.identity_not_null(F.col("placa"), F.col("chassi")))
     if with_names:
-        rows = names(rows, tables, benefit=events != [C.ACTIVE])
-    return rows
+        rows = names(steps.cut(rows, "plates"), tables, events != [C.ACTIVE], steps)
+    if only is not None:
+        rows = rows.select(*only)
+    return rows if stored is None else steps.last(rows, stored, EVENT)
 
 
 def _any(conditions: list[Column]) -> Column:
