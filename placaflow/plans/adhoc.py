@@ -17,22 +17,44 @@ from placaflow.operators.joins import BRAND, lookup, scope_of, zero_fill
 from placaflow.operators.ordering import order_rows
 from placaflow.operators.sets import constant_rows
 from placaflow.plans.base import (
+    PLATE_REFERENCE,
     Tables,
     benefit_lookup,
+    bridged_coverages,
     bridged_trailers,
     contract_base,
     contract_sets,
     coverages,
     sets_with_coverages,
+    steps_over,
     unit_lookup,
     vehicle_or_trailer,
 )
 
 
 def master_listing(tables: Tables) -> DataFrame:
-    """Every coverage with a plate and a chassis, whatever its status."""
-    rows = benefit_lookup(contract_base(tables), tables)
-    return rows.select(
+    """Every coverage with a plate and a chassis, whatever its status.
+
+    In steps the narrow rows of the coverages get their plates and benefits first. Rows of sets
+    and those of coverages are made distinct before they meet: as the listing has all columns of
+    both, it then holds no row twice.
+    """
+    steps = steps_over(tables)
+    day = X.ticks_to_timestamp(F.col("updated_at"))  # different ticks of one day are equal here
+    if steps.on:
+        by = ["set_id", "coverage_id"]
+        rows = vehicle_or_trailer(bridged_coverages(tables, None, steps), tables, by=by, steps=steps)
+        rows = rows.where(P.identity_not_null(F.col("placa"), F.col("chassi")))
+        rows = steps.cut(rows.drop(*PLATE_REFERENCE), "plates")
+        rows = benefit_lookup(rows, tables, by).withColumn("data_atualizacao", day)
+        rows = steps.cut(rows.drop("id_price_list", "updated_at"), "benefits")
+        rows = steps.cut(rows.distinct(), "coverages")
+        sets = contract_sets(tables)
+        of_set = ("conjunto", "matricula", "status", "inicio_vig", "data_registro", "conjunto_renovado")
+        rows = sets_with_coverages(sets.select(*scope_of(sets), *of_set).distinct(), rows)
+    else:
+        rows = benefit_lookup(contract_base(tables), tables).withColumn("data_atualizacao", day)
+    listing = rows.select(
         F.col("coverage_id").alias("coverage"),
         "beneficio",
         "placa",
@@ -45,10 +67,12 @@ def master_listing(tables: Tables) -> DataFrame:
         "data_registro",
         F.col("conjunto_renovado").alias("id_renovacao"),
         "data_ativacao_beneficio",
-        X.ticks_to_timestamp(F.col("updated_at")).alias("data_atualizacao"),
+        "data_atualizacao",
         "status_beneficio",
         BRAND,
-    ).distinct()
+    )
+    # Rows of several days or spans, which are no columns of the listing, may be equal.
+    return listing if steps.on and scope_of(rows) == [BRAND] else listing.distinct()
 
 
 def cancelled_plates_by_unit(tables: Tables, day: dt.date, ordered: bool = True) -> DataFrame:

@@ -87,6 +87,14 @@ def test_steps_go_when_the_next_one_is_written(spark, in_steps):
     assert set(step_folders(spark)) == before
 
 
+def test_the_listing_holds_one_step(spark, in_steps):
+    before = set(step_folders(spark))
+    rows = adhoc.master_listing(S.source_tables(spark, DATA))
+    assert len(set(step_folders(spark)) - before) == 1  # the one that is still to be read
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "insurance" not in plan and len(re.findall(r"step-\w+", plan)) == 1
+
+
 def test_small_tables_stay_whole(spark):
     assert not base.steps_over(S.source_tables(spark, DATA)).on
 
