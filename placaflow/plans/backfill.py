@@ -278,11 +278,11 @@ def backfill_cancellations(
     """Distinct cancelled chassis per snapshot day: full (any status) or partial (any
     benefit that is not active); active chassis are not excluded."""
     spans, days = span_tables(tables, start, end, more=["updated_at"])
+    columns = dict.fromkeys((EVENT, BRAND, *SPAN, "chassi", "data_cancelamento", *[c for c, _ in LATEST]))
     events = plate_events(
-        spans, (C.FULL, C.PARTIAL), floor, statuses=None, closed_only=False, with_names=False
-    )
-    columns = (EVENT, BRAND, *SPAN, "chassi", "data_cancelamento", *[c for c, _ in LATEST])
-    events = materialise(events.select(*dict.fromkeys(columns)), "cancelled-events", EVENT)
+        spans, (C.FULL, C.PARTIAL), floor, statuses=None, closed_only=False, with_names=False,
+        only=columns, stored="cancelled-events",
+    )
     full = events.where(F.col(EVENT) == C.FULL)
     full = first_by_day(full, ["chassi", BRAND], latest_order(), len(days))
     full = full.where(P.date_floor(F.col("data_cancelamento"), floor))
