@@ -11,7 +11,6 @@ from placaflow.functions import expressions as X
 from placaflow.functions.calendar import reporting_window
 from placaflow.plans import detail, kpi
 from placaflow.plans.base import Tables
-from placaflow.session import materialise
 from placaflow.sources import sinks
 
 
@@ -24,10 +23,11 @@ def stored_events(
     tables: Tables, floor: dt.date = C.DATE_FLOOR, with_names: bool = False, **options
 ) -> DataFrame:
     """Plate events written once for several reports; without names only what counts need."""
-    events = detail.plate_events(tables, floor=floor, with_names=with_names, **options)
-    if not with_names:
-        events = events.select(*detail.days_of(events), *detail.COUNT_COLUMNS)
-    return materialise(events, "plate-events", detail.EVENT)
+    days = detail.days_of(tables["insurance_reg_set"])
+    only = None if with_names else [*days, *detail.COUNT_COLUMNS]
+    return detail.plate_events(
+        tables, floor=floor, with_names=with_names, only=only, stored="plate-events", **options
+    )
 
 
 def counted_bases(
